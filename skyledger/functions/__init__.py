@@ -1,7 +1,7 @@
 """Column-expression helpers (built-in Spark functions only, no UDFs)."""
 
 from skyledger.functions.fares import (  # noqa: F401
-    decimal_avg, format_bdt, pct, round_half_up, route_label, safe_div,
+    decimal_avg, decimal_avg_rounded, format_bdt, mean_rounded, pct, round_half_up, route_label, safe_div,
 )
 from skyledger.functions.dates import (  # noqa: F401
     hours_between, is_peak_season, lenient_double, lenient_timestamp,

@@ -20,6 +20,24 @@ def decimal_avg(c) -> Column:
     return F.try_divide(F.sum(c).cast("double"), F.count(c))
 
 
+def mean_rounded(total, count, digits: int) -> Column:
+    """Exact decimal ``total / count`` rounded half-up to ``digits``, as a double.
+
+    ``total`` is a decimal sum, so the quotient is computed in decimal
+    arithmetic and rounded exactly; rounding a double mean instead makes
+    x.xx5 means land on either side depending on binary representation.
+    Zero count gives null.
+    """
+    q = F.try_divide(_c(total), _c(count).cast("decimal(20,0)"))
+    return F.round(q, digits).cast("double")
+
+
+def decimal_avg_rounded(c, digits: int) -> Column:
+    """Mean of a decimal column rounded half-up exactly (see :func:`mean_rounded`)."""
+    c = _c(c)
+    return mean_rounded(F.sum(c), F.count(c), digits)
+
+
 def safe_div(a, b) -> Column:
     """a / b with a zero or null denominator giving null (pandas NaN)."""
     return F.try_divide(_c(a).cast("double"), _c(b).cast("double"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.dates import peak_month_label
-from skyledger.functions.fares import decimal_avg, route_label, safe_div
+from skyledger.functions.fares import decimal_avg, decimal_avg_rounded, mean_rounded, route_label, safe_div
 from skyledger.schemas import TOP_N_ROUTES
 
 STG_COLUMNS = [
@@ -65,9 +65,9 @@ def kpi_seasonal_variation(stg: DataFrame) -> DataFrame:
 
 def kpi_avg_fare_by_airline(v: DataFrame, run_id: str | None = None) -> DataFrame:
     return (v.where(F.col("airline").isNotNull()).groupBy("airline").agg(
-        F.round(_avg("base_fare"), 2).alias("avg_base_fare"),
-        F.round(_avg("tax_and_surcharge"), 2).alias("avg_tax"),
-        F.round(_avg("total_fare"), 2).alias("avg_total_fare"),
+        decimal_avg_rounded("base_fare", 2).alias("avg_base_fare"),
+        decimal_avg_rounded("tax_and_surcharge", 2).alias("avg_tax"),
+        decimal_avg_rounded("total_fare", 2).alias("avg_total_fare"),
         F.min("total_fare").alias("min_fare"),
         F.max("total_fare").alias("max_fare"),
         F.count("total_fare").alias("booking_count"))
@@ -92,7 +92,7 @@ def kpi_seasonal_premium(v: DataFrame, run_id: str | None = None) -> DataFrame:
     avg = safe_div(F.col("_sum"), F.col("booking_count"))
     return g.select(
         "airline", "season_label", F.col("is_peak_season").alias("is_peak"),
-        F.round(avg, 2).alias("avg_total_fare"), "booking_count",
+        mean_rounded("_sum", "booking_count", 2).alias("avg_total_fare"), "booking_count",
         F.round(F.try_divide(avg - base, base) * F.lit(100.0), 2).alias("fare_premium_pct"),
         *_run_col(run_id))
 
@@ -136,7 +136,7 @@ def kpi_route_airline(v: DataFrame, run_id: str | None = None, ra: DataFrame | N
             .withColumn("_route_total", route_total)
             .select("source", "destination", "airline",
                     F.col("n_fare").alias("booking_count"),
-                    F.round(safe_div("sum_fare", "n_fare"), 2).alias("avg_total_fare"),
+                    mean_rounded("sum_fare", "n_fare", 2).alias("avg_total_fare"),
                     F.round(safe_div("n_fare", "_route_total") * F.lit(100.0), 4).alias("route_share_pct"),
                     *_run_col(run_id)))
 
@@ -170,9 +170,9 @@ def kpi_popular_routes_topn(v: DataFrame, run_id: str | None = None, top_n: int
     rank = F.row_number().over(Window.orderBy(*order))  # over <= top_n rows
     return top.select(
         "source", "destination", "booking_count",
-        F.round(safe_div("_sum", "booking_count"), 2).alias("avg_total_fare"),
+        mean_rounded("_sum", "booking_count", 2).alias("avg_total_fare"),
         "min_fare", "max_fare", "top_airline",
-        rank.alias("rank"), route_label().alias("route"), *_run_col(run_id))
+        rank.cast("bigint").alias("rank"), route_label().alias("route"), *_run_col(run_id))
 
 
 def kpi_run_summary(v: DataFrame, run_id: str | None = None, top_n: int = TOP_N_ROUTES) -> DataFrame:
@@ -211,13 +211,13 @@ def distinct_routes(v: DataFrame) -> DataFrame:
 
 def airline_avg_fare(v: DataFrame) -> DataFrame:
     return (v.where(F.col("airline").isNotNull()).groupBy("airline")
-            .agg(F.round(_avg("total_fare"), 2).alias("avg_fare"))
+            .agg(decimal_avg_rounded("total_fare", 2).alias("avg_fare"))
             .orderBy(F.desc("avg_fare"), "airline"))
 
 
 def season_avg_fare(v: DataFrame, season_col: str = "season_label") -> DataFrame:
     return (v.where(F.col(season_col).isNotNull()).groupBy(F.col(season_col).alias("season"))
-            .agg(F.round(_avg("total_fare"), 2).alias("avg_fare"),
+            .agg(decimal_avg_rounded("total_fare", 2).alias("avg_fare"),
                  F.count("total_fare").alias("bookings")))
 
 
@@ -231,14 +231,14 @@ def top_route(v: DataFrame) -> DataFrame:
 def expensive_routes(v: DataFrame, top_n: int = 5) -> DataFrame:
     """Routes with the highest mean fare (top 5 in the EDA, top 10 in the report)."""
     return (v.select(route_label().alias("route"), "total_fare").where(F.col("route").isNotNull())
-            .groupBy("route").agg(F.round(_avg("total_fare"), 2).alias("avg_fare"))
+            .groupBy("route").agg(decimal_avg_rounded("total_fare", 2).alias("avg_fare"))
             .orderBy(F.desc("avg_fare"), "route").limit(top_n))
 
 
 def airline_fare_spread(v: DataFrame) -> DataFrame:
     """Spread of airline mean fares (means rounded to whole taka, as reported)."""
     means = (v.where(F.col("airline").isNotNull()).groupBy("airline")
-             .agg(F.round(_avg("total_fare"), 0).alias("m")))
+             .agg(decimal_avg_rounded("total_fare", 0).alias("m")))
     return means.agg(
         F.max("m").alias("max_mean_fare"), F.min("m").alias("min_mean_fare"),
         (F.max("m") - F.min("m")).alias("spread"),
@@ -254,11 +254,11 @@ def season_premium(v: DataFrame, season_col: str = "season_label", baseline: str
     season; the window runs over the per-season aggregate (a handful of rows).
     """
     g = (v.where(F.col(season_col).isNotNull()).groupBy(F.col(season_col).alias("season"))
-         .agg(_avg("total_fare").alias("_m")))
+         .agg(_avg("total_fare").alias("_m"), decimal_avg_rounded("total_fare", 2).alias("avg_fare")))
     w = Window.partitionBy()
     base = F.coalesce(F.max(F.when(F.col("season") == baseline, F.col("_m"))).over(w),
                       F.min("_m").over(w))
-    return g.select("season", F.round("_m", 2).alias("avg_fare"),
+    return g.select("season", "avg_fare",
                     F.round((safe_div(F.col("_m"), base) - 1) * 100, 1).alias("premium_pct"))
 
 

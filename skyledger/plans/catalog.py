@@ -9,22 +9,86 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.operators import marts as M
-from skyledger.plans.fixture import FIXTURE_RUN_ID, raw_table, validated_table
+from skyledger.operators import quality as Q
+from skyledger.plans.fixture import FIXTURE_RUN_ID, build_tables, raw_table, validated_table
+from skyledger.session import scratch_table_path
+from skyledger.sources.bookings import tpch_bookings
+from skyledger.sources.csv import ingest
+from skyledger.sources.tables import scan_run, transfer_run
 
 Query = Callable[[SparkSession, str], DataFrame]
+RUN = FIXTURE_RUN_ID
+
+# Columns the analytics copy keeps (departure_time is carried so the seasonal
+# mart sees real months).
+ANALYTICS_COLUMNS = ["airline", "source", "destination", "departure_time",
+                     "base_fare", "tax_and_surcharge", "total_fare", "pipeline_run_id"]
 
 
 def _v(spark, sf):
     return validated_table(spark, sf)
 
 
+def _raw(spark, sf):
+    return raw_table(spark, sf)
+
+
 def _stg(spark, sf):
     return M.stg_bookings(validated_table(spark, sf), with_clock=False)
 
 
+def _transfer(spark, sf):
+    _, val_path = build_tables(spark, sf)
+    dst = scratch_table_path(spark, "analytics_bookings")
+    transfer_run(spark, val_path, dst, RUN, ANALYTICS_COLUMNS)
+    return scan_run(spark, dst, RUN)
+
+
 QUERIES: dict[str, Query] = {
+    # sources / sinks
+    "ingest_bookings": lambda s, sf: ingest(tpch_bookings(s, sf), RUN, with_clock=False),
+    "scan_run": lambda s, sf: _raw(s, sf),
+    "transfer_run": _transfer,
+    "apply_defaults": lambda s, sf: Q.apply_defaults(_v(s, sf), with_clock=False).select(
+        "raw_id", "stops", "tax_and_surcharge", "is_peak_season", "validation_status"),
+    # validation and quality
     "validate_bookings": lambda s, sf: _v(s, sf),
+    "season_classify": lambda s, sf: Q.season_classify(_raw(s, sf)).select(
+        F.col("id").alias("raw_id"), "departure_time", "is_peak_season", "season_label"),
+    "dq_required": lambda s, sf: Q.dq_required(_raw(s, sf)),
+    "fare_mismatch": lambda s, sf: Q.fare_mismatch(_raw(s, sf)),
+    "validation_status": lambda s, sf: Q.status_counts(_v(s, sf)),
+    "validation_audit": lambda s, sf: Q.validation_audit(_raw(s, sf), _v(s, sf)),
+    "run_log": lambda s, sf: Q.run_log(_raw(s, sf), _v(s, sf)),
+    "invalid_city_rows": lambda s, sf: Q.invalid_city_rows(_v(s, sf)).select(
+        "raw_id", "source", "destination", "source_valid", "destination_valid"),
+    "rejected_rows": lambda s, sf: Q.rejected_rows(_raw(s, sf), _v(s, sf)),
+    "clean_dedup": lambda s, sf: Q.clean_dedup(_raw(s, sf).drop("id")),
+    # SQL marts
+    "stg_bookings": _stg,
     "kpi_avg_fare": lambda s, sf: M.kpi_avg_fare(_stg(s, sf)),
+    "kpi_popular_routes": lambda s, sf: M.kpi_popular_routes(_stg(s, sf)),
+    "kpi_seasonal_variation": lambda s, sf: M.kpi_seasonal_variation(_stg(s, sf)),
+    # run-scoped KPIs
+    "kpi_avg_fare_by_airline": lambda s, sf: M.kpi_avg_fare_by_airline(_v(s, sf), RUN),
+    "kpi_seasonal_premium": lambda s, sf: M.kpi_seasonal_premium(_v(s, sf), RUN),
+    "kpi_booking_count": lambda s, sf: M.kpi_booking_count(_v(s, sf), RUN),
+    "kpi_popular_routes_topn": lambda s, sf: M.kpi_popular_routes_topn(_v(s, sf), RUN),
+    "kpi_route_airline": lambda s, sf: M.kpi_route_airline(_v(s, sf), RUN),
+    "kpi_run_summary": lambda s, sf: M.kpi_run_summary(_v(s, sf), RUN),
+    "dominant_airline": lambda s, sf: M.dominant_airline(_v(s, sf)),
+    "distinct_routes": lambda s, sf: M.distinct_routes(_v(s, sf)),
+    # exploratory summaries and reports
+    "airline_avg_fare": lambda s, sf: M.airline_avg_fare(_v(s, sf)),
+    "season_avg_fare": lambda s, sf: M.season_avg_fare(_v(s, sf)),
+    "top_route": lambda s, sf: M.top_route(_v(s, sf)),
+    "expensive_routes": lambda s, sf: M.expensive_routes(_v(s, sf), 5),
+    "airline_fare_spread": lambda s, sf: M.airline_fare_spread(_v(s, sf)),
+    "season_premium": lambda s, sf: M.season_premium(_v(s, sf)),
+    "report_top_routes": lambda s, sf: M.report_top_routes(M.kpi_popular_routes(_stg(s, sf))),
+    "report_avg_fare": lambda s, sf: M.report_avg_fare(M.kpi_avg_fare(_stg(s, sf))),
+    "report_seasonal": lambda s, sf: M.report_seasonal(M.kpi_seasonal_variation(_stg(s, sf))),
 }

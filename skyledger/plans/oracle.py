@@ -88,6 +88,17 @@ def avg(c: str) -> str:
     return AVG.format(c=c)
 
 
+def rmean(total: str, count: str, d: int) -> str:
+    """Exact half-up rounding of a cents-scale decimal sum / count, as DOUBLE."""
+    k = 10 ** (2 - d)
+    return (f"(CAST(sign({total}) * ((2 * abs(CAST({total} * 100 AS HUGEINT)) + {k} * {count})"
+            f" // (2 * {k} * NULLIF({count}, 0))) AS DOUBLE) / {10 ** d}.0)")
+
+
+def ravg(c: str, d: int) -> str:
+    return rmean(f"SUM({c})", f"COUNT({c})", d)
+
+
 SQL: dict[str, str] = {}
 
 SQL["validate_bookings"] = BASE + "SELECT * FROM validated"
@@ -95,3 +106,203 @@ SQL["validate_bookings"] = BASE + "SELECT * FROM validated"
 SQL["kpi_avg_fare"] = BASE + f"""
 SELECT airline, {avg('total_fare')} AS avg_fare, COUNT(*) AS bookings
 FROM validated GROUP BY airline"""
+
+R = f"'{RUN_ID}' AS pipeline_run_id"
+
+# --- sources / sinks --------------------------------------------------------
+SQL["ingest_bookings"] = BASE + "SELECT * FROM raw"
+SQL["scan_run"] = BASE + f"SELECT * FROM raw WHERE pipeline_run_id = '{RUN_ID}'"
+SQL["transfer_run"] = BASE + """
+SELECT airline, source, destination, departure_time, base_fare, tax_and_surcharge, total_fare,
+       pipeline_run_id FROM validated"""
+SQL["apply_defaults"] = BASE + """
+SELECT raw_id, coalesce(stops, 0) AS stops,
+       CAST(coalesce(tax_and_surcharge, 0) AS DECIMAL(12,2)) AS tax_and_surcharge,
+       coalesce(is_peak_season, 0) AS is_peak_season,
+       coalesce(validation_status, 'valid') AS validation_status
+FROM validated"""
+
+# --- validation and quality ---------------------------------------------------
+SQL["season_classify"] = BASE + "SELECT raw_id, departure_time, is_peak_season, season_label FROM validated"
+SQL["dq_required"] = BASE + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, true AS present, COUNT(*) AS records_checked, "
+    f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM raw"
+    for c in ["airline", "source", "destination", "base_fare", "tax_and_surcharge", "total_fare"])
+SQL["fare_mismatch"] = BASE + """
+SELECT id AS raw_id, base_fare, tax_and_surcharge, total_fare AS stated_total,
+       new_total AS recomputed_total, CAST(new_total - total_fare AS DECIMAL(12,2)) AS difference
+FROM cleaned WHERE total_fare IS NOT NULL AND new_total IS NOT NULL AND total_fare <> new_total"""
+SQL["validation_status"] = BASE + """
+SELECT s.validation_status, COUNT(v.raw_id) AS rows
+FROM (VALUES ('valid'), ('corrected'), ('flagged')) s(validation_status)
+LEFT JOIN validated v ON v.validation_status = s.validation_status
+GROUP BY s.validation_status"""
+SQL["validation_audit"] = BASE + """
+, r AS (SELECT COUNT(*) AS n,
+          COUNT(*) FILTER (WHERE base_fare < 0) AS neg,
+          COUNT(*) FILTER (WHERE tax_and_surcharge IS NULL) AS null_tax,
+          COUNT(*) FILTER (WHERE airline IS NULL) AS null_airline,
+          COUNT(*) FILTER (WHERE source IS NULL) AS null_source,
+          COUNT(*) FILTER (WHERE destination IS NULL) AS null_destination,
+          COUNT(*) FILTER (WHERE base_fare IS NULL) AS null_base_fare FROM raw),
+v AS (SELECT COUNT(*) AS n,
+          COUNT(*) FILTER (WHERE total_fare <> base_fare + tax_and_surcharge) AS bad_total,
+          COUNT(*) FILTER (WHERE base_fare < 0) AS neg,
+          COUNT(*) FILTER (WHERE validation_status = 'flagged') AS flagged FROM validated),
+c AS (
+  SELECT 'row_count_preserved' AS check_name, abs(r.n - v.n) AS failed, r.n AS checked, 'FAIL' AS bad, 'validated rows equal raw rows' AS details FROM r, v
+  UNION ALL SELECT 'negative_base_fare', neg, n, 'WARN', 'negative base fares corrected with abs()' FROM r
+  UNION ALL SELECT 'null_tax_and_surcharge', null_tax, n, 'WARN', 'null tax set to 0' FROM r
+  UNION ALL SELECT 'required_airline', null_airline, n, 'FAIL', 'airline must not be null' FROM r
+  UNION ALL SELECT 'required_source', null_source, n, 'FAIL', 'source must not be null' FROM r
+  UNION ALL SELECT 'required_destination', null_destination, n, 'FAIL', 'destination must not be null' FROM r
+  UNION ALL SELECT 'required_base_fare', null_base_fare, n, 'FAIL', 'base_fare must not be null' FROM r
+  UNION ALL SELECT 'total_equals_base_plus_tax', bad_total, n, 'FAIL', 'total_fare = base_fare + tax_and_surcharge after cleaning' FROM v
+  UNION ALL SELECT 'no_negative_fares_after_cleaning', neg, n, 'FAIL', 'base_fare >= 0 after cleaning' FROM v
+  UNION ALL SELECT 'flagged_rows', flagged, n, 'WARN', 'rows kept but flagged for review' FROM v)
+SELECT check_name, CASE WHEN failed = 0 THEN 'PASS' ELSE bad END AS check_result,
+       checked AS records_checked, failed AS records_failed, details FROM c"""
+SQL["run_log"] = BASE + """
+, r AS (SELECT pipeline_run_id, COUNT(*) AS n FROM raw GROUP BY 1),
+v AS (SELECT pipeline_run_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE validation_status = 'flagged') AS f
+      FROM validated GROUP BY 1)
+SELECT coalesce(r.pipeline_run_id, v.pipeline_run_id) AS run_id,
+       coalesce(r.n, 0) AS rows_ingested, coalesce(v.n, 0) AS rows_validated,
+       CAST(coalesce(v.f, 0) + greatest(coalesce(r.n, 0) - coalesce(v.n, 0), 0) AS BIGINT) AS rows_rejected,
+       CASE WHEN coalesce(r.n, 0) = coalesce(v.n, 0) AND coalesce(r.n, 0) > 0 THEN 'success' ELSE 'failed' END AS status
+FROM r FULL JOIN v ON r.pipeline_run_id = v.pipeline_run_id"""
+_CITIES = "'Dhaka', 'Chittagong', 'Sylhet', 'Cox''s Bazar', 'Jessore', 'Barisal', 'Rajshahi', 'Comilla', 'Saidpur', 'Jashore'"
+SQL["invalid_city_rows"] = BASE + f"""
+SELECT raw_id, source, destination,
+       coalesce(source IN ({_CITIES}), false) AS source_valid,
+       coalesce(destination IN ({_CITIES}), false) AS destination_valid
+FROM validated
+WHERE NOT coalesce(source IN ({_CITIES}), false) OR NOT coalesce(destination IN ({_CITIES}), false)"""
+SQL["rejected_rows"] = BASE + """
+SELECT * FROM raw r WHERE NOT EXISTS (
+  SELECT 1 FROM validated v WHERE v.pipeline_run_id = r.pipeline_run_id AND v.raw_id = r.id
+    AND v.validation_status <> 'flagged')"""
+SQL["clean_dedup"] = BASE + """
+SELECT DISTINCT airline, source, destination, departure_time, arrival_time, duration, stops,
+  aircraft_type, booking_class, booking_source, days_before_departure, seasonality, base_fare,
+  tax_and_surcharge, total_fare, pipeline_run_id FROM raw"""
+
+# --- SQL marts --------------------------------------------------------------
+STG = """, stg AS (SELECT airline, source, destination, departure_time, arrival_time, duration, stops,
+  base_fare, tax_and_surcharge, total_fare, booking_class, pipeline_run_id FROM validated)
+"""
+SQL["stg_bookings"] = BASE + STG + "SELECT * FROM stg"
+SQL["kpi_popular_routes"] = BASE + STG + f"""
+SELECT source, destination, COUNT(*) AS bookings, {avg('total_fare')} AS avg_fare
+FROM stg GROUP BY source, destination ORDER BY bookings DESC"""
+SQL["kpi_seasonal_variation"] = BASE + STG + f"""
+SELECT airline, CASE WHEN month(departure_time) IN (4, 6, 12) THEN 'Peak' ELSE 'Off-Peak' END AS season,
+       {avg('total_fare')} AS avg_fare
+FROM stg GROUP BY airline, season"""
+SQL["report_top_routes"] = BASE + STG + f"""
+, m AS (SELECT source, destination, COUNT(*) AS bookings, {avg('total_fare')} AS avg_fare
+        FROM stg GROUP BY source, destination)
+SELECT source, destination, bookings, round(avg_fare, 2) AS avg_fare FROM m
+ORDER BY bookings DESC, source, destination LIMIT 10"""
+SQL["report_avg_fare"] = BASE + STG + f"""
+, m AS (SELECT airline, {avg('total_fare')} AS avg_fare, COUNT(*) AS bookings FROM stg GROUP BY airline)
+SELECT airline, round(avg_fare, 2) AS avg_fare, bookings FROM m ORDER BY avg_fare DESC, airline"""
+SQL["report_seasonal"] = BASE + STG + f"""
+, m AS (SELECT airline, CASE WHEN month(departure_time) IN (4, 6, 12) THEN 'Peak' ELSE 'Off-Peak' END AS season,
+        {avg('total_fare')} AS avg_fare FROM stg GROUP BY airline, season)
+SELECT airline, season, round(avg_fare, 2) AS avg_fare FROM m ORDER BY airline, season"""
+
+# --- run-scoped KPIs ----------------------------------------------------------
+SQL["kpi_avg_fare_by_airline"] = BASE + f"""
+SELECT airline, {ravg('base_fare', 2)} AS avg_base_fare, {ravg('tax_and_surcharge', 2)} AS avg_tax,
+       {ravg('total_fare', 2)} AS avg_total_fare, MIN(total_fare) AS min_fare,
+       MAX(total_fare) AS max_fare, COUNT(total_fare) AS booking_count, {R}
+FROM validated WHERE airline IS NOT NULL GROUP BY airline"""
+SQL["kpi_seasonal_premium"] = BASE + f"""
+, g AS (SELECT airline, season_label, is_peak_season, SUM(total_fare) AS s, COUNT(total_fare) AS n
+        FROM validated WHERE airline IS NOT NULL AND season_label IS NOT NULL AND is_peak_season IS NOT NULL
+        GROUP BY 1, 2, 3),
+b AS (SELECT airline, CAST(SUM(s) AS DOUBLE) / NULLIF(SUM(n), 0) AS base FROM g WHERE is_peak_season = 0 GROUP BY airline),
+a AS (SELECT g.*, CAST(s AS DOUBLE) / NULLIF(n, 0) AS m, b.base FROM g LEFT JOIN b ON g.airline = b.airline)
+SELECT airline, season_label, is_peak_season AS is_peak, {rmean('s', 'n', 2)} AS avg_total_fare, n AS booking_count,
+       round((m - base) / NULLIF(base, 0) * 100, 2) AS fare_premium_pct, {R}
+FROM a"""
+SQL["kpi_booking_count"] = BASE + f"""
+, g AS (SELECT airline, COUNT(total_fare) AS total_bookings,
+          COUNT(*) FILTER (WHERE is_peak_season = 1 AND total_fare IS NOT NULL) AS peak_bookings
+        FROM validated GROUP BY airline),
+t AS (SELECT COUNT(*) AS n FROM validated)
+SELECT airline, total_bookings, peak_bookings, total_bookings - peak_bookings AS offpeak_bookings,
+       round(CAST(total_bookings AS DOUBLE) / NULLIF(n, 0) * 100, 4) AS market_share_pct, {R}
+FROM g, t WHERE airline IS NOT NULL"""
+ROUTES = """
+, r AS (SELECT source, destination, COUNT(total_fare) AS booking_count, SUM(total_fare) AS s,
+          MIN(total_fare) AS min_fare, MAX(total_fare) AS max_fare
+        FROM validated WHERE source IS NOT NULL AND destination IS NOT NULL GROUP BY 1, 2),
+ra AS (SELECT source, destination, airline, COUNT(*) AS sz FROM validated
+       WHERE source IS NOT NULL AND destination IS NOT NULL AND airline IS NOT NULL GROUP BY 1, 2, 3),
+top AS (SELECT source, destination, airline AS top_airline FROM (
+          SELECT *, row_number() OVER (PARTITION BY source, destination ORDER BY sz DESC, airline) AS rn FROM ra)
+        WHERE rn = 1)
+"""
+SQL["kpi_popular_routes_topn"] = BASE + ROUTES + f"""
+, ranked AS (SELECT r.*, t.top_airline,
+               row_number() OVER (ORDER BY r.booking_count DESC, r.source, r.destination) AS rnk
+             FROM r LEFT JOIN top t ON r.source = t.source AND r.destination = t.destination)
+SELECT source, destination, booking_count, {rmean('s', 'booking_count', 2)} AS avg_total_fare,
+       min_fare, max_fare, top_airline, rnk AS rank, source || ' → ' || destination AS route, {R}
+FROM ranked WHERE rnk <= 20"""
+SQL["dominant_airline"] = BASE + ROUTES + """
+SELECT r.source, r.destination, t.top_airline FROM r LEFT JOIN top t
+  ON r.source = t.source AND r.destination = t.destination"""
+SQL["kpi_route_airline"] = BASE + f"""
+, ra AS (SELECT source, destination, airline, COUNT(total_fare) AS n, SUM(total_fare) AS s FROM validated
+         WHERE source IS NOT NULL AND destination IS NOT NULL AND airline IS NOT NULL GROUP BY 1, 2, 3)
+SELECT source, destination, airline, n AS booking_count, {rmean('s', 'n', 2)} AS avg_total_fare,
+       round(CAST(n AS DOUBLE) / NULLIF(SUM(n) OVER (PARTITION BY source, destination), 0) * 100, 4) AS route_share_pct,
+       {R}
+FROM ra"""
+SQL["kpi_run_summary"] = BASE + f"""
+, d AS (SELECT
+    (SELECT COUNT(*) FROM (SELECT DISTINCT source, destination FROM validated
+       WHERE source IS NOT NULL AND destination IS NOT NULL)) AS routes,
+    (SELECT COUNT(*) FROM (SELECT DISTINCT airline, season_label, is_peak_season FROM validated
+       WHERE airline IS NOT NULL AND season_label IS NOT NULL AND is_peak_season IS NOT NULL)) AS seasonal,
+    (SELECT COUNT(*) FROM (SELECT DISTINCT source, destination, airline FROM validated
+       WHERE source IS NOT NULL AND destination IS NOT NULL AND airline IS NOT NULL)) AS route_airline)
+SELECT {R}, COUNT(*) AS total_rows, COUNT(DISTINCT airline) AS airlines, any_value(d.routes) AS routes,
+       COUNT(*) FILTER (WHERE is_peak_season = 1) AS peak_rows,
+       COUNT(DISTINCT airline) AS kpi_avg_fare_rows, any_value(d.seasonal) AS kpi_seasonal_rows,
+       COUNT(DISTINCT airline) AS kpi_booking_count_rows,
+       least(any_value(d.routes), 20) AS kpi_popular_routes_rows,
+       any_value(d.route_airline) AS kpi_route_airline_rows
+FROM validated, d"""
+SQL["distinct_routes"] = BASE + "SELECT DISTINCT source, destination FROM validated"
+
+# --- exploratory summaries ------------------------------------------------------
+SQL["airline_avg_fare"] = BASE + f"""
+SELECT airline, {ravg('total_fare', 2)} AS avg_fare FROM validated
+WHERE airline IS NOT NULL GROUP BY airline"""
+SQL["season_avg_fare"] = BASE + f"""
+SELECT season_label AS season, {ravg('total_fare', 2)} AS avg_fare, COUNT(total_fare) AS bookings
+FROM validated WHERE season_label IS NOT NULL GROUP BY season_label"""
+SQL["top_route"] = BASE + """
+SELECT source || ' → ' || destination AS route, COUNT(*) AS bookings FROM validated
+WHERE source IS NOT NULL AND destination IS NOT NULL
+GROUP BY 1 ORDER BY bookings DESC, route LIMIT 1"""
+SQL["expensive_routes"] = BASE + f"""
+SELECT source || ' → ' || destination AS route, {ravg('total_fare', 2)} AS avg_fare FROM validated
+WHERE source IS NOT NULL AND destination IS NOT NULL
+GROUP BY 1 ORDER BY avg_fare DESC, route LIMIT 5"""
+SQL["airline_fare_spread"] = BASE + f"""
+, m AS (SELECT airline, {ravg('total_fare', 0)} AS m FROM validated WHERE airline IS NOT NULL GROUP BY airline)
+SELECT max(m) AS max_mean_fare, min(m) AS min_mean_fare, max(m) - min(m) AS spread,
+       round((max(m) / NULLIF(min(m), 0) - 1) * 100, 1) AS spread_pct,
+       (SELECT airline FROM m ORDER BY m DESC, airline DESC LIMIT 1) AS highest_airline,
+       (SELECT airline FROM m ORDER BY m ASC, airline ASC LIMIT 1) AS lowest_airline
+FROM m"""
+SQL["season_premium"] = BASE + f"""
+, g AS (SELECT season_label AS season, {avg('total_fare')} AS m, {ravg('total_fare', 2)} AS avg_fare
+        FROM validated WHERE season_label IS NOT NULL GROUP BY season_label),
+b AS (SELECT coalesce(max(CASE WHEN season = 'Regular' THEN m END), min(m)) AS base FROM g)
+SELECT season, avg_fare, round((m / NULLIF(base, 0) - 1) * 100, 1) AS premium_pct FROM g, b"""
