@@ -88,13 +88,14 @@ def sequence_index(df: DataFrame, order_cols: Sequence[str], name: str = "row_in
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     names: Sequence[str], group_cols: Sequence[str] = (),
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, digits: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles (pandas ``quantile`` semantics).
 
     One output row per group (one row overall without groups) with a double
     column per probability. Position ``h = (n - 1) * p`` is interpolated as
     ``v[floor h] + (h - floor h) * (v[ceil h] - v[floor h])``. Only the
     2 x len(probs) rows per group at those positions leave the ranking step.
+    ``digits`` rounds the results (interpolation noise is in the last ulp).
     """
     data = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"))
             .where(F.col("_v").isNotNull()))
@@ -117,10 +118,6 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         *[F.col(f"_k_{c}").alias(f"_g_{c}") for c in group_cols],
         F.col("_pos"), F.col("_v"))
 
-    tcond = None
-    for c in group_cols:
-        e = targets[c].eqNullSafe(values[f"_g_{c}"])
-        tcond = e if tcond is None else tcond & e
     lo = values.select(*[F.col(f"_g_{c}").alias(f"_l_{c}") for c in group_cols],
                        F.col("_pos").alias("_lpos"), F.col("_v").alias("_vlo"))
     hi = values.select(*[F.col(f"_g_{c}").alias(f"_h_{c}") for c in group_cols],
@@ -133,6 +130,6 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     q = (targets.join(lo, lcond).join(hi, hcond)
          .select(*[targets[c] for c in group_cols], "_q",
                  (F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))).alias("_val")))
-    out = q.groupBy(*group_cols).agg(*[
-        F.max(F.when(F.col("_q") == i, F.col("_val"))).alias(name) for i, name in enumerate(names)])
-    return out
+    val = F.col("_val") if digits is None else F.round("_val", digits)
+    return q.groupBy(*group_cols).agg(*[
+        F.max(F.when(F.col("_q") == i, val)).alias(name) for i, name in enumerate(names)])

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators import marts as M
+from skyledger.operators import profile as P
 from skyledger.operators import quality as Q
 from skyledger.plans.fixture import FIXTURE_RUN_ID, build_tables, raw_table, validated_table
 from skyledger.session import scratch_table_path
@@ -91,4 +92,20 @@ QUERIES: dict[str, Query] = {
     "report_top_routes": lambda s, sf: M.report_top_routes(M.kpi_popular_routes(_stg(s, sf))),
     "report_avg_fare": lambda s, sf: M.report_avg_fare(M.kpi_avg_fare(_stg(s, sf))),
     "report_seasonal": lambda s, sf: M.report_seasonal(M.kpi_seasonal_variation(_stg(s, sf))),
+    # profiling (tables behind the EDA plots)
+    "profile_nonnull": lambda s, sf: P.profile_nonnull(_v(s, sf)),
+    "missing_report": lambda s, sf: P.missing_report(_v(s, sf)),
+    "describe_numeric": lambda s, sf: P.describe_numeric(_v(s, sf)),
+    "describe_categorical": lambda s, sf: P.describe_categorical(_v(s, sf)),
+    "value_counts": lambda s, sf: P.value_counts(_v(s, sf)),
+    "fare_distribution": lambda s, sf: P.fare_distribution(_v(s, sf)),
+    "iqr_outliers": lambda s, sf: P.iqr_outliers(_v(s, sf)),
+    "corr_target": lambda s, sf: P.corr_target(_v(s, sf)),
+    "corr_matrix": lambda s, sf: P.corr_matrix(_v(s, sf)),
+    "fare_histogram": lambda s, sf: P.histogram(_v(s, sf)),
+    "fare_skew": lambda s, sf: P.fare_skew(_v(s, sf)),
+    "fare_summary": lambda s, sf: P.fare_summary(_v(s, sf)),
+    "airline_fare_stats": lambda s, sf: P.grouped_fare_stats(_v(s, sf), "airline"),
+    "median_fare_by_dim": lambda s, sf: P.median_by_dims(_v(s, sf)),
+    "box_stats": lambda s, sf: P.box_stats(_v(s, sf)),
 }

@@ -306,3 +306,105 @@ SQL["season_premium"] = BASE + f"""
         FROM validated WHERE season_label IS NOT NULL GROUP BY season_label),
 b AS (SELECT coalesce(max(CASE WHEN season = 'Regular' THEN m END), min(m)) AS base FROM g)
 SELECT season, avg_fare, round((m / NULLIF(base, 0) - 1) * 100, 1) AS premium_pct FROM g, b"""
+
+# --- profiling ----------------------------------------------------------------
+VALIDATED_COLS = ["raw_id", "airline", "source", "destination", "departure_time", "arrival_time",
+                  "duration", "duration_minutes", "stops", "aircraft_type", "booking_class",
+                  "booking_source", "days_before_departure", "seasonality", "base_fare",
+                  "tax_and_surcharge", "total_fare", "travel_date", "is_peak_season", "season_label",
+                  "validation_status", "validation_notes", "pipeline_run_id"]
+NUMERIC_COLS = ["duration", "duration_minutes", "stops", "days_before_departure", "base_fare",
+                "tax_and_surcharge", "total_fare", "is_peak_season"]
+TEXT_COLS = ["airline", "source", "destination", "aircraft_type", "booking_class", "booking_source",
+             "seasonality", "season_label", "validation_status", "validation_notes", "pipeline_run_id"]
+
+
+def _union(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["profile_nonnull"] = BASE + _union(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null, COUNT(*) AS rows FROM validated"
+    for c in VALIDATED_COLS)
+SQL["missing_report"] = BASE + ", m AS (" + _union(
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS missing_count, COUNT(*) AS n FROM validated"
+    for c in VALIDATED_COLS) + """)
+SELECT column_name, missing_count, round(CAST(missing_count AS DOUBLE) / n * 100, 2) AS missing_pct
+FROM m WHERE missing_count > 0"""
+LONG_NUM = ", long AS (" + _union(
+    f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM validated WHERE {c} IS NOT NULL"
+    for c in NUMERIC_COLS) + ")\n"
+LONG_TXT = ", long AS (" + _union(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM validated WHERE {c} IS NOT NULL"
+    for c in TEXT_COLS) + ")\n"
+SQL["describe_numeric"] = BASE + LONG_NUM + """
+SELECT column_name, COUNT(value) AS count, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std,
+       min(value) AS min, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
+       round(quantile_cont(value, 0.75), 6) AS q75, max(value) AS max
+FROM long GROUP BY column_name"""
+SQL["describe_categorical"] = BASE + LONG_TXT + """
+, c AS (SELECT column_name, value, COUNT(*) AS n FROM long GROUP BY 1, 2),
+t AS (SELECT column_name, value AS top FROM (
+        SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS rn FROM c) WHERE rn = 1)
+SELECT c.column_name, SUM(n)::BIGINT AS count, COUNT(*) AS unique, any_value(t.top) AS top, max(n) AS freq
+FROM c JOIN t ON c.column_name = t.column_name GROUP BY c.column_name"""
+SQL["value_counts"] = BASE + LONG_TXT + """
+, c AS (SELECT column_name, value, COUNT(*) AS count FROM long GROUP BY 1, 2)
+SELECT column_name, value, count FROM c
+WHERE column_name IN (SELECT column_name FROM c GROUP BY column_name HAVING COUNT(*) <= 25)"""
+SQL["fare_distribution"] = BASE + """
+SELECT round(quantile_cont(CAST(total_fare AS DOUBLE), 0.25), 6) AS q1, round(quantile_cont(CAST(total_fare AS DOUBLE), 0.75), 6) AS q3,
+       round(quantile_cont(CAST(total_fare AS DOUBLE), 0.75), 6) - round(quantile_cont(CAST(total_fare AS DOUBLE), 0.25), 6) AS iqr
+FROM validated"""
+SQL["iqr_outliers"] = BASE + LONG_NUM + """
+, q AS (SELECT column_name, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.75), 6) AS q3 FROM long GROUP BY 1),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)
+SELECT f.column_name, q1, q3, iqr, lower_fence, upper_fence,
+       COUNT(*) FILTER (WHERE value < lower_fence OR value > upper_fence) AS outliers
+FROM f JOIN long l ON f.column_name = l.column_name
+GROUP BY f.column_name, q1, q3, iqr, lower_fence, upper_fence"""
+SQL["corr_target"] = BASE + _union(
+    f"SELECT '{c}' AS column_name, round(corr(CAST({c} AS DOUBLE), CAST(total_fare AS DOUBLE)), 4) AS corr FROM validated"
+    for c in NUMERIC_COLS)
+SQL["corr_matrix"] = BASE + _union(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 4) AS corr FROM validated"
+    for i, a in enumerate(NUMERIC_COLS) for b in NUMERIC_COLS[:i])
+SQL["fare_histogram"] = BASE + """
+, x AS (SELECT 'linear' AS scale, CAST(total_fare AS DOUBLE) AS x FROM validated WHERE total_fare IS NOT NULL
+        UNION ALL
+        SELECT 'log10', log10(CAST(total_fare AS DOUBLE)) FROM validated WHERE total_fare > 0),
+r AS (SELECT scale, min(x) AS lo, max(x) AS hi FROM x GROUP BY scale),
+b AS (SELECT x.scale, lo, hi, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((x - lo) * 60 / (hi - lo)), 59) END AS INTEGER) AS bin
+      FROM x JOIN r ON x.scale = r.scale)
+SELECT scale, bin, round(lo + bin * (hi - lo) / 60, 6) AS bin_start, round(lo + (bin + 1) * (hi - lo) / 60, 6) AS bin_end,
+       COUNT(*) AS count
+FROM b GROUP BY scale, bin, lo, hi"""
+SQL["fare_skew"] = BASE + """
+SELECT round(skewness(CAST(total_fare AS DOUBLE)), 4) AS skew, COUNT(total_fare) AS n FROM validated"""
+SQL["fare_summary"] = BASE + f"""
+SELECT COUNT(*) AS rows, {ravg('total_fare', 2)} AS mean_fare, round(stddev_samp(CAST(total_fare AS DOUBLE)), 2) AS std_fare,
+       round(quantile_cont(CAST(total_fare AS DOUBLE), 0.5), 6) AS median_fare
+FROM validated"""
+SQL["airline_fare_stats"] = BASE + f"""
+SELECT airline, {ravg('total_fare', 0)} AS mean_fare,
+       round(round(quantile_cont(CAST(total_fare AS DOUBLE), 0.5), 6), 0) AS median_fare,
+       round(stddev_samp(CAST(total_fare AS DOUBLE)), 0) AS std_fare
+FROM validated WHERE airline IS NOT NULL GROUP BY airline"""
+DIMS = """, d AS (SELECT 'season_label' AS dimension, season_label AS value, CAST(total_fare AS DOUBLE) AS x FROM validated
+              WHERE season_label IS NOT NULL AND total_fare IS NOT NULL
+       UNION ALL
+       SELECT 'airline', airline, CAST(total_fare AS DOUBLE) FROM validated
+              WHERE airline IS NOT NULL AND total_fare IS NOT NULL)
+"""
+SQL["median_fare_by_dim"] = BASE + DIMS + """
+SELECT dimension, value, round(quantile_cont(x, 0.5), 6) AS median_fare FROM d GROUP BY dimension, value"""
+SQL["box_stats"] = BASE + DIMS + """
+, q AS (SELECT dimension, value, round(quantile_cont(x, 0.25), 6) AS q1, round(quantile_cont(x, 0.5), 6) AS median,
+          round(quantile_cont(x, 0.75), 6) AS q3 FROM d GROUP BY 1, 2),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT f.dimension, f.value, q1, median, q3, iqr, COUNT(*) AS n, min(x) AS min, max(x) AS max,
+       min(x) FILTER (WHERE x >= lo AND x <= hi) AS lower_whisker,
+       max(x) FILTER (WHERE x >= lo AND x <= hi) AS upper_whisker,
+       COUNT(*) FILTER (WHERE NOT (x >= lo AND x <= hi)) AS outliers
+FROM f JOIN d ON f.dimension = d.dimension AND f.value = d.value
+GROUP BY f.dimension, f.value, q1, median, q3, iqr"""
