@@ -13,8 +13,8 @@ def _c(c) -> Column:
 
 
 def lenient_timestamp(c) -> Column:
-    """Parse text to a timestamp; unparsable text -> null (errors='coerce')."""
-    return F.try_to_timestamp(_c(c).cast("string"))
+    """Parse text to a (zone-less) timestamp; unparsable text -> null (errors='coerce')."""
+    return F.try_to_timestamp(_c(c).cast("string")).cast("timestamp_ntz")
 
 
 def lenient_double(c) -> Column:

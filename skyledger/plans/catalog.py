@@ -11,10 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.functions.codes import encode_stops
+from skyledger.functions.dates import hours_between, lenient_double, lenient_timestamp
+from skyledger.operators import features as FE
 from skyledger.operators import marts as M
 from skyledger.operators import profile as P
 from skyledger.operators import quality as Q
-from skyledger.plans.fixture import FIXTURE_RUN_ID, build_tables, raw_table, validated_table
+from skyledger.plans.fixture import FIXTURE_RUN_ID, build_tables, features_table, raw_table, validated_table
 from skyledger.session import scratch_table_path
 from skyledger.sources.bookings import tpch_bookings
 from skyledger.sources.csv import ingest
@@ -41,6 +44,17 @@ def _stg(spark, sf):
     return M.stg_bookings(validated_table(spark, sf), with_clock=False)
 
 
+def _feat(spark, sf):
+    return features_table(spark, sf)
+
+
+def _scaled(spark, sf):
+    f = _feat(spark, sf)
+    cols = FE.NUM_FEATURES
+    return FE.apply_scaler(f, FE.fit_scaler(f.where(F.col("split") == "train"), cols), cols, digits=6) \
+        .select("raw_id", *cols)
+
+
 def _transfer(spark, sf):
     _, val_path = build_tables(spark, sf)
     dst = scratch_table_path(spark, "analytics_bookings")
@@ -108,4 +122,27 @@ QUERIES: dict[str, Query] = {
     "airline_fare_stats": lambda s, sf: P.grouped_fare_stats(_v(s, sf), "airline"),
     "median_fare_by_dim": lambda s, sf: P.median_by_dims(_v(s, sf)),
     "box_stats": lambda s, sf: P.box_stats(_v(s, sf)),
+    # features and SQL-checkable model preparation
+    "engineer_features": lambda s, sf: FE.engineer(_v(s, sf)).drop("pipeline_run_id"),
+    "intl_counts": lambda s, sf: FE.intl_counts(FE.engineer(_v(s, sf))),
+    "parse_lenient": lambda s, sf: _v(s, sf).select(
+        "raw_id", lenient_timestamp(F.col("departure_time").cast("string")).alias("departure_parsed"),
+        lenient_double(F.col("duration").cast("string")).alias("duration_parsed"),
+        lenient_double("aircraft_type").alias("aircraft_type_numeric")),
+    "derive_duration": lambda s, sf: _v(s, sf).select(
+        "raw_id", hours_between("departure_time", "arrival_time").alias("duration_hrs_derived")),
+    "encode_stops": lambda s, sf: _raw(s, sf).select(
+        F.col("id").alias("raw_id"), "stops", encode_stops("stops").alias("stops_code")),
+    "log_target": lambda s, sf: FE.log_target(_v(s, sf)).select(
+        "raw_id", F.round("label", 8).alias("label")),
+    "impute_nulls": lambda s, sf: FE.impute_nulls(
+        _raw(s, sf).select("id", "tax_and_surcharge", "total_fare", "seasonality"),
+        ["tax_and_surcharge", "total_fare"], ["seasonality"]),
+    "label_encode": lambda s, sf: FE.label_vocabulary(FE.engineer(_v(s, sf))),
+    "train_test_split": lambda s, sf: FE.split_assign(_v(s, sf)).select("raw_id", "split", "fold"),
+    "standard_scale": _scaled,
+    "regression_metrics": lambda s, sf: FE.regression_metrics(FE.baseline_predictions(_feat(s, sf))),
+    "residual_summary": lambda s, sf: FE.residual_summary(FE.baseline_predictions(_feat(s, sf))),
+    "dim_lookup": lambda s, sf: FE.dim_lookup(_v(s, sf)),
+    "season_multiplier": lambda s, sf: FE.season_multiplier(FE.engineer(_v(s, sf))),
 }

@@ -53,6 +53,25 @@ def validated_table(spark: SparkSession, sf_dir: str, run_id: str | None = FIXTU
     return df if with_clock else df.drop("load_timestamp")
 
 
+_FEATURES: dict[tuple[str, str], str] = {}
+
+
+def features_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Engineered features + split/fold + log target, stored once per session.
+
+    Model fitting reads this table many times (folds, presets), so it is
+    written to the shared folder instead of recomputed from the bookings.
+    """
+    from skyledger.operators.features import engineer, log_target, split_assign
+    key = _key(spark, sf_dir)
+    if key not in _FEATURES:
+        path = scratch_table_path(spark, "features")
+        feats = log_target(split_assign(engineer(validated_table(spark, sf_dir))))
+        feats.write.mode("overwrite").parquet(path)
+        _FEATURES[key] = path
+    return spark.read.parquet(_FEATURES[key])
+
+
 def run_column_last(df: DataFrame) -> DataFrame:
     cols = [c for c in df.columns if c != "pipeline_run_id"]
     return df.select(*cols, F.col("pipeline_run_id"))

@@ -408,3 +408,91 @@ SELECT f.dimension, f.value, q1, median, q3, iqr, COUNT(*) AS n, min(x) AS min,
        COUNT(*) FILTER (WHERE NOT (x >= lo AND x <= hi)) AS outliers
 FROM f JOIN d ON f.dimension = d.dimension AND f.value = d.value
 GROUP BY f.dimension, f.value, q1, median, q3, iqr"""
+
+# --- features and model preparation -------------------------------------------
+FEAT = """, feat AS (
+  SELECT raw_id, airline, source, destination, booking_class AS class, booking_source,
+    coalesce(seasonality, season_label) AS seasonality, TRY_CAST(duration AS DOUBLE) AS duration_hrs,
+    days_before_departure, CAST(stops AS INTEGER) AS stopovers,
+    CAST(hour(departure_time) AS INTEGER) AS departure_hour, CAST(day(departure_time) AS INTEGER) AS departure_day,
+    CAST(month(departure_time) AS INTEGER) AS departure_month,
+    CAST(isodow(departure_time) - 1 AS INTEGER) AS departure_weekday,
+    CAST(hour(arrival_time) AS INTEGER) AS arrival_hour, total_fare,
+    CASE WHEN TRY_CAST(duration AS DOUBLE) > 3.5 THEN 1 ELSE 0 END AS is_international,
+    source || '_' || destination AS route,
+    CASE WHEN isodow(departure_time) - 1 IN (5, 6) THEN 1 ELSE 0 END AS is_weekend,
+    CASE WHEN days_before_departure <= 7 THEN 1 ELSE 0 END AS last_minute_booking,
+    CASE WHEN days_before_departure >= 30 THEN 1 ELSE 0 END AS early_booking,
+    CAST(stops AS INTEGER) / (TRY_CAST(duration AS DOUBLE) + 1e-6) AS stopover_intensity,
+    CAST(stops AS INTEGER) + CASE WHEN TRY_CAST(duration AS DOUBLE) > 3.5 THEN 1 ELSE 0 END
+      + CASE WHEN TRY_CAST(duration AS DOUBLE) > 8 THEN 1 ELSE 0 END AS trip_complexity
+  FROM validated),
+fs AS (
+  SELECT *, CASE WHEN raw_id % 10 >= 8 THEN 'test' ELSE 'train' END AS split,
+    CASE WHEN raw_id % 10 >= 8 THEN NULL ELSE CAST((raw_id // 10) % 5 AS INTEGER) END AS fold,
+    ln(1 + CAST(total_fare AS DOUBLE)) AS label
+  FROM feat)
+"""
+SQL["engineer_features"] = BASE + FEAT + "SELECT * FROM feat"
+SQL["intl_counts"] = BASE + FEAT + """
+SELECT COUNT(*) FILTER (WHERE is_international = 0) AS domestic,
+       COUNT(*) FILTER (WHERE is_international = 1) AS international FROM feat"""
+SQL["parse_lenient"] = BASE + """
+SELECT raw_id, TRY_CAST(CAST(departure_time AS VARCHAR) AS TIMESTAMP) AS departure_parsed,
+       TRY_CAST(CAST(duration AS VARCHAR) AS DOUBLE) AS duration_parsed,
+       TRY_CAST(aircraft_type AS DOUBLE) AS aircraft_type_numeric
+FROM validated"""
+SQL["derive_duration"] = BASE + """
+SELECT raw_id, CAST(date_diff('second', departure_time, arrival_time) AS DOUBLE) / 3600.0 AS duration_hrs_derived
+FROM validated"""
+SQL["encode_stops"] = BASE + """
+SELECT id AS raw_id, stops, CASE stops WHEN 'Direct' THEN 0 WHEN '1 Stop' THEN 1 WHEN '2 Stops' THEN 2 END AS stops_code
+FROM raw"""
+SQL["log_target"] = BASE + "SELECT raw_id, round(ln(1 + CAST(total_fare AS DOUBLE)), 8) AS label FROM validated"
+SQL["impute_nulls"] = BASE + """
+, med AS (SELECT round(quantile_cont(CAST(tax_and_surcharge AS DOUBLE), 0.5), 6) AS mt,
+                 round(quantile_cont(CAST(total_fare AS DOUBLE), 0.5), 6) AS mf FROM raw)
+SELECT id, coalesce(CAST(tax_and_surcharge AS DOUBLE), mt) AS tax_and_surcharge,
+       coalesce(CAST(total_fare AS DOUBLE), mf) AS total_fare, coalesce(seasonality, 'Unknown') AS seasonality
+FROM raw, med"""
+SQL["label_encode"] = BASE + FEAT + ", lv AS (" + _union(
+    f"SELECT DISTINCT '{c}' AS column_name, coalesce(CAST({c} AS VARCHAR), 'nan') AS value FROM feat"
+    for c in ["airline", "source", "destination", "class", "booking_source", "seasonality"]) + """)
+SELECT column_name, value, CAST(dense_rank() OVER (PARTITION BY column_name ORDER BY value) - 1 AS INTEGER) AS code
+FROM lv"""
+SQL["train_test_split"] = BASE + FEAT + "SELECT raw_id, split, fold FROM fs"
+_NUMF = ["duration_hrs", "days_before_departure", "stopovers", "departure_hour", "departure_day",
+         "departure_month", "departure_weekday", "arrival_hour", "is_international"]
+SQL["standard_scale"] = BASE + FEAT + ", m AS (SELECT " + ", ".join(
+    f"avg(CAST({c} AS DOUBLE)) AS {c}__mean, stddev_pop(CAST({c} AS DOUBLE)) AS {c}__std" for c in _NUMF
+) + " FROM fs WHERE split = 'train')\nSELECT raw_id, " + ", ".join(
+    f"round(CASE WHEN {c}__std = 0 THEN CAST({c} AS DOUBLE) - {c}__mean "
+    f"ELSE (CAST({c} AS DOUBLE) - {c}__mean) / {c}__std END, 6) AS {c}" for c in _NUMF) + " FROM fs, m"
+PRED = """, fit AS (SELECT regr_slope(label, duration_hrs) AS b, regr_intercept(label, duration_hrs) AS a
+             FROM fs WHERE split = 'train'),
+pred AS (SELECT label, a + b * CAST(duration_hrs AS DOUBLE) AS prediction FROM fs, fit WHERE split = 'test')
+"""
+SQL["regression_metrics"] = BASE + FEAT + PRED + """
+SELECT round(1 - SUM((label - prediction) * (label - prediction)) / NULLIF(var_pop(label) * COUNT(label), 0), 4) AS r2,
+       round(avg(abs((exp(label) - 1) - (exp(prediction) - 1))), 2) AS mae,
+       round(sqrt(avg(((exp(label) - 1) - (exp(prediction) - 1)) * ((exp(label) - 1) - (exp(prediction) - 1)))), 2) AS rmse,
+       COUNT(label) AS n
+FROM pred"""
+SQL["residual_summary"] = BASE + FEAT + PRED + """
+SELECT round(avg(label - prediction), 4) AS mean_error, round(stddev_samp(label - prediction), 4) AS std_error,
+       round(min(label - prediction), 4) AS min_error, round(max(label - prediction), 4) AS max_error
+FROM pred"""
+_AIRPORTS = ("CASE {c} WHEN 'BZL' THEN 'Barisal' WHEN 'CGP' THEN 'Chittagong' WHEN 'CXB' THEN 'Cox''s Bazar' "
+             "WHEN 'DAC' THEN 'Dhaka' WHEN 'JSR' THEN 'Jessore' WHEN 'RJH' THEN 'Rajshahi' "
+             "WHEN 'SPD' THEN 'Saidpur' WHEN 'ZYL' THEN 'Sylhet' END")
+SQL["dim_lookup"] = BASE + f"""
+SELECT raw_id, booking_class,
+       CASE booking_class WHEN 'Economy' THEN 'lowest tier' WHEN 'Business' THEN 'mid tier'
+            WHEN 'First Class' THEN 'premium tier' END AS class_tier,
+       source, {_AIRPORTS.format(c='source')} AS source_city,
+       destination, {_AIRPORTS.format(c='destination')} AS destination_city
+FROM validated"""
+SQL["season_multiplier"] = BASE + FEAT + """
+, m AS (SELECT raw_id, seasonality, CASE seasonality WHEN 'Regular' THEN 1.0 WHEN 'Winter Holidays' THEN 1.17
+          WHEN 'Eid' THEN 1.34 WHEN 'Hajj' THEN 1.43 END::DOUBLE AS multiplier FROM feat)
+SELECT raw_id, seasonality, multiplier, round((multiplier - 1) * 100, 0) AS premium_pct FROM m"""

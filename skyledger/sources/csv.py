@@ -40,8 +40,8 @@ def read_bookings_csv(spark: SparkSession, path: str, header_map: dict | None =
 def typed_raw(df: DataFrame, extra_cols: tuple[str, ...] = ()) -> DataFrame:
     """Tolerant projection onto the raw columns with lenient casts."""
     casts = {
-        "departure_time": lambda c: lenient_timestamp(c).cast("timestamp_ntz"),
-        "arrival_time": lambda c: lenient_timestamp(c).cast("timestamp_ntz"),
+        "departure_time": lenient_timestamp,
+        "arrival_time": lenient_timestamp,
         "duration": lenient_double,
         "days_before_departure": lambda c: F.col(c).try_cast("bigint"),
         "base_fare": lambda c: F.col(c).try_cast(FARE),
