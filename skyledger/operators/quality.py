@@ -87,18 +87,15 @@ def season_classify(df: DataFrame, date_col: str = "departure_time") -> DataFram
 
 
 # Column defaults on write (what the table DDL declares).
-DEFAULTS = {
-    "tax_and_surcharge": F.lit(0).cast(FARE),
-    "stops": F.lit(0),
-    "is_peak_season": F.lit(0),
-    "validation_status": F.lit("valid"),
-}
+DEFAULTS = {"tax_and_surcharge": 0, "stops": 0, "is_peak_season": 0, "validation_status": "valid"}
+DEFAULT_TYPES = {"tax_and_surcharge": FARE}
 
 
 def apply_defaults(df: DataFrame, with_clock: bool = True) -> DataFrame:
     """Fill declared defaults for null or absent columns in the writer projection."""
     out = df
-    for c, default in DEFAULTS.items():
+    for c, value in DEFAULTS.items():
+        default = F.lit(value).cast(DEFAULT_TYPES[c]) if c in DEFAULT_TYPES else F.lit(value)
         out = out.withColumn(c, F.coalesce(F.col(c), default) if c in out.columns else default)
     if with_clock:
         ts = F.current_timestamp()

@@ -98,7 +98,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     ``digits`` rounds the results (interpolation noise is in the last ulp).
     """
     data = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull()))
+            .where(F.col("_v").isNotNull() & ~F.isnan("_v")))  # NaN is missing, as in pandas
     ranked, sizes = range_rank(data, ["_v"], group_cols, "_rank", num_partitions)
 
     spec = F.array(*[F.struct(F.lit(i).alias("_q"), F.lit(float(p)).alias("_p"))
