@@ -34,8 +34,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def oracle_table(con, sql: str):
-    rel = con.execute(sql)
-    for m in ("fetch_arrow_table", "to_arrow_table", "arrow"):
+    rel = con.sql(sql) if hasattr(con, "sql") else con.execute(sql)
+    for m in ("to_arrow_table", "fetch_arrow_table", "arrow"):
         if hasattr(rel, m):
             t = getattr(rel, m)()
             return t.read_all() if hasattr(t, "read_all") else t
