@@ -47,6 +47,11 @@ def dtype_summary(df: DataFrame) -> list[dict]:
     return out
 
 
+def preview(df: DataFrame, order_cols: Sequence[str], n: int = 5) -> DataFrame:
+    """First ``n`` rows by an explicit order (a ``head()`` that is reproducible)."""
+    return df.orderBy(*order_cols).limit(n)
+
+
 def to_long(df: DataFrame, cols: Sequence[str], value_type: str = "double") -> DataFrame:
     """(column_name, value) rows for the listed columns; null values dropped."""
     typed = df.select(*[F.col(c).cast(value_type).alias(c) for c in cols])

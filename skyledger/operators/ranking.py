@@ -1,10 +1,20 @@
 """Order statistics without a single-task sort.
 
 ``row_number() over (order by ...)`` without a partition, or a per-group
-window, pulls a whole table (or a whole hot group) into one task. Both
-operators here range-partition on (group, order) keys instead, so one group
-can span many tasks, and then stitch positions back together from per-task
-counts, which are a few rows per task.
+window, pulls a whole table (or a whole hot group) into one task. These
+operators range-partition on (group, order) keys instead, so one group can
+span many tasks, and rebuild positions from per-task counts (a few rows
+per task):
+
+1. range-partition and sort on (group, order); tag each row with its task
+   and position in the task; checkpoint, so the tags stay fixed if work is
+   re-run (range bounds come from sampling and would move on a re-run);
+2. count rows per (task, group): a running sum gives each group's offset in
+   each task;
+3. row index = offset + position - first position of the group in the task.
+
+Quantiles only need 2 rows per requested probability and group, so they
+pick those rows by (task, position) instead of ranking every row.
 """
 
 from __future__ import annotations
@@ -14,15 +24,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
+_LOCAL_BITS = 33  # monotonically_increasing_id = task index << 33 | row position
+BROADCAST_MAX_ROWS = 2_000_000
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join with ``small`` broadcast only after checking its row count.
+
+    Above ``max_rows`` it falls back to a shuffle join (AQE may still
+    broadcast from measured sizes). ``small`` should be cached or cheap:
+    it is counted once.
+    """
+    n = small.count()
+    side = F.broadcast(small) if n <= max_rows else small
+    return big.join(side, on, how)
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -31,23 +47,21 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def range_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-               rank_col: str = "_rank", num_partitions: int | None = None
-               ) -> tuple[DataFrame, DataFrame]:
-    """0-based position of each row within its group, in ``order_cols`` order.
+def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    cond = None
+    for lc, rc in pairs:
+        e = left[lc].eqNullSafe(right[rc])
+        cond = e if cond is None else cond & e
+    return cond
 
-    Returns ``(ranked, sizes)``: ``ranked`` is ``df`` plus ``rank_col``;
-    ``sizes`` has one row per group with its row count ``_n``.
 
-    Steps: range-partition and sort on (group, order); tag each row with its
-    task and position; checkpoint so the tags survive re-execution (range
-    bounds come from sampling and would change on a re-run); count rows per
-    (task, group); a running sum over those counts gives each group's offset
-    in each task. Nulls sort first, as in ``ORDER BY ... NULLS FIRST``.
-    """
+def _tag_and_count(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str],
+                   num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """(tagged rows with ``_pid``/``_loc``, per (task, group) stats with
+    ``_cnt``, ``_first`` and ``_before``). Stats are cached: they are small
+    (tasks + groups rows) and recomputable from the checkpoint."""
     keys = [F.col(c).asc_nulls_first() for c in [*group_cols, *order_cols]]
-    n = _partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(n, *keys)
+    tagged = (df.repartitionByRange(_partitions(df, num_partitions), *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
@@ -55,20 +69,28 @@ def range_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[st
         *[c for c in tagged.columns if c != "_mid"],
         F.shiftright("_mid", _LOCAL_BITS).alias("_pid"),
         F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias("_loc"))
-
     stats = tagged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_first"))
     before = (Window.partitionBy(*group_cols).orderBy("_pid")
               .rowsBetween(Window.unboundedPreceding, -1))
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    sizes = stats.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"))
+    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).cache()
+    return tagged, stats
+
 
-    s = stats.select(*[F.col(c).alias(f"_s_{c}") for c in ["_pid", *group_cols]],
-                     "_before", "_first")
-    cond = tagged["_pid"] == s["_s__pid"]
-    for c in group_cols:
-        cond = cond & tagged[c].eqNullSafe(s[f"_s_{c}"])
-    ranked = (tagged.join(s, cond)
+def range_rank(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
+               rank_col: str = "_rank", num_partitions: int | None = None
+               ) -> tuple[DataFrame, DataFrame]:
+    """0-based position of every row within its group, in ``order_cols`` order
+    (nulls first). Returns ``(ranked, sizes)``; ``sizes`` has ``_n`` per group."""
+    tagged, stats = _tag_and_count(df, order_cols, group_cols, num_partitions)
+    sizes = stats.groupBy(*group_cols).agg(F.sum("_cnt").alias("_n"))
+    s = stats.select(*[F.col(c).alias(f"_s_{c}") for c in ["_pid", *group_cols]], "_before", "_first")
+    n = s.count()  # tasks x groups present in them
+    side = F.broadcast(s) if n <= BROADCAST_MAX_ROWS else s
+    cond = tagged["_pid"] == side["_s__pid"]
+    if group_cols:
+        cond = cond & _null_safe(tagged, side, [(c, f"_s_{c}") for c in group_cols])
+    ranked = (tagged.join(side, cond)
               .withColumn(rank_col, F.col("_before") + F.col("_loc") - F.col("_first"))
               .drop("_pid", "_loc", "_before", "_first", *[f"_s_{c}" for c in ["_pid", *group_cols]]))
     return ranked, sizes
@@ -80,7 +102,8 @@ def sequence_index(df: DataFrame, order_cols: Sequence[str], name: str = "row_in
 
     Equal to ``row_number() over (order by order_cols nulls first) - 1``;
     rows equal on every order column are interchangeable, so ordering by all
-    columns makes the assignment reproducible.
+    columns makes the assignment reproducible. The offsets table has one
+    row per task, so it is always broadcast.
     """
     ranked, _ = range_rank(df, order_cols, (), rank_col=name, num_partitions=num_partitions)
     return ranked
@@ -91,45 +114,52 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     num_partitions: int | None = None, digits: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles (pandas ``quantile`` semantics).
 
-    One output row per group (one row overall without groups) with a double
-    column per probability. Position ``h = (n - 1) * p`` is interpolated as
-    ``v[floor h] + (h - floor h) * (v[ceil h] - v[floor h])``. Only the
-    2 x len(probs) rows per group at those positions leave the ranking step.
-    ``digits`` rounds the results (interpolation noise is in the last ulp).
+    One row per group (one row overall without groups), a double column per
+    probability. Position ``h = (n - 1) * p`` is interpolated as
+    ``v[floor h] + (h - floor h) * (v[ceil h] - v[floor h])``; nulls and NaN
+    are skipped. Only the rows at those positions are read back from the
+    sorted data. ``digits`` rounds the results (removes last-ulp noise).
     """
-    data = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"))
+    g = list(group_cols)
+    data = (df.select(*g, F.col(value_col).cast("double").alias("_v"))
             .where(F.col("_v").isNotNull() & ~F.isnan("_v")))  # NaN is missing, as in pandas
-    ranked, sizes = range_rank(data, ["_v"], group_cols, "_rank", num_partitions)
+    tagged, stats = _tag_and_count(data, ["_v"], g, num_partitions)
+    sizes = stats.groupBy(*g).agg(F.sum("_cnt").alias("_n"))
 
     spec = F.array(*[F.struct(F.lit(i).alias("_q"), F.lit(float(p)).alias("_p"))
                      for i, p in enumerate(probs)])
-    targets = (sizes.select(*group_cols, "_n", F.explode(spec).alias("_t"))
-               .select(*group_cols, "_n", "_t._q",
-                       ((F.col("_n") - 1) * F.col("_t._p")).alias("_h")))
-    targets = targets.select(*group_cols, "_q", "_h",
-                             F.floor("_h").alias("_lo"), F.ceil("_h").alias("_hi"))
-    picks = targets.select(*group_cols, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_pos"))
-    picks = picks.select(*[F.col(c).alias(f"_k_{c}") for c in group_cols], "_pos").distinct()
-
-    cond = ranked["_rank"] == picks["_pos"]
-    for c in group_cols:
-        cond = cond & ranked[c].eqNullSafe(picks[f"_k_{c}"])
-    values = ranked.join(picks, cond).select(
-        *[F.col(f"_k_{c}").alias(f"_g_{c}") for c in group_cols],
-        F.col("_pos"), F.col("_v"))
-
-    lo = values.select(*[F.col(f"_g_{c}").alias(f"_l_{c}") for c in group_cols],
-                       F.col("_pos").alias("_lpos"), F.col("_v").alias("_vlo"))
-    hi = values.select(*[F.col(f"_g_{c}").alias(f"_h_{c}") for c in group_cols],
-                       F.col("_pos").alias("_hpos"), F.col("_v").alias("_vhi"))
+    targets = (sizes.select(*g, "_n", F.explode(spec).alias("_t"))
+               .select(*g, "_t._q", ((F.col("_n") - 1) * F.col("_t._p")).alias("_h")))
+    targets = targets.select(*g, "_q", "_h", F.floor("_h").alias("_lo"), F.ceil("_h").alias("_hi")).cache()
+
+    # wanted (task, position) for every needed rank: a join of two small tables
+    pos = (targets.select(*g, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_pos"))
+           .distinct())
+    st = stats.select(*[F.col(c).alias(f"_s_{c}") for c in g], "_pid", "_cnt", "_first", "_before")
+    cond = (pos["_pos"] >= st["_before"]) & (pos["_pos"] < st["_before"] + st["_cnt"])
+    if g:
+        cond = cond & _null_safe(pos, st, [(c, f"_s_{c}") for c in g])
+    wanted = (pos.join(st, cond)
+              .select(*[F.col(c).alias(f"_w_{c}") for c in g], "_pos",
+                      F.col("_pid").alias("_wpid"),
+                      (F.col("_first") + F.col("_pos") - F.col("_before")).alias("_wloc"))).cache()
+    n = wanted.count()  # at most 2 x len(probs) x groups
+    side = F.broadcast(wanted) if n <= BROADCAST_MAX_ROWS else wanted
+    picked = (tagged.join(side, (tagged["_pid"] == side["_wpid"]) & (tagged["_loc"] == side["_wloc"]))
+              .select(*[F.col(f"_w_{c}").alias(c) for c in g], "_pos", "_v"))
+
+    lo = picked.select(*[F.col(c).alias(f"_l_{c}") for c in g], F.col("_pos").alias("_lpos"),
+                       F.col("_v").alias("_vlo"))
+    hi = picked.select(*[F.col(c).alias(f"_h_{c}") for c in g], F.col("_pos").alias("_hpos"),
+                       F.col("_v").alias("_vhi"))
     lcond = targets["_lo"] == lo["_lpos"]
     hcond = targets["_hi"] == hi["_hpos"]
-    for c in group_cols:
-        lcond = lcond & targets[c].eqNullSafe(lo[f"_l_{c}"])
-        hcond = hcond & targets[c].eqNullSafe(hi[f"_h_{c}"])
+    if g:
+        lcond = lcond & _null_safe(targets, lo, [(c, f"_l_{c}") for c in g])
+        hcond = hcond & _null_safe(targets, hi, [(c, f"_h_{c}") for c in g])
     q = (targets.join(lo, lcond).join(hi, hcond)
-         .select(*[targets[c] for c in group_cols], "_q",
+         .select(*[targets[c] for c in g], "_q",
                  (F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))).alias("_val")))
     val = F.col("_val") if digits is None else F.round("_val", digits)
-    return q.groupBy(*group_cols).agg(*[
-        F.max(F.when(F.col("_q") == i, val)).alias(name) for i, name in enumerate(names)])
+    return q.groupBy(*g).agg(*[F.max(F.when(F.col("_q") == i, val)).alias(name)
+                               for i, name in enumerate(names)])

@@ -16,6 +16,11 @@ from pyspark.sql import SparkSession
 # Settings that matter at any scale: adaptive execution re-plans joins from
 # measured sizes, coalesces small shuffle partitions and splits skewed ones.
 SCALE_CONF = {
+    # No broadcast from static (file-size) estimates: a compressed fact table
+    # can look small. AQE converts a join to broadcast only after measuring
+    # the shuffled side at runtime, under the adaptive threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
