@@ -13,8 +13,12 @@ def _c(c) -> Column:
 
 
 def lenient_timestamp(c) -> Column:
-    """Parse text to a (zone-less) timestamp; unparsable text -> null (errors='coerce')."""
-    return F.try_to_timestamp(_c(c).cast("string")).cast("timestamp_ntz")
+    """Parse text to a zone-less timestamp; unparsable text -> null (errors='coerce').
+
+    A direct ``try_cast`` to ``timestamp_ntz`` never consults the session
+    time zone, so wall-clock times cannot shift across a DST gap.
+    """
+    return _c(c).cast("string").try_cast("timestamp_ntz")
 
 
 def lenient_double(c) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,8 +112,10 @@ def value_counts(df: DataFrame, cols: Sequence[str] | None = None, max_unique: i
         cols = [c for c in string_columns(df)
                 if not any(k in c for k in ("date", "time", "name"))]
     counts = to_long(df, cols, "string").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
-    card = F.count(F.lit(1)).over(Window.partitionBy("column_name"))  # over aggregated rows
-    return counts.withColumn("_u", card).where(F.col("_u") <= max_unique).drop("_u")
+    # cardinality per column: one row per profiled column, so the broadcast is bounded
+    card = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("_u"))
+    keep = card.where(F.col("_u") <= max_unique).select("column_name")
+    return counts.join(F.broadcast(keep), "column_name", "left_semi")
 
 
 def fare_distribution(df: DataFrame, col: str = "total_fare") -> DataFrame:
