@@ -32,8 +32,16 @@ def weekday_mon0(c) -> Column:
 
 
 def hours_between(start, end) -> Column:
-    """(end - start) in hours as a double."""
-    return F.timestamp_diff("SECOND", _c(start), _c(end)).cast("double") / F.lit(3600.0)
+    """(end - start) in hours as a double.
+
+    Zone-less timestamps are subtracted as a day-time interval and its
+    fields summed: ``timestamp_diff`` would route through the session time
+    zone and lose or gain an hour across a DST change.
+    """
+    iv = _c(end) - _c(start)
+    secs = (F.extract(F.lit("DAY"), iv) * 86400 + F.extract(F.lit("HOUR"), iv) * 3600
+            + F.extract(F.lit("MINUTE"), iv) * 60 + F.extract(F.lit("SECOND"), iv))
+    return secs.cast("double") / F.lit(3600.0)
 
 
 def month_day(c) -> Column:
