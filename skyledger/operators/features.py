@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.dates import hours_between, lenient_double, weekday_mon0
 from skyledger.functions.fares import format_bdt
-from skyledger.operators.ranking import range_rank
+from skyledger.operators.ranking import join_small, range_rank
 from skyledger.schemas import (
     AIRPORT_CITIES, CAT_FEATURES, EARLY_BOOKING_DAYS, INTERNATIONAL_HOURS, LAST_MINUTE_DAYS,
     LONG_HAUL_HOURS, NUM_FEATURES, SEASON_MULTIPLIERS,
@@ -101,8 +101,8 @@ def apply_labels(df: DataFrame, vocab: DataFrame, cols: Sequence[str] = CAT_FEAT
                  suffix: str = "_code") -> DataFrame:
     """Adds ``<col>_code`` for each column by joining its vocabulary slice.
 
-    Vocabularies are bounded by the number of distinct labels (dozens here);
-    AQE broadcasts them after measuring. Unknown values get a null code.
+    A vocabulary has one row per distinct label; it is broadcast only after
+    its row count is checked (``join_small``). Unknown values get a null code.
     """
     out = df
     for c in cols:
@@ -110,8 +110,8 @@ def apply_labels(df: DataFrame, vocab: DataFrame, cols: Sequence[str] = CAT_FEAT
             continue
         v = vocab.where(F.col("column_name") == c).select(
             F.col("value").alias(f"_{c}_v"), F.col("code").alias(f"{c}{suffix}"))
-        key = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-        out = out.join(v, key == F.col(f"_{c}_v"), "left").drop(f"_{c}_v")
+        out = join_small(out.withColumn(f"_{c}_v", F.coalesce(F.col(c).cast("string"), F.lit("nan"))),
+                         v, f"_{c}_v", "left").drop(f"_{c}_v")
     return out
 
 
