@@ -101,15 +101,15 @@ def kpi_booking_count(v: DataFrame, run_id: str | None = None) -> DataFrame:
     """Bookings per airline, peak / off-peak split and market share.
 
     The share's denominator is every row of the run (also rows with a null
-    airline or fare): a grand total over the per-airline aggregate (a few
-    dozen rows), so no second scan and no join.
+    airline or fare): a one-row total over the per-airline aggregate, joined
+    back by broadcast (the aggregate's shuffle is reused, no second scan).
     """
     g = v.groupBy("airline").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count("total_fare").alias("total_bookings"),
         F.count_if((F.col("is_peak_season") == 1) & F.col("total_fare").isNotNull()).alias("peak_bookings"))
-    total = F.sum("_rows").over(Window.partitionBy())
-    return (g.withColumn("_all", total).where(F.col("airline").isNotNull())
+    total = F.broadcast(g.agg(F.sum("_rows").alias("_all")))  # exactly one row
+    return (g.crossJoin(total).where(F.col("airline").isNotNull())
             .select("airline", "total_bookings", "peak_bookings",
                     (F.col("total_bookings") - F.col("peak_bookings")).alias("offpeak_bookings"),
                     F.round(safe_div("total_bookings", "_all") * F.lit(100.0), 4).alias("market_share_pct"),
@@ -251,15 +251,14 @@ def season_premium(v: DataFrame, season_col: str = "season_label", baseline: str
     """Mean fare per season and its % premium over the baseline season.
 
     The baseline is the 'Regular' season when present, else the cheapest
-    season; the window runs over the per-season aggregate (a handful of rows).
+    season: a one-row aggregate over the per-season rows, broadcast back.
     """
     g = (v.where(F.col(season_col).isNotNull()).groupBy(F.col(season_col).alias("season"))
          .agg(_avg("total_fare").alias("_m"), decimal_avg_rounded("total_fare", 2).alias("avg_fare")))
-    w = Window.partitionBy()
-    base = F.coalesce(F.max(F.when(F.col("season") == baseline, F.col("_m"))).over(w),
-                      F.min("_m").over(w))
-    return g.select("season", "avg_fare",
-                    F.round((safe_div(F.col("_m"), base) - 1) * 100, 1).alias("premium_pct"))
+    base = F.broadcast(g.agg(F.coalesce(F.max(F.when(F.col("season") == baseline, F.col("_m"))),
+                                        F.min("_m")).alias("_base")))  # exactly one row
+    return g.crossJoin(base).select(
+        "season", "avg_fare", F.round((safe_div(F.col("_m"), F.col("_base")) - 1) * 100, 1).alias("premium_pct"))
 
 
 def intl_counts(features: DataFrame) -> DataFrame:
