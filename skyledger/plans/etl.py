@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import marts as M
 from skyledger.operators.quality import run_log, validate, validation_audit
-from skyledger.sources.csv import ingest, read_bookings_csv
+from skyledger.sources.csv import read_bookings_csv
+from skyledger.sources.landing import land_run, scan_landing
 from skyledger.sources.tables import append_run, replace_table, scan_run, transfer_run
 
 # Columns the analytics copy keeps (departure_time is carried through so the
@@ -56,14 +57,12 @@ class Warehouse:
 
 def stage_ingest(spark: SparkSession, source: DataFrame, wh: Warehouse, run_id: str | None = None) -> dict:
     run_id = run_id or str(uuid.uuid4())
-    obs = Observation("ingest")
-    append_run(ingest(source, run_id).observe(obs, F.count(F.lit(1)).alias("rows")), wh.raw)
-    return {"run_id": run_id, "rows": int(obs.get["rows"])}
+    return land_run(source, run_id, wh.raw)
 
 
 def stage_validate(spark: SparkSession, wh: Warehouse, run_id: str) -> dict:
     obs = Observation("validate")
-    raw = scan_run(spark, wh.raw, run_id)
+    raw = scan_landing(spark, wh.raw, run_id)
     append_run(validate(raw).observe(obs, F.count(F.lit(1)).alias("rows")), wh.validated)
     v = scan_run(spark, wh.validated, run_id)
     append_run(validation_audit(raw, v).withColumn("pipeline_run_id", F.lit(run_id)), wh.audit)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from skyledger.operators.quality import validate
 from skyledger.session import scratch_table_path
 from skyledger.sources.bookings import tpch_bookings
-from skyledger.sources.csv import ingest
+from skyledger.sources.landing import land_run, scan_landing
 from skyledger.sources.tables import append_run, scan_run
 
 FIXTURE_RUN_ID = "fixture-run-0001"
@@ -34,16 +34,16 @@ def build_tables(spark: SparkSession, sf_dir: str, run_id: str = FIXTURE_RUN_ID)
     if key in _TABLES:
         return _TABLES[key]
     raw_path = scratch_table_path(spark, "raw_bookings")
-    append_run(ingest(tpch_bookings(spark, sf_dir), run_id), raw_path)
+    land_run(tpch_bookings(spark, sf_dir), run_id, raw_path)
     val_path = scratch_table_path(spark, "validated_bookings")
-    append_run(validate(scan_run(spark, raw_path, run_id)), val_path)
+    append_run(validate(scan_landing(spark, raw_path, run_id)), val_path)
     _TABLES[key] = (raw_path, val_path)
     return raw_path, val_path
 
 
 def raw_table(spark: SparkSession, sf_dir: str, run_id: str | None = FIXTURE_RUN_ID,
               with_clock: bool = False) -> DataFrame:
-    df = scan_run(spark, build_tables(spark, sf_dir)[0], run_id)
+    df = scan_landing(spark, build_tables(spark, sf_dir)[0], run_id)
     return df if with_clock else df.drop("load_timestamp")
 
 

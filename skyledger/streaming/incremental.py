@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from skyledger.operators.quality import validate
 from skyledger.plans.etl import Warehouse
-from skyledger.sources.csv import ingest, normalise_headers
-from skyledger.sources.tables import append_run, scan_run
+from skyledger.sources.csv import normalise_headers
+from skyledger.sources.landing import land_run, scan_landing
+from skyledger.sources.tables import append_run
 
 
 def _text_schema(spark: SparkSession, sample_dir: str) -> T.StructType:
@@ -39,8 +40,8 @@ def start_incremental_ingest(spark: SparkSession, drop_dir: str, wh: Warehouse,
         if batch.isEmpty():
             return
         run_id = f"{run_prefix}-{batch_id:06d}"
-        append_run(ingest(normalise_headers(batch), run_id), wh.raw)
-        append_run(validate(scan_run(batch.sparkSession, wh.raw, run_id)), wh.validated)
+        land_run(normalise_headers(batch), run_id, wh.raw)
+        append_run(validate(scan_landing(batch.sparkSession, wh.raw, run_id)), wh.validated)
 
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
