@@ -75,9 +75,11 @@ def validate(raw: DataFrame) -> DataFrame:
         "validation_notes": notes,
         "pipeline_run_id": F.col("pipeline_run_id"),
     }
+    order = list(VALIDATED_COLUMNS)
     if "load_timestamp" in raw.columns:
         cols["load_timestamp"] = F.col("load_timestamp")
-    return raw.select(*[e.alias(c) for c, e in cols.items()])
+        order.append("load_timestamp")
+    return raw.select(*[cols[c].alias(c) for c in order])
 
 
 def season_classify(df: DataFrame, date_col: str = "departure_time") -> DataFrame:
