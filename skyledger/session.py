@@ -44,6 +44,8 @@ def build_session(master: str | None = None, app: str = "skyledger",
         b = b.master(master)
     conf = dict(SCALE_CONF)
     conf["spark.ui.enabled"] = "false"
+    # ranking checkpoints a sorted copy per call; delete it once unreferenced
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
