@@ -80,7 +80,15 @@ def missing_report(df: DataFrame) -> DataFrame:
             .orderBy(F.desc("missing_pct"), "column_name"))
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def column_quartiles(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Exact q25 / q50 / q75 per numeric column in one range-sorted pass."""
+    cols = numeric_columns(df) if cols is None else list(cols)
+    return exact_quantiles(to_long(df, cols), "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"],
+                           ["column_name"], digits=Q_DIGITS)
+
+
+def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
+                     quartiles: DataFrame | None = None) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75% (exact, linear), max per column."""
     cols = numeric_columns(df) if cols is None else list(cols)
     long = to_long(df, cols)
@@ -90,8 +98,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
         F.round(F.stddev_samp("value"), 4).alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["column_name"],
-                         digits=Q_DIGITS)
+    q = column_quartiles(df, cols) if quartiles is None else quartiles
     return moments.join(q, "column_name").select(
         "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
@@ -123,7 +130,8 @@ def fare_distribution(df: DataFrame, col: str = "total_fare") -> DataFrame:
     return q.select("q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, fence: float = IQR_FENCE) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, fence: float = IQR_FENCE,
+                 quartiles: DataFrame | None = None) -> DataFrame:
     """Per numeric column: quartiles, fences and rows outside ``q1 - k*iqr, q3 + k*iqr``.
 
     The fences are one row per column (bounded by the column count), joined
@@ -131,7 +139,10 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, fence: float
     """
     cols = numeric_columns(df) if cols is None else list(cols)
     long = to_long(df, cols)
-    q = exact_quantiles(long, "value", [0.25, 0.75], ["q1", "q3"], ["column_name"], digits=Q_DIGITS)
+    if quartiles is None:
+        q = exact_quantiles(long, "value", [0.25, 0.75], ["q1", "q3"], ["column_name"], digits=Q_DIGITS)
+    else:
+        q = quartiles.select("column_name", F.col("q25").alias("q1"), F.col("q75").alias("q3"))
     q = q.select("column_name", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
     q = q.select("*", (F.col("q1") - fence * F.col("iqr")).alias("lower_fence"),
                  (F.col("q3") + fence * F.col("iqr")).alias("upper_fence"))
@@ -242,15 +253,19 @@ def box_stats(df: DataFrame, dims: Sequence[str] = ("season_label", "airline"),
 
 
 def profile(df: DataFrame, target: str = "total_fare") -> dict[str, DataFrame]:
-    """All profile tables for one frame (lazy DataFrames, nothing collected)."""
+    """All profile tables for one frame (lazy DataFrames, nothing collected).
+
+    Describe and outlier tables share one quartile pass.
+    """
+    quart = column_quartiles(df)
     return {
         "profile_nonnull": profile_nonnull(df),
         "missing_report": missing_report(df),
-        "describe_numeric": describe_numeric(df),
+        "describe_numeric": describe_numeric(df, quartiles=quart),
         "describe_categorical": describe_categorical(df),
         "value_counts": value_counts(df),
         "fare_distribution": fare_distribution(df, target),
-        "iqr_outliers": iqr_outliers(df),
+        "iqr_outliers": iqr_outliers(df, quartiles=quart),
         "corr_target": corr_target(df, target),
         "corr_matrix": corr_matrix(df),
         "fare_histogram": histogram(df, target),

@@ -46,3 +46,6 @@ def test_profile_bundle(spark):
     assert set(tables) >= {"missing_report", "describe_numeric", "fare_histogram", "corr_matrix"}
     hist = tables["fare_histogram"].where(F.col("scale") == "linear").agg(F.sum("count")).first()[0]
     assert hist == v.where(F.col("total_fare").isNotNull()).count()
+    # shared quartile pass gives the same tables as the standalone operators
+    assert tables["iqr_outliers"].exceptAll(P.iqr_outliers(v)).count() == 0
+    assert tables["describe_numeric"].exceptAll(P.describe_numeric(v)).count() == 0
