@@ -104,3 +104,13 @@ def test_temp_view_model_layer(spark):
     sql = spark.sql("SELECT airline, COUNT(*) AS bookings FROM stg_flights GROUP BY airline")
     api = M.kpi_avg_fare(M.stg_bookings(validated_table(spark, SF001))).select("airline", "bookings")
     assert sql.exceptAll(api).count() == 0
+
+
+def test_daily_job_entry_point(spark, tmpdir_path):
+    from skyledger.plans.daily_job import main
+    drop = os.path.join(tmpdir_path, "drop")
+    bookings_csv(spark, drop)
+    out = main(["--csv", drop, "--warehouse", os.path.join(tmpdir_path, "whd"), "--run-id", "d1"])
+    assert out["rows"] == out["validated_rows"] == out["rows_transferred"] == out["summary"]["total_rows"]
+    kpi = spark.read.parquet(os.path.join(tmpdir_path, "whd", "kpis", "kpi_route_airline_performance"))
+    assert kpi.count() > 0
