@@ -45,3 +45,18 @@ def test_batch_score_rejects_unknown(spark):
     assert rejects.count() == 2
     assert scored.count() == test.count()
     assert scored.where(F.col("predicted_fare") <= 0).count() == 0
+
+
+def test_model_job_end_to_end(spark, tmpdir_path):
+    import os
+    from pyspark.ml import PipelineModel
+    from skyledger.plans.fixture import validated_table
+    from skyledger.plans.model_job import run_fare_model
+    out = run_fare_model(spark, validated_table(spark, SF001), os.path.join(tmpdir_path, "model"),
+                         quick=True, with_profile=False)
+    assert out["models"] == 9
+    board = spark.read.option("header", True).csv(os.path.join(tmpdir_path, "model", "model_comparison"))
+    assert board.count() == 9
+    model = PipelineModel.load(os.path.join(tmpdir_path, "model", "best_model"))
+    f = features_table(spark, SF001)
+    assert model.transform(f).where(F.col("prediction").isNull()).count() == 0
