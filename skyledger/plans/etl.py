@@ -65,8 +65,11 @@ def stage_validate(spark: SparkSession, wh: Warehouse, run_id: str) -> dict:
     raw = scan_landing(spark, wh.raw, run_id)
     append_run(validate(raw).observe(obs, F.count(F.lit(1)).alias("rows")), wh.validated)
     v = scan_run(spark, wh.validated, run_id)
-    append_run(validation_audit(raw, v).withColumn("pipeline_run_id", F.lit(run_id)), wh.audit)
-    append_run(run_log(raw, v).withColumnRenamed("run_id", "pipeline_run_id"), wh.runs)
+    now = F.current_timestamp()
+    append_run(validation_audit(raw, v).withColumns({"checked_at": now, "pipeline_run_id": F.lit(run_id)}),
+               wh.audit)
+    append_run(run_log(raw, v).withColumn("end_time", now).withColumnRenamed("run_id", "pipeline_run_id"),
+               wh.runs)
     return {"validated_rows": int(obs.get["rows"])}
 
 

@@ -45,8 +45,10 @@ def test_daily_flow_and_kpis(spark, tmpdir_path):
     assert info["rows"] == info["validated_rows"] == info["rows_transferred"] > 0
     marts = {k: spark.read.parquet(p).count() for k, p in info["marts"].items()}
     assert marts["kpi_avg_fare"] > 0 and marts["kpi_seasonal_variation"] > marts["kpi_avg_fare"] - 1
-    audit = spark.read.parquet(wh.audit).where("pipeline_run_id = 'day-1'").count()
-    assert audit == 10
+    audit = spark.read.parquet(wh.audit).where("pipeline_run_id = 'day-1'")
+    assert audit.count() == 10 and audit.where("checked_at IS NULL").count() == 0
+    runs = spark.read.parquet(wh.runs).where("pipeline_run_id = 'day-1'").collect()
+    assert runs[0]["status"] == "success" and runs[0]["end_time"] is not None
     res = compute_all_kpis(spark, wh.validated, "day-1", out_root=os.path.join(tmpdir_path, "kpi"))
     assert res["summary"]["total_rows"] == info["rows"]
     assert res["summary"]["kpi_popular_routes_rows"] == res["kpis"]["kpi_popular_routes"].count()
