@@ -37,3 +37,31 @@ def test_exact_quantiles_global(spark):
     pdf = pd.DataFrame({"x": [5.0, 1.0, None, 3.0, 2.0]})
     got = exact_quantiles(spark.createDataFrame(pdf), "x", [0.5, 0.25], ["m", "q"]).collect()[0]
     assert got["m"] == 2.5 and got["q"] == 1.75
+
+
+def test_exact_quantiles_property(spark):
+    """Random frames (duplicates, nulls, skewed groups) vs pandas quantile."""
+    from hypothesis import given, settings, HealthCheck
+    from hypothesis import strategies as st
+
+    rows = st.lists(st.tuples(st.sampled_from(["a", "b", None, "hot", "hot", "hot"]),
+                              st.one_of(st.none(), st.integers(-50, 50).map(lambda v: v / 4))),
+                    min_size=1, max_size=60)
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rows, st.sampled_from([[0.5], [0.1, 0.9], [0.0, 0.33, 1.0]]), st.integers(1, 6))
+    def check(data, probs, parts):
+        df = spark.createDataFrame(data, "g string, x double")
+        names = [f"q{i}" for i in range(len(probs))]
+        got = {r["g"]: r for r in exact_quantiles(df, "x", probs, names, ["g"], num_partitions=parts).collect()}
+        pdf = pd.DataFrame(data, columns=["g", "x"])
+        for key, sub in pdf.groupby(pdf["g"].fillna("<null>")):
+            vals = sub["x"].dropna()
+            gk = None if key == "<null>" else key
+            if vals.empty:
+                assert gk not in got
+                continue
+            for p, n in zip(probs, names):
+                assert abs(got[gk][n] - vals.quantile(p)) < 1e-9, (gk, p)
+
+    check()
