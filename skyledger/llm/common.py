@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,15 +40,16 @@ def bucket_of(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(n)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each piece holds about CHARS_AT_ONCE bytes of
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
+           at_once: int = CHARS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that each piece holds about ``at_once`` bytes of
     text (one long text may be more)."""
     for b in batches:
         if b.num_rows == 0:
             continue
         col = b.column(b.schema.get_field_index(column))
         sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0))
-        piece = np.cumsum(sizes) // CHARS_AT_ONCE
+        piece = np.cumsum(sizes) // at_once
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), b.num_rows]
         for lo, hi in zip(cuts, cuts[1:]):
             if hi > lo:

@@ -5,8 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import load
+from .common import bucket_of, load
+
+
+def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spans import drop_repeats
+    kept = drop_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_sentences", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), "text")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, score
+    docs = load(spark, sf_dir, "documents")
+    model = fit(docs, load(spark, sf_dir, "labels"), bucket_of(F.col("labelled_id"), 5) != 0)
+    return score(docs, model).select(
+        "doc_id", (bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op4_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, label_spans
+    docs = load(spark, sf_dir, "documents")
+    model = fit(docs, bucket_of(F.col("doc_id"), 4) != 2)
+    return label_spans(docs, model).select(
+        "doc_id", (bucket_of(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score",
+        F.size("spans").alias("n_spans"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +39,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(load(spark, sf_dir, "pages")).drop("score")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find_leaks, report
+    return report(find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -23,7 +53,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentence_spans": op1_sentence_spans,
+    "op2_toxicity": op2_toxicity,
+    "op4_language_spans": op4_language_spans,
     "op5_url_filter": op5_url_filter,
+    "op6_decontamination": op6_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
 }
 
