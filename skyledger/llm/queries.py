@@ -52,6 +52,18 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
 
 
+def op8_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard_documents
+    return shard_documents(load(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import link_components
+    return link_components(load(spark, sf_dir, "documents")).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentence_spans": op1_sentence_spans,
     "op2_toxicity": op2_toxicity,
@@ -59,6 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_best_fit_shards": op8_best_fit_shards,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
