@@ -59,6 +59,11 @@ def op8_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import cut_repeats, report
+    return report(cut_repeats(load(spark, sf_dir, "documents")))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import link_components
     return link_components(load(spark, sf_dir, "documents")).drop("row")
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_best_fit_shards": op8_best_fit_shards,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ngram_join": op10_ngram_join,
 }
 
