@@ -295,9 +295,10 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return src.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """Counts and SHA-256 digests of ``encode_decode``'s rows."""
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """Counts and SHA-256 digests of ``encode_decode``'s rows, and the columns
+    ``more`` as they are."""
     return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -17,14 +17,21 @@ def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .toxicity import fit, score
+    from .toxicity import fit, with_score
     docs = load(spark, sf_dir, "documents")
     model = fit(docs, load(spark, sf_dir, "labels"), bucket_of(F.col("labelled_id"), 5) != 0)
-    return score(docs, model).select(
+    return with_score(docs.select("doc_id", "text"), model).select(
         "doc_id", (bucket_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def op3_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import scaled, top_k
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", scaled(F.col("embedding")).alias("v"))
+    return top_k(vectors, F.col("vec_id") % 50 == 0).select(
+        F.col("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op4_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import fit, label_spans
     docs = load(spark, sf_dir, "documents")
@@ -72,6 +79,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentence_spans": op1_sentence_spans,
     "op2_toxicity": op2_toxicity,
+    "op3_impact_topk": op3_impact_topk,
     "op4_language_spans": op4_language_spans,
     "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
@@ -82,4 +90,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_impact_topk": """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+scored AS (
+  SELECT q.row AS query_row, q.vec_id AS query_id, c.vec_id, c.row,
+         CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id, row) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op6_decontamination": r"""
+WITH w AS (
+  SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS row,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+  UNION ALL
+  SELECT 'b', item_id, row_number() OVER (),
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+sizes AS (SELECT DISTINCT least(10, len(ws)) AS m FROM w WHERE kind = 'b' AND len(ws) > 0),
+item_windows AS (
+  SELECT DISTINCT id, least(10, len(ws)) AS m, list_slice(ws, i, i + least(10, len(ws)) - 1) AS g
+  FROM (SELECT id, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM w WHERE kind = 'b' AND len(ws) > 0)),
+doc_windows AS (
+  SELECT row, m, i, list_slice(ws, i, i + m - 1) AS g
+  FROM (SELECT row, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, sizes WHERE kind = 'd' AND len(ws) >= m)),
+met AS (SELECT row, d.m, i, id FROM doc_windows d JOIN item_windows USING (m, g)),
+hit AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + m)) AS p FROM met) GROUP BY row),
+items AS (SELECT row, count(DISTINCT id) AS n_items,
+                 string_agg(DISTINCT CAST(id AS VARCHAR), ',' ORDER BY CAST(id AS VARCHAR)) AS ids FROM met GROUP BY row)
+SELECT w.id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit USING (row) LEFT JOIN items USING (row) WHERE kind = 'd'""",
+    "op10_ngram_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_slice(ws, i, i + least(5, len(ws)) - 1) AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS o FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM o JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * o >= 80 * (a.n + b.n - o)),
+reach AS (SELECT doc_id AS node, doc_id AS seen FROM w UNION SELECT node, v FROM reach JOIN links ON u = seen)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) ON node = w.doc_id""",
+}

@@ -125,24 +125,31 @@ class _Terms(dict):
         return hit
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, score for every row."""
+def with_score(docs: DataFrame, model: dict) -> DataFrame:
+    """``docs`` with a column score (0 to 1, higher: toxic likelier)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_TERMS * (FACTORS + 2) numbers
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         hits = _Terms(m["terms"])
         w, v = m["w"], m["v"]
         own = (v * v).sum(1)
-        for b in chunks(batches):
-            out = np.full(b.num_rows, m["b"])
-            for i, text in enumerate(b.column(1).to_pylist()):
+        for column in texts:
+            out = np.full(len(column), m["b"])
+            for i, text in enumerate(column):
+                text = text.as_py()
                 found = list(set(chain.from_iterable(map(hits.__getitem__, words_of(text))))) if text else []
                 if found:
                     s = v[found].sum(0)
                     out[i] += w[found].sum() + 0.5 * (s @ s - own[found].sum())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))))], ["doc_id", "score"])
+            yield pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))))
+
+    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}  # read when the function is declared
+    return docs.withColumn("score", F.arrow_udf(run, "double")("text"))
+
 
-    src = docs.select("doc_id", "text")
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double")
+def clean(docs: DataFrame, model: dict, bar: float = 0.5) -> DataFrame:
+    """Rows of ``docs``, all columns, whose score is under ``bar``."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    scored = with_score(docs.select(F.struct(*columns).alias("own"), "text"), model)
+    return scored.filter(F.col("score") < bar).select("own.*")
