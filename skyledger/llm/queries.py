@@ -13,7 +13,7 @@ from .common import bucket_of, load
 def op1_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spans import drop_repeats
     kept = drop_repeats(load(spark, sf_dir, "documents").select("doc_id", "text"))
-    return kept.select("doc_id", "n_sentences", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), "text")
+    return kept.select("own.doc_id", "n_sentences", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), "text")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,12 +143,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs``, all columns: text without its repeated sentences, plus
-    n_sentences and n_removed."""
-    own = [c for c in docs.columns if c not in ("text", "n_sentences", "n_removed")]
-    keyed = docs.withColumn("_row", row_key()).join(
-        repeated_spans(docs).withColumnRenamed("row", "_row"), "_row", "left") \
-        .select(F.struct(*own).alias("own"), "text", F.col("remove.begin").alias("b"), F.col("remove.end").alias("e"))
+    """``own`` (all columns of ``docs`` as they are), text without its repeated
+    sentences, n_sentences and n_removed, for every row of ``docs``."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    plain = docs.select("doc_id", "text")
+    keyed = docs.select(own, "text", row_key().alias("row")).join(repeated_spans(plain), "row", "left") \
+        .select("own", "text", F.col("remove.begin").alias("b"), F.col("remove.end").alias("e"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
@@ -165,6 +165,4 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
                                               pa.array(gone, pa.int64())], ["own", "text", "n_sentences", "n_removed"])
 
     kind = keyed.schema["own"].dataType.simpleString()
-    done = keyed.mapInArrow(run, f"own {kind}, text string, n_sentences long, n_removed long")
-    return done.select(*[F.col("own")[c].alias(c) if c != "text" else F.col("text") for c in docs.columns
-                         if c not in ("n_sentences", "n_removed")], "n_sentences", "n_removed")
+    return keyed.mapInArrow(run, f"own {kind}, text string, n_sentences long, n_removed long")

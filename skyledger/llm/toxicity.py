@@ -149,7 +149,10 @@ def with_score(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def clean(docs: DataFrame, model: dict, bar: float = 0.5) -> DataFrame:
-    """Rows of ``docs``, all columns, whose score is under ``bar``."""
+    """Rows of ``docs``, all columns, that the model doesn't reject: those
+    under ``bar``, and those that score no higher than a text of no terms (a
+    high class share alone rejects nothing)."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     scored = with_score(docs.select(F.struct(*columns).alias("own"), "text"), model)
-    return scored.filter(F.col("score") < bar).select("own.*")
+    none = float(1 / (1 + np.exp(-np.clip(model["b"], -30, 30))))
+    return scored.filter((F.col("score") < bar) | (F.col("score") <= none)).select("own.*")

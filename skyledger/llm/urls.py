@@ -69,17 +69,16 @@ def matched_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
 
 def features(host: Column, path: Column, dims: int) -> Column:
     """Distinct hashed 3- and 4-grams of characters of ``host`` and ``path``
-    (hashed apart), plus the bias
-    feature 0; digits of the path count as one digit."""
+    (hashed apart), plus the bias feature 0; digits of the path count as one digit."""
     def of(text: Column, mark: str) -> Column:
         c = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
         n = F.size(c)
 
-        def hashed(k: int) -> Column:
-            return F.transform(
-                F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))),
-                lambda i: F.pmod(F.hash(F.lit(f"{mark}{k}"), *[F.get(c, i - 1 + j) for j in range(k)]),
-                                 F.lit(dims - 1)) + 1)
+        def hashed(k: int) -> Column:  # the text beside itself, shifted: one pass however long it is
+            beside = [F.slice(c, j + 1, F.greatest(n, F.lit(1))).alias(f"c{j}") for j in range(k)]
+            grams = F.slice(F.arrays_zip(*beside), F.lit(1), F.greatest(n - k + 1, F.lit(1)))
+            return F.transform(grams, lambda z: F.pmod(
+                F.hash(F.lit(f"{mark}{k}"), *[z[f"c{j}"] for j in range(k)]), F.lit(dims - 1)) + 1)
 
         return F.concat(hashed(3), hashed(4))
 
