@@ -14,7 +14,7 @@ import corpus_pipeline
 from skyledger.llm import langid, spans, suffix_dedup, topk, toxicity, urls
 from skyledger.llm.queries import QUERIES, SQL
 
-SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SMALL, MIDDLE, LARGE = (f"/root/testdata/sf{x}" for x in ("0.001", "0.01", "0.1"))
 
 
 def texts(spark, folder=SMALL):
@@ -71,8 +71,8 @@ def test_spans_equal_brute_force(spark):
 
 
 def test_toxicity_held_out(spark):
-    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}
-    got = [(r.score, labels[r.doc_id]) for r in QUERIES["op2_toxicity"](spark, MIDDLE).filter("held_out").collect()
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{LARGE}/labels.parquet").collect()}
+    got = [(r.score, labels[r.doc_id]) for r in QUERIES["op2_toxicity"](spark, LARGE).filter("held_out").collect()
            if labels.get(r.doc_id) is not None]
     good, bad = [s for s, y in got if y == 0], [s for s, y in got if y == 1]
     assert good and bad
