@@ -30,10 +30,12 @@ def read_bookings_csv(spark: SparkSession, path: str, header_map: dict | None =
     """Read booking CSV files as text columns (no inference pass), then rename.
 
     PERMISSIVE mode keeps malformed lines (missing fields become null) rather
-    than failing the job; typed parsing happens in :func:`typed_raw`.
+    than failing the job; typed parsing happens in :func:`typed_raw`. Spark
+    names columns by one file's header, so every other file's header is held
+    against it: a different order ends the read instead of swapping columns.
     """
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-          .option("multiLine", False).csv(path))
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", False)
+    df = reader.option("enforceSchema", False).schema(reader.csv(path).schema).csv(path)
     return normalise_headers(df, header_map)
 
 

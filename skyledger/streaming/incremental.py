@@ -1,7 +1,9 @@
 """Pick up booking CSV drops incrementally with Structured Streaming.
 
 This adds no new operator: every micro-batch runs the same ingest and
-validate jobs as the daily batch, with run id ``<prefix>-<batch id>``.
+validate jobs as the daily batch, with run id ``<prefix>-<digest of the
+checkpoint folder>-<batch id>``: batch ids start again with a new checkpoint,
+and must not name the runs of an earlier stream.
 Because each run's table partition is replaced (dynamic overwrite), a
 micro-batch replayed after a failure rewrites the same rows instead of
 duplicating them, and the stream checkpoint records which files were taken.
@@ -9,6 +11,8 @@ duplicating them, and the stream checkpoint records which files were taken.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -26,20 +30,24 @@ def _text_schema(spark: SparkSession, sample_dir: str) -> T.StructType:
 
 def start_incremental_ingest(spark: SparkSession, drop_dir: str, wh: Warehouse, checkpoint: str,
                              run_prefix: str = "stream", schema: T.StructType | None = None,
-                             available_now: bool = True):
+                             available_now: bool = True, files_per_batch: int | None = None):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``available_now`` processes everything present and stops (a scheduled
     batch with exactly-once file tracking); otherwise it keeps running.
+    ``files_per_batch`` bounds the files of one run (None: all present).
     """
     schema = schema or _text_schema(spark, drop_dir)
-    src = (spark.readStream.schema(schema).option("header", True)
-           .option("maxFilesPerTrigger", 100).csv(drop_dir))
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    src = reader.csv(drop_dir)
+    stream = f"{run_prefix}-{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        run_id = f"{run_prefix}-{batch_id:06d}"
+        run_id = f"{stream}-{batch_id:06d}"
         land_run(normalise_headers(batch), run_id, wh.raw)
         append_run(validate(scan_landing(batch.sparkSession, wh.raw, run_id)), wh.validated)
 

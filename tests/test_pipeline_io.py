@@ -81,7 +81,37 @@ def test_incremental_stream_matches_batch(spark, tmpdir_path):
     assert q.exception() is None
     v = spark.read.parquet(wh.validated)
     assert v.count() == tpch_bookings(spark, SF001).count()
-    assert v.select("pipeline_run_id").distinct().count() >= 1
+    runs = v.select("pipeline_run_id").distinct().count()
+    assert runs >= 1
+    # a second stream into the same warehouse adds runs, it replaces none
+    q = start_incremental_ingest(spark, drop, wh, os.path.join(tmpdir_path, "stream-ckpt-2"))
+    q.awaitTermination(300)
+    assert spark.read.parquet(wh.validated).select("pipeline_run_id").distinct().count() == 2 * runs
+
+
+def test_landing_without_its_offsets_is_an_error(spark, tmpdir_path):
+    from skyledger.sources.landing import land_run, offsets_path, scan_landing
+    b, path = tpch_bookings(spark, SF001).limit(500), os.path.join(tmpdir_path, "land")
+    land_run(b, "r", path)
+    assert scan_landing(spark, path, "r").select("id").distinct().count() == 500
+    old = spark.read.parquet(offsets_path(path)).collect()
+    land_run(b.limit(400), "r", path)
+    spark.createDataFrame(old, spark.read.parquet(offsets_path(path)).schema).write.mode("overwrite") \
+        .partitionBy("pipeline_run_id").parquet(offsets_path(path))
+    assert scan_landing(spark, path, "r").count() == 400
+    with pytest.raises(Exception, match="no offsets"):
+        scan_landing(spark, path, "r").collect()
+
+
+def test_csv_headers_of_another_order_are_an_error(spark, tmpdir_path):
+    from skyledger.sources.csv import read_bookings_csv
+    drop = os.path.join(tmpdir_path, "orders")
+    os.makedirs(drop)
+    for name, text in (("a", "Airline,Source\nX,DAC\n"), ("b", "Source,Airline\nDAC,X\n")):
+        with open(os.path.join(drop, f"{name}.csv"), "w") as f:
+            f.write(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_bookings_csv(spark, drop).collect()
 
 
 def test_model_save_load(spark, tmpdir_path):
