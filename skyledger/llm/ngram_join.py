@@ -17,8 +17,12 @@ documents, which also gives the order).
 Lists are never expanded into all pairs: each gives star pairs to its first
 member, and every member checks the star it shares most lists with. Only
 pairs in one list whose members are still in different components, and that
-pass the size, position and shared-token bounds, are checked after that; so
-components are exact while a group of copies costs one check per copy.
+pass the bounds on sizes, positions, shared tokens and differing bits, are
+checked after that; so components are exact while a group of copies costs one
+check per copy. The bits are parities of a set's hashes in BITS slots: sets
+whose bits differ in d places differ in d tokens at least. All bounds hold for
+whole components as well (bits that all members share, least and greatest
+sizes), so two components of a list that can't link cost one row.
 
 Defined results: null text and text without words have no shingle and link
 with nothing; text of 1 to 4 words has one shingle, the whole; a row with null
@@ -40,7 +44,10 @@ from .common import WordHashes, chunks, grams, mix64, row_key, signed, stored
 from .components import components
 
 WORDS, PERCENT, SKETCH, BITMAP = 5, 80, 17, 23
-#: A list longer than this is dealt out by set id, and its parts' stars meet in a second round.
+#: Parity bits of a set, in longs of 64.
+BITS = [f"bits{i}" for i in range(4)]
+#: A list longer than this is dealt out by set id; each part has a star of its
+#: own, and components of different parts meet as those of one list do.
 LIST_PART = 1_000_000
 
 
@@ -62,6 +69,13 @@ def set_id(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """The set's parity bits as ``len(BITS)`` longs."""
+    slots = 64 * len(BITS)
+    odd = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % slots, minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix(n: Column) -> Column:
     return n - F.ceil(n * PERCENT / 100) + 1
 
@@ -84,30 +98,32 @@ def boundary(counters: np.ndarray) -> int:
 
 
 def _documents(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, row, n, sid of every row; the sketch) in one pass over the texts."""
+    """(doc_id, row, n, sid and parity bits of every row; the sketch) in one pass over the texts."""
     parts = 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         table, counters = WordHashes(), np.zeros(1 << SKETCH, np.int64)
-        names = ["doc_id", "row", "n", "sid", "part", "task", "counters"]
+        names = ["doc_id", "row", "n", "sid", *BITS, "part", "task", "counters"]
         for b in chunks(batches):
             sets = shingle_sets(b.column(2), table)
             counters += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH)).astype(np.int64), minlength=1 << SKETCH)
             n, none = b.num_rows, pa.nulls(b.num_rows, pa.int32())
+            bits = np.stack([parities(x) for x in sets])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int32()),
-                 pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()), none, none,
-                 pa.nulls(n, pa.binary())], names)
+                 pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
+                 *[pa.array(bits[:, i]) for i in range(len(BITS))], none, none, pa.nulls(n, pa.binary())], names)
         if counters.any():
             none = pa.nulls(parts, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, pa.nulls(parts, pa.int32()), none, pa.array(range(parts), pa.int32()),
+                [none, none, pa.nulls(parts, pa.int32()), none, *[none] * len(BITS), pa.array(range(parts), pa.int32()),
                  pa.array([TaskContext.get().partitionId()] * parts, pa.int32()),
                  pa.array([x.tobytes() for x in np.split(counters, parts)], pa.binary())], names)
 
     done = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), "text").mapInArrow(
-        run, "doc_id long, row long, n int, sid long, part int, task int, counters binary"), "shingle-sets")
+        run, f"doc_id long, row long, n int, sid long, {', '.join(f'{x} long' for x in BITS)}, part int, task int, counters binary"),
+        "shingle-sets")
 
     def add(t: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, np.int64) for x in t.column("counters").to_pylist())
@@ -119,18 +135,19 @@ def _documents(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     counters = np.zeros((parts, (1 << SKETCH) // parts), np.int64)
     for r in sketch.collect():  # 2^SKETCH counters
         counters[r.part] = np.frombuffer(r.counters, np.int64)
-    return done.filter(F.col("part").isNull()).select("doc_id", "row", "n", "sid"), counters.ravel()
+    return done.filter(F.col("part").isNull()).select("doc_id", "row", "n", "sid", *BITS), counters.ravel()
 
 
-def _entries(docs: DataFrame, counters: np.ndarray, limit: int) -> DataFrame:
-    """key, sid, n, pos: the lists that each set enters. Sets under ``limit``
-    enter by 2-subsets (pos 0), those that may match a larger one by tokens too."""
+def _entries(docs: DataFrame, counters: np.ndarray, limit: int, list_part: int) -> DataFrame:
+    """key, part, sid, n, pos: the lists that each set enters. Sets under
+    ``limit`` enter by 2-subsets (pos: that of the later token, negated), those
+    that may match a larger one by tokens too. part: 0 unless the list is split."""
     shared = docs.sparkSession.sparkContext.broadcast(counters)  # 2^SKETCH counters
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, count, seen = WordHashes(), shared.value, set()
         for b in chunks(batches):
-            key, sid, size, pos = [], [], [], []
+            key, part, sid, size, pos = [], [], [], [], []
             for s in shingle_sets(b.column(0), table):
                 n = len(s)
                 if n == 0 or (me := set_id(s)) in seen:  # copies met by this task enter once
@@ -144,46 +161,49 @@ def _entries(docs: DataFrame, counters: np.ndarray, limit: int) -> DataFrame:
                     t = s[order[:p + 1]]
                     i, j = np.triu_indices(len(t), 1)
                     key.append(mix64(t[i] * np.uint64(3) + t[j]))
-                    pos.append(np.zeros(len(i), np.int32))
+                    part.append(np.zeros(len(i), np.int32))
+                    pos.append(-j.astype(np.int32))
                     sid.append(np.full(len(i), me, np.int64))
                     size.append(np.full(len(i), n, np.int32))
                 if 100 * n >= PERCENT * limit:
                     t = s[order[:p]]
-                    parts = 1 + weight[order[:p]] // LIST_PART
-                    key.append(np.where(parts > 1, mix64(t + (np.uint64(me & 0xFFFFFFFF) % parts.astype(np.uint64) + np.uint64(1))), t))
+                    parts = 1 + weight[order[:p]] // list_part
+                    key.append(t)
+                    part.append(np.where(parts > 1, 1 + (me & 0xFFFFFFFF) % parts, 0).astype(np.int32))
                     pos.append(np.arange(len(t), dtype=np.int32))
                     sid.append(np.full(len(t), me, np.int64))
                     size.append(np.full(len(t), n, np.int32))
             if key:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate(key))), pa.array(np.concatenate(sid)), pa.array(np.concatenate(size)),
-                     pa.array(np.concatenate(pos))], ["key", "sid", "n", "pos"])
+                    [pa.array(signed(np.concatenate(key))), pa.array(np.concatenate(part)), pa.array(np.concatenate(sid)),
+                     pa.array(np.concatenate(size)), pa.array(np.concatenate(pos))], ["key", "part", "sid", "n", "pos"])
 
-    return docs.select("text").mapInArrow(run, "key long, sid long, n int, pos int")
+    return docs.select("text").mapInArrow(run, "key long, part int, sid long, n int, pos int")
 
 
 def _lists(entries: DataFrame) -> DataFrame:
     """key, sid, n, pos and the list's first member (hub, hub_n, hub_pos), for
-    every further member of a list of two or more. Sorted lists are read in a
-    stream, so a long one needs no memory."""
+    every further member of a list of two or more, and for every member of a
+    part of a split list. Sorted lists are read in a stream, so a long one
+    needs no memory."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # key, hub, n, pos, last sid of the list under way
+        held = None  # key, part, hub, n, pos, last sid of the list under way
         for b in batches:
             if b.num_rows == 0:
                 continue
-            key, sid, n, pos = (np.asarray(b.column(k)) for k in range(4))
+            key, part, sid, n, pos = (np.asarray(b.column(k)) for k in range(5))
             new = np.ones(len(key), bool)
-            new[1:] = key[1:] != key[:-1]
+            new[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
             fresh = np.ones(len(key), bool)
             fresh[1:] = new[1:] | (sid[1:] != sid[:-1])
             start = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
             hub = np.stack([sid[start], n[start].astype(np.int64), pos[start].astype(np.int64)])
-            if held is not None and held[0] == key[0]:
+            if held is not None and held[:2] == (key[0], part[0]):
                 first = start == 0
-                hub[:, first] = np.array(held[1:4])[:, None]
-                fresh[0] = sid[0] != held[4]
-            keep = fresh & (sid != hub[0])
-            held = (int(key[-1]), *(int(x) for x in hub[:, -1]), int(sid[-1]))
+                hub[:, first] = np.array(held[2:5])[:, None]
+                fresh[0] = sid[0] != held[5]
+            keep = fresh & ((sid != hub[0]) | (part > 0))
+            held = (int(key[-1]), int(part[-1]), *(int(x) for x in hub[:, -1]), int(sid[-1]))
             if keep.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[keep]), pa.array(sid[keep]), pa.array(n[keep]), pa.array(pos[keep]), pa.array(hub[0, keep]),
@@ -191,7 +211,7 @@ def _lists(entries: DataFrame) -> DataFrame:
                     ["key", "sid", "n", "pos", "hub", "hub_n", "hub_pos"])
 
     n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return entries.repartition(n, "key").sortWithinPartitions("key", "sid").mapInArrow(
+    return entries.repartition(n, "key", "part").sortWithinPartitions("key", "part", "sid").mapInArrow(
         run, "key long, sid long, n int, pos int, hub long, hub_n int, hub_pos int")
 
 
@@ -212,6 +232,50 @@ def _may_link(shared: Column, a: str, b: str, limit: int) -> Column:
     return _sizes_fit(a, b) & ((F.least(a, b) < limit) | (shared + left >= _need(a, b)))
 
 
+def _room(n: Column, pos: Column) -> Column:
+    """Most tokens that a set can share in all, if this list's are the first."""
+    return F.when(pos < 0, n + pos + 1).otherwise(n - pos)
+
+
+def _meeting(entry: DataFrame) -> DataFrame:
+    """u, v, un, vn, up, vp: members of one list and of different components
+    that no bound keeps apart. Components are held against each other first, by
+    bounds that hold for all their members."""
+    kinds = entry.groupBy("key", "root").agg(
+        F.min("n").alias("n_least"), F.max("n").alias("n_most"), F.max(_room(F.col("n"), F.col("pos"))).alias("room"),
+        *[f(x).alias(f"{name}_{x}") for x in BITS for name, f in (("all", F.bit_and), ("any", F.bit_or))])
+    a, b = (kinds.select("key", *[F.col(c).alias(f"{side}_{c}") for c in kinds.columns if c != "key"]) for side in "ab")
+    apart = sum((F.bit_count((F.col(f"a_all_{x}").bitwiseAND(F.bitwise_not(F.col(f"b_any_{x}"))))
+                             .bitwiseOR(F.col(f"b_all_{x}").bitwiseAND(F.bitwise_not(F.col(f"a_any_{x}"))))) for x in BITS), F.lit(0))
+    meet = a.join(b, "key").filter(
+        (F.col("a_root") < F.col("b_root"))
+        & (100 * F.col("a_n_most") >= PERCENT * F.col("b_n_least")) & (100 * F.col("b_n_most") >= PERCENT * F.col("a_n_least"))
+        & (F.least("a_room", "b_room") >= _need("a_n_least", "b_n_least"))
+        & ((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("a_n_most") + F.col("b_n_most")))) \
+        .select("key", F.col("a_root").alias("root"), F.col("b_root").alias("other"))
+    left = entry.select("key", "root", F.col("sid").alias("u"), F.col("n").alias("un"), F.col("pos").alias("up"),
+                        *[F.col(x).alias(f"u_{x}") for x in BITS])
+    right = entry.select("key", F.col("root").alias("other"), F.col("sid").alias("v"), F.col("n").alias("vn"), F.col("pos").alias("vp"),
+                         *[F.col(x).alias(f"v_{x}") for x in BITS])
+    differ = sum((F.bit_count(F.col(f"u_{x}").bitwiseXOR(F.col(f"v_{x}"))) for x in BITS), F.lit(0))
+    return meet.join(left, ["key", "root"]).join(right, ["key", "other"]).filter(
+        _sizes_fit("un", "vn")
+        & (F.least(_room(F.col("un"), F.col("up")), _room(F.col("vn"), F.col("vp"))) >= _need("un", "vn"))
+        & ((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("un") + F.col("vn")))).select("u", "v", "un", "vn", "up", "vp")
+
+
+def _candidates(entry: DataFrame) -> DataFrame:
+    """u, v: pairs to check. Both orders being one, the token lists in which a
+    pair meets are its first shared tokens; what follows the last of them can
+    add no more than either set has left. Pairs of 2-subset lists only stay."""
+    token = F.col("up") >= 0
+    return _meeting(entry).groupBy("u", "v", "un", "vn").agg(
+        F.sum(token.cast("int")).alias("shared"), F.max("up").alias("up"), F.max("vp").alias("vp")) \
+        .filter((F.col("shared") == 0) | (F.col("shared") + F.least(F.col("un") - 1 - F.col("up"), F.col("vn") - 1 - F.col("vp"))
+                                          >= _need("un", "vn"))) \
+        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (u, v set ids) whose sets are similar enough, exactly."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,13 +325,13 @@ def _sets(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(found.join(reps, ["row", "sid"], "left_semi").select("sid", "tokens").dropDuplicates(["sid"]), "sets")
 
 
-def link_components(docs: DataFrame) -> DataFrame:
+def link_components(docs: DataFrame, list_part: int = LIST_PART) -> DataFrame:
     """doc_id, row (by ``row_key``), n_shingles and component_id of every row."""
     members, counters = _documents(docs)
     limit = boundary(counters)
-    lists = stored(_lists(_entries(docs, counters, limit)), "lists")
+    lists = stored(_lists(_entries(docs, counters, limit, list_part)), "lists")
 
-    stars = lists.groupBy("hub", "sid").agg(F.count("*").alias("shared"), F.max("n").alias("n"), F.max("hub_n").alias("hub_n")) \
+    stars = lists.filter("sid != hub").groupBy("hub", "sid").agg(F.count("*").alias("shared"), F.max("n").alias("n"), F.max("hub_n").alias("hub_n")) \
         .filter(_may_link(F.col("shared"), "n", "hub_n", limit))
     best = stars.groupBy("sid").agg(F.max(F.struct("shared", "hub")).alias("b")) \
         .select(F.col("b.hub").alias("u"), F.col("sid").alias("v"))
@@ -277,19 +341,13 @@ def link_components(docs: DataFrame) -> DataFrame:
     roots = components(edges)
 
     # Members of one list in different components, that no bound keeps apart.
-    entry = lists.select("key", "sid", "n", "pos").unionByName(
+    entry = lists.filter("sid != hub").select("key", "sid", "n", "pos").unionByName(
         lists.select("key", F.col("hub").alias("sid"), F.col("hub_n").alias("n"), F.col("hub_pos").alias("pos")).distinct())
     entry = entry.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     mixed = entry.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a != z").select("key")
-    entry = stored(entry.join(mixed, "key"), "mixed")
-    kinds = entry.select("key", "root").distinct()
-    meet = kinds.join(kinds.withColumnRenamed("root", "other"), "key").filter(F.col("root") < F.col("other"))
-    left = entry.select("key", "root", F.col("sid").alias("u"), F.col("n").alias("un"), F.col("pos").alias("up"))
-    right = entry.select("key", F.col("root").alias("other"), F.col("sid").alias("v"), F.col("n").alias("vn"), F.col("pos").alias("vp"))
-    cross = meet.join(left, ["key", "root"]).join(right, ["key", "other"]).filter(_sizes_fit("un", "vn"))
-    pairs = cross.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "un", "vn") \
-        .groupBy("u", "v").agg(F.count("*").alias("shared"), F.max("un").alias("un"), F.max("vn").alias("vn")) \
-        .filter(_may_link(F.col("shared"), "un", "vn", limit)).select("u", "v")
+    bits = members.filter(F.col("sid").isNotNull()).groupBy("sid").agg(*[F.min(x).alias(x) for x in BITS])
+    entry = stored(entry.join(mixed, "key").join(bits, "sid"), "mixed")
+    pairs = _candidates(entry)
     tried = best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     pairs = stored(pairs.join(tried, ["u", "v"], "left_anti"), "cross-pairs")
     more = _sets(docs, members, pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid"))))

@@ -1,5 +1,6 @@
 """The operators against brute force, other engines and held-out rows."""
 
+import random
 import hashlib
 from collections import Counter, defaultdict
 
@@ -213,3 +214,42 @@ def test_pipeline(spark):
     enc, left = vocabulary(), {r.doc_id: r.text or "" for r in docs.collect()}
     got = {r.doc_id: list(r.ids) for r in corpus_pipeline.run(spark, SMALL).collect()}
     assert got == {i: enc.encode_ordinary(t) for i, t in left.items()}
+
+
+def _near_texts(seed: int) -> list[tuple[int, str]]:
+    """Passages that many texts share, and copies with few to many changed words."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    common = [rng.choices(words, k=n) for n in (6, 12, 20)]
+    out = []
+    for _ in range(60):
+        base = rng.choice(common) * rng.randint(0, 1) + rng.choices(words, k=rng.choice((3, 8, 15, 60, 150)))
+        for _ in range(rng.randint(1, 6)):
+            text = list(base)
+            for _ in range(rng.choice((0, 0, 1, 1, 2, 4))):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            out.append(" ".join(text[rng.randint(0, 2):]))
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("list_part", [1_000_000, 3])
+def test_ngram_join_equals_brute_force(spark, list_part):
+    """Also with lists split into parts of few members."""
+    from skyledger.llm.ngram_join import link_components
+    texts = _near_texts(5)
+    sets = {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for i, t in texts for w in [t.split()]}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = link_components(spark.createDataFrame(texts, "doc_id long, text string"), list_part).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), find(i)) for i, s in sets.items()}
+    assert len({find(i) for i in sets}) < len(sets)
