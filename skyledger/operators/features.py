@@ -174,15 +174,15 @@ def apply_scaler(df: DataFrame, moments: DataFrame, cols: Sequence[str], digits:
 
 # --- metrics ------------------------------------------------------------------
 
-def regression_metrics(pred: DataFrame, y: str = LABEL, yhat: str = "prediction") -> DataFrame:
+def regression_metrics(pred: DataFrame, y: str = LABEL, yhat: str = "prediction", rounded: bool = True) -> DataFrame:
     """R² in log space, MAE and RMSE in fare units (after expm1), one pass."""
     e = F.col(y) - F.col(yhat)
     fare_err = F.expm1(F.col(y)) - F.expm1(F.col(yhat))
     s = pred.agg(F.sum(e * e).alias("_sse"), (F.var_pop(F.col(y)) * F.count(F.col(y))).alias("_sst"),
                  F.count(F.col(y)).alias("n"),
                  F.avg(F.abs(fare_err)).alias("_mae"), F.avg(fare_err * fare_err).alias("_mse"))
-    return s.select(F.round(1 - F.try_divide(F.col("_sse"), F.col("_sst")), 4).alias("r2"),
-                    F.round("_mae", 2).alias("mae"), F.round(F.sqrt("_mse"), 2).alias("rmse"), "n")
+    values = {"r2": (1 - F.try_divide(F.col("_sse"), F.col("_sst")), 4), "mae": (F.col("_mae"), 2), "rmse": (F.sqrt("_mse"), 2)}
+    return s.select(*[(F.round(v, digits) if rounded else v).alias(name) for name, (v, digits) in values.items()], "n")
 
 
 def residual_summary(pred: DataFrame, y: str = LABEL, yhat: str = "prediction") -> DataFrame:

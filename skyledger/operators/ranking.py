@@ -13,8 +13,8 @@ per task):
    each task;
 3. row index = offset + position - first position of the group in the task.
 
-Quantiles only need 2 rows per requested probability and group, so they
-pick those rows by (task, position) instead of ranking every row.
+Quantiles are taken from counts per (group, value), so equal values can't
+overload a task, and from the few task slices that hold a wanted position.
 """
 
 from __future__ import annotations
@@ -117,49 +117,52 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     One row per group (one row overall without groups), a double column per
     probability. Position ``h = (n - 1) * p`` is interpolated as
     ``v[floor h] + (h - floor h) * (v[ceil h] - v[floor h])``; nulls and NaN
-    are skipped. Only the rows at those positions are read back from the
-    sorted data. ``digits`` rounds the results (removes last-ulp noise).
+    are skipped. ``digits`` rounds the results (removes last-ulp noise).
+
+    Rows are first counted per (group, value), map-side: equal values, however
+    many, are one row. Only those counts are dealt out by range and kept; their
+    sums per task tell which task holds each position, and only those tasks'
+    slices of a group are summed up value by value.
     """
     g = list(group_cols)
     data = (df.select(*g, F.col(value_col).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull() & ~F.isnan("_v")))  # NaN is missing, as in pandas
-    tagged, stats = _tag_and_count(data, ["_v"], g, num_partitions)
-    sizes = stats.groupBy(*g).agg(F.sum("_cnt").alias("_n"))
-
-    spec = F.array(*[F.struct(F.lit(i).alias("_q"), F.lit(float(p)).alias("_p"))
-                     for i, p in enumerate(probs)])
-    targets = (sizes.select(*g, "_n", F.explode(spec).alias("_t"))
-               .select(*g, "_t._q", ((F.col("_n") - 1) * F.col("_t._p")).alias("_h")))
-    targets = targets.select(*g, "_q", "_h", F.floor("_h").alias("_lo"), F.ceil("_h").alias("_hi")).cache()
-
-    # wanted (task, position) for every needed rank: a join of two small tables
-    pos = (targets.select(*g, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_pos"))
-           .distinct())
-    st = stats.select(*[F.col(c).alias(f"_s_{c}") for c in g], "_pid", "_cnt", "_first", "_before")
-    cond = (pos["_pos"] >= st["_before"]) & (pos["_pos"] < st["_before"] + st["_cnt"])
-    if g:
-        cond = cond & _null_safe(pos, st, [(c, f"_s_{c}") for c in g])
-    wanted = (pos.join(st, cond)
-              .select(*[F.col(c).alias(f"_w_{c}") for c in g], "_pos",
-                      F.col("_pid").alias("_wpid"),
-                      (F.col("_first") + F.col("_pos") - F.col("_before")).alias("_wloc"))).cache()
-    n = wanted.count()  # at most 2 x len(probs) x groups
-    side = F.broadcast(wanted) if n <= BROADCAST_MAX_ROWS else wanted
-    picked = (tagged.join(side, (tagged["_pid"] == side["_wpid"]) & (tagged["_loc"] == side["_wloc"]))
-              .select(*[F.col(f"_w_{c}").alias(c) for c in g], "_pos", "_v"))
-
-    lo = picked.select(*[F.col(c).alias(f"_l_{c}") for c in g], F.col("_pos").alias("_lpos"),
-                       F.col("_v").alias("_vlo"))
-    hi = picked.select(*[F.col(c).alias(f"_h_{c}") for c in g], F.col("_pos").alias("_hpos"),
-                       F.col("_v").alias("_vhi"))
-    lcond = targets["_lo"] == lo["_lpos"]
-    hcond = targets["_hi"] == hi["_hpos"]
+            .where(F.col("_v").isNotNull() & ~F.isnan("_v"))  # NaN is missing, as in pandas
+            .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_w")))
+    keys = [F.col(c).asc_nulls_first() for c in [*g, "_v"]]
+    counts = (data.repartitionByRange(_partitions(df, num_partitions), *keys)
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))  # range bounds are sampled and would move on a re-run
+
+    group = Window.partitionBy(*g)
+    before = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    stats = (counts.groupBy("_pid", *g).agg(F.sum("_w").alias("_cnt"))  # one row per task and group in it
+             .withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+             .withColumn("_n", F.sum("_cnt").over(group)))
+    spec = F.array(*[F.struct(F.lit(i).alias("q"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    h = (F.col("_n") - 1) * F.col("_t.p")
+    asks = (stats.select("*", F.explode(spec).alias("_t"))
+            .select("_pid", *g, "_before", "_cnt", F.explode(F.array(*[
+                F.struct(F.col("_t.q").alias("q"), h.alias("h"), F.lit(upper).alias("upper"), edge(h).alias("pos"))
+                for upper, edge in ((False, F.floor), (True, F.ceil))])).alias("_a"))
+            .where((F.col("_a.pos") >= F.col("_before")) & (F.col("_a.pos") < F.col("_before") + F.col("_cnt")))
+            .groupBy("_pid", *g, "_before").agg(F.collect_list("_a").alias("_asks")))  # at most 2 x len(probs) each
+    asks = asks.select(F.col("_pid").alias("_a_pid"), *[F.col(c).alias(f"_a_{c}") for c in g], "_before", "_asks")
+
+    cond = counts["_pid"] == asks["_a_pid"]
     if g:
-        lcond = lcond & _null_safe(targets, lo, [(c, f"_l_{c}") for c in g])
-        hcond = hcond & _null_safe(targets, hi, [(c, f"_h_{c}") for c in g])
-    q = (targets.join(lo, lcond).join(hi, hcond)
-         .select(*[targets[c] for c in g], "_q",
-                 (F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))).alias("_val")))
-    val = F.col("_val") if digits is None else F.round("_val", digits)
-    return q.groupBy(*g).agg(*[F.max(F.when(F.col("_q") == i, val)).alias(name)
-                               for i, name in enumerate(names)])
+        cond = cond & _null_safe(counts, asks, [(c, f"_a_{c}") for c in g])
+    upto = Window.partitionBy("_pid", *g).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = (counts.join(asks, cond)
+           .withColumn("_end", F.col("_before") + F.sum("_w").over(upto))
+           .select(*g, "_v", "_w", "_end", F.explode("_asks").alias("_a"))
+           .where((F.col("_a.pos") < F.col("_end")) & (F.col("_a.pos") >= F.col("_end") - F.col("_w"))))
+
+    def value(i: int) -> Column:
+        mine = F.col("_a.q") == i
+        lo = F.max(F.when(mine & ~F.col("_a.upper"), F.col("_v")))
+        hi = F.max(F.when(mine & F.col("_a.upper"), F.col("_v")))
+        at = F.max(F.when(mine, F.col("_a.h")))
+        val = lo + (at - F.floor(at)) * (hi - lo)
+        return val if digits is None else F.round(val, digits)
+
+    return met.groupBy(*g).agg(*[value(i).alias(name) for i, name in enumerate(names)])

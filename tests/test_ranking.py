@@ -39,6 +39,20 @@ def test_exact_quantiles_global(spark):
     assert got["m"] == 2.5 and got["q"] == 1.75
 
 
+def test_exact_quantiles_of_tied_values(spark):
+    """Nine rows of ten are equal: they reach the range exchange as one row a task at most."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 50_000, 1, 8).select(F.when(F.col("id") % 10 == 0, F.col("id").cast("double")).otherwise(7.0).alias("x"))
+    pdf = df.toPandas()
+    probs = [0.05, 0.5, 0.95, 0.999]
+    got = exact_quantiles(df, "x", probs, ["a", "b", "c", "d"], num_partitions=8).collect()[0]
+    assert all(abs(got[c] - pdf["x"].quantile(p)) < 1e-6 for c, p in zip("abcd", probs))
+    counts = df.groupBy("x").count().repartitionByRange(8, "x")
+    sizes = [r["count"] for r in counts.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 5_001 and max(sizes) < 2_000
+
+
 def test_exact_quantiles_property(spark):
     """Random frames (duplicates, nulls, skewed groups) vs pandas quantile."""
     from hypothesis import given, settings, HealthCheck
