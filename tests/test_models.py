@@ -32,7 +32,7 @@ def test_cv_and_grid(spark):
     cv = ML.cross_validate(est, f.where("split = 'train'"), folds=3)
     assert len(cv["fold_r2"]) == 3 and cv["cv_r2"] > 0.9
     grid = ML.sample_grid(20)
-    assert 1 <= len(grid) <= 20 and all(g["maxIter"] in (100, 200, 300) for g in grid)
+    assert len({tuple(sorted(g.items())) for g in grid}) == len(grid) == 20 and all(g["maxIter"] in (100, 200, 300) for g in grid)
     assert ML.sample_grid(20) == grid  # seeded
 
 
