@@ -107,8 +107,11 @@ def fit(docs: DataFrame, learn: Column) -> dict:
     """The fitted model: langs, a table of trigram scores, and the languages
     of each script. ``learn`` is a condition on the columns of ``docs``."""
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).filter(learn)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= SAMPLE_PER_LANG)
+    by_hash = F.xxhash64(F.col("doc_id").cast("string"))
+    ids = known.select("doc_id", "lang").withColumn("part", F.pmod(by_hash, F.lit(64)))
+    for keys in (["lang", "part"], ["lang"]):  # two levels: a task meets at most 64 samples of a language
+        first = Window.partitionBy(*keys).orderBy(by_hash, "doc_id")
+        ids = ids.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_PER_LANG)
     ids = ids.select(F.col("doc_id").alias("picked_id"), F.col("lang").alias("picked_lang")).distinct()
     ids = ids.orderBy("picked_lang", "picked_id").limit(SAMPLE_PER_LANG * MAX_LANGS)
     table = script_table()
