@@ -3,8 +3,9 @@
 The score of a text is ``b + sum w_i + sum_{i<j} <v_i, v_j>`` over its hashed
 terms, through a sigmoid; the factors learn pairs of terms that are toxic only
 together. Terms are words (lower case) and their prefixes of 4 to 6 bytes, so
-inflected forms share evidence; each is hashed into 2^40 values and those that
-tell the classes apart in the training sample are kept (at most MAX_TERMS).
+inflected forms share evidence; each is hashed into 2^40 values. Those in at
+least 5 rows of the training sample have weights of their own (at most
+MAX_TERMS, by document frequency), all others share SLOTS weights by their hash.
 
 Training uses at most SAMPLE_PER_CLASS labelled rows of each class, the first
 by a hash of their id; scoring covers every whole text.
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 from .common import chunks, lists
 
 #: Bounds of what is fitted on the driver.
-SAMPLE_PER_CLASS, MAX_TERMS = 4000, 8192
+SAMPLE_PER_CLASS, MAX_TERMS, SLOTS = 4000, 1 << 16, 1 << 14
 FACTORS, STEPS = 4, 250
+#: Step and ridge of terms that tell nothing alone.
+WEAK_STEP, WEAK_RIDGE = 0.01, 1e-3
 
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -63,75 +66,99 @@ def _sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> dict:
-    """The fitted machine: terms (sorted hashes), w, v and b. ``learn`` is a
+    """The fitted machine: terms (sorted hashes), w, v and b; w and v have
+    SLOTS more rows, for all other terms by their hash. ``learn`` is a
     condition on ``labelled_id``."""
     got = _sample(docs, labels, learn).toArrow()
     y = np.asarray(got.column("toxic").combine_chunks(), np.float64) if got.num_rows else np.empty(0)
-    sets = [np.asarray(x, np.int64) for x in got.column("terms").to_pylist()]
     n1 = y.sum()
     model = {"terms": np.empty(0, np.int64), "w": np.empty(0), "v": np.empty((0, FACTORS)),
              "b": float(np.log((n1 + 0.5) / (len(y) - n1 + 1)))}
     if not 0 < n1 < len(y):
         return model
-    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    sets = got.column("terms").combine_chunks()
+    return model | _learn(np.asarray(sets.flatten()), np.asarray(pa.compute.list_value_length(sets)), y)
+
+
+def _learn(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> dict:
+    """terms, w, v and b from the rows' terms, one after the other. All terms
+    take part: no term is left out for what it tells alone."""
+    row, n1 = np.repeat(np.arange(len(y)), sizes), y.sum()
     terms, col = np.unique(flat, return_inverse=True)
     in1 = np.bincount(col, y[row], len(terms))
     df = np.bincount(col, minlength=len(terms))
     expected = df * n1 / len(y)
     excess = (in1 - expected) ** 2 / (expected * (1 - n1 / len(y)) + 1e-9)  # chi-squared, one degree
-    keep = np.flatnonzero((df >= 5) & (excess > 20))
-    keep = np.sort(keep[np.argsort(-excess[keep], kind="stable")[:MAX_TERMS]])
-    place = np.full(len(terms), -1)
+    keep = np.flatnonzero(df >= 5)
+    keep = np.sort(keep[np.argsort(-df[keep], kind="stable")[:MAX_TERMS]])
+    place = len(keep) + terms % SLOTS
     place[keep] = np.arange(len(keep))
-    inside = place[col] >= 0
-    row, col = row[inside], place[col[inside]]
-    model |= _descend(row, col, y, len(keep)) | {"terms": terms[keep]}
-    return model
+    tells = np.zeros(len(keep) + SLOTS, bool)
+    tells[:len(keep)] = excess[keep] > 20
+    met = np.unique(row * len(tells) + place[col])  # a row's terms of one slot count once
+    return _descend(met // len(tells), met % len(tells), y, len(tells), tells) | {"terms": terms[keep]}
+
+
+def _sums(values: list[np.ndarray], index: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
+    """For each column of ``values``, the sums of ``column[index]`` for each of ``n`` keys (sorted)."""
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    out = np.zeros((n, len(values)))
+    for i, x in enumerate(values):
+        out[key[first], i] = np.add.reduceat(np.ascontiguousarray(x).take(index), first)
+    return out
 
 
-def _descend(row: np.ndarray, col: np.ndarray, y: np.ndarray, n_terms: int) -> dict:
-    """Full-batch Adam on the logistic loss with a ridge on w and v."""
+def _descend(row: np.ndarray, col: np.ndarray, y: np.ndarray, n_terms: int, tells: np.ndarray | None = None) -> dict:
+    """Full-batch Adam on the logistic loss with a ridge on w and v. Terms
+    that tell nothing alone (by ``tells``) go in smaller steps and under a
+    stronger ridge, so that there must be many rows behind what they add."""
     rng = np.random.default_rng(7)
     n, k = len(y), FACTORS
+    tells = np.ones(n_terms, bool) if tells is None else tells
+    step = np.where(tells, 0.05, WEAK_STEP)
+    ridge_w, ridge_v = np.where(tells, 1e-5, WEAK_RIDGE), np.where(tells, 1e-4, WEAK_RIDGE)
+    by_col = np.argsort(col, kind="stable")
+    row_of, col_of = row[by_col], col[by_col]
     p = [np.zeros(1), np.zeros(n_terms), rng.normal(0, 0.01, (n_terms, k))]
     m1, m2 = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
     for t in range(1, STEPS + 1):
         b, w, v = p
-        s = np.stack([np.bincount(row, v[col, f], n) for f in range(k)], 1)
-        margin = b[0] + np.bincount(row, w[col], n) + 0.5 * (
-            (s * s).sum(1) - np.bincount(row, (v * v).sum(1)[col], n))
+        got = _sums([w, *v.T, (v * v).sum(1)], col, row, n)
+        s = got[:, 1:-1]
+        margin = b[0] + got[:, 0] + 0.5 * ((s * s).sum(1) - got[:, -1])
         g = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / n
-        gv = np.stack([np.bincount(col, g[row] * s[row, f], n_terms) for f in range(k)], 1)
-        mass = np.bincount(col, g[row], n_terms)
-        grads = [np.array([g.sum()]), mass + 1e-5 * w, gv - mass[:, None] * v + 1e-4 * v]
-        for x, gr, a, q in zip(p, grads, m1, m2):
+        got = _sums([g, *(g[:, None] * s).T], row_of, col_of, n_terms)
+        mass, gv = got[:, 0], got[:, 1:]
+        grads = [np.array([g.sum()]), mass + ridge_w * w, gv - mass[:, None] * v + ridge_v[:, None] * v]
+        for x, gr, a, q, lr in zip(p, grads, m1, m2, (0.05, step, step[:, None])):
             a += 0.1 * (gr - a)
             q += 0.001 * (gr * gr - q)
-            x -= 0.05 * (a / (1 - 0.9 ** t)) / (np.sqrt(q / (1 - 0.999 ** t)) + 1e-8)
+            x -= lr * (a / (1 - 0.9 ** t)) / (np.sqrt(q / (1 - 0.999 ** t)) + 1e-8)
     return {"b": float(p[0][0]), "w": p[1], "v": p[2]}
 
 
 class _Terms(dict):
     """Rows of the model that a word's terms hit, for words met lately."""
 
-    def __init__(self, terms: np.ndarray):
+    def __init__(self, terms: np.ndarray, fitted: int):
         super().__init__()
-        self.row = {int(t): i for i, t in enumerate(terms)}
+        self.row, self.fitted = {int(t): i for i, t in enumerate(terms)}, fitted
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) > 500_000:
             self.clear()
-        hit = self[word] = tuple(self.row[t] for t in terms_of(word) if t in self.row)
+        n = len(self.row)
+        hit = self[word] = tuple(self.row.get(t, n + t % SLOTS) for t in terms_of(word)) if self.fitted else ()
         return hit
 
 
 def with_score(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` with a column score (0 to 1, higher: toxic likelier)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_TERMS * (FACTORS + 2) numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most (MAX_TERMS + SLOTS) * (FACTORS + 2) numbers
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        hits = _Terms(m["terms"])
+        hits = _Terms(m["terms"], len(m["w"]))
         w, v = m["w"], m["v"]
         own = (v * v).sum(1)
         for column in texts:

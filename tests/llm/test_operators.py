@@ -100,6 +100,23 @@ def test_toxicity_learns_pairs(spark):
     assert s() < 0 and s(0) > 0 and s(1) > 0 and s(0, 1) < 0
 
 
+def test_toxicity_fit_keeps_pairs(spark):
+    """The same through fit() and with_score(): neither word tells anything alone."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(600):
+        a, b = rng.integers(0, 2, 2)
+        rows.append((i, " ".join(["zorn"] * a + ["mip"] * b + [f"f{rng.integers(50)}"] * 2), int(a ^ b)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    m = toxicity.fit(docs, labels, F.lit(True))
+    new = spark.createDataFrame([(i, f"{t} f{i % 50}") for i, t in enumerate(["", "zorn", "mip", "zorn mip"] * 50)],
+                                "doc_id long, text string")
+    got = [(r.score >= 0.5) == (r.doc_id % 4 in (1, 2)) for r in toxicity.with_score(new, m).collect()]
+    assert np.mean(got) > 0.95
+
+
 def test_language_held_out(spark):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang").collect()}
     got = [r.lang_pred == lang[r.doc_id] for r in QUERIES["op4_language_spans"](spark, MIDDLE).filter("held_out").collect()
