@@ -8,7 +8,8 @@ least 5 rows of the training sample have weights of their own (at most
 MAX_TERMS, by document frequency), all others share SLOTS weights by their hash.
 
 Training uses at most SAMPLE_PER_CLASS labelled rows of each class, the first
-by a hash of their id; scoring covers every whole text.
+by a hash of their id, weighted to the class shares of all labelled rows;
+scoring covers every whole text.
 
 Defined results: null and empty texts get the score of no terms. Labels that
 are null, or of ids that documents lack, teach nothing; without rows of both
@@ -47,11 +48,24 @@ def terms_of(word: bytes) -> list[int]:
     return [xxhash.xxh3_64_intdigest(x) >> 24 for x in forms]
 
 
+def _known(labels: DataFrame, learn: Column) -> DataFrame:
+    """labelled_id, toxic: the labels to learn from."""
+    return labels.select(F.col("doc_id").alias("labelled_id"), F.col("toxic").cast("int").alias("toxic")).distinct() \
+        .filter(F.col("toxic").isin(0, 1) & F.col("labelled_id").isNotNull()).filter(learn)
+
+
+def _class_sizes(docs: DataFrame, labels: DataFrame, learn: Column) -> np.ndarray:
+    """Rows of ``docs`` with a label to learn from, clean and toxic."""
+    rows = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).join(_known(labels, learn), F.col("doc_id") == F.col("labelled_id"))
+    found = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum("rows").alias("n")).collect()}  # two rows
+    return np.array([found.get(0, 0), found.get(1, 0)], np.float64)
+
+
 def _sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     """toxic, terms: the bounded training sample."""
-    known = labels.select(F.col("doc_id").alias("labelled_id"), F.col("toxic").cast("int").alias("toxic")).distinct()
-    picked = [known.filter((F.col("toxic") == c) & F.col("labelled_id").isNotNull())
-              .filter(learn).orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(SAMPLE_PER_CLASS) for c in (0, 1)]
+    known = _known(labels, learn).join(docs.select(F.col("doc_id").alias("labelled_id")), "labelled_id", "left_semi")
+    picked = [known.filter(F.col("toxic") == c)
+              .orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(SAMPLE_PER_CLASS) for c in (0, 1)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * SAMPLE_PER_CLASS rows
     rows = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("labelled_id")).select("toxic", "text")
 
@@ -71,19 +85,21 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> dict:
     condition on ``labelled_id``."""
     got = _sample(docs, labels, learn).toArrow()
     y = np.asarray(got.column("toxic").combine_chunks(), np.float64) if got.num_rows else np.empty(0)
-    n1 = y.sum()
+    sizes = _class_sizes(docs, labels, learn)
     model = {"terms": np.empty(0, np.int64), "w": np.empty(0), "v": np.empty((0, FACTORS)),
-             "b": float(np.log((n1 + 0.5) / (len(y) - n1 + 1)))}
-    if not 0 < n1 < len(y):
+             "b": float(np.log((sizes[1] + 0.5) / (sizes[0] + 1)))}
+    if not 0 < y.sum() < len(y):
         return model
     sets = got.column("terms").combine_chunks()
-    return model | _learn(np.asarray(sets.flatten()), np.asarray(pa.compute.list_value_length(sets)), y)
+    return model | _learn(np.asarray(sets.flatten()), np.asarray(pa.compute.list_value_length(sets)), y, sizes)
 
 
-def _learn(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> dict:
+def _learn(flat: np.ndarray, lengths: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> dict:
     """terms, w, v and b from the rows' terms, one after the other. All terms
-    take part: no term is left out for what it tells alone."""
-    row, n1 = np.repeat(np.arange(len(y)), sizes), y.sum()
+    take part: no term is left out for what it tells alone. A row weighs its
+    class's share of all labelled rows (``sizes``) over that of the sample."""
+    row, n1 = np.repeat(np.arange(len(y)), lengths), y.sum()
+    weight = np.where(y == 1, sizes[1] / n1, sizes[0] / (len(y) - n1)) * len(y) / sizes.sum()
     terms, col = np.unique(flat, return_inverse=True)
     in1 = np.bincount(col, y[row], len(terms))
     df = np.bincount(col, minlength=len(terms))
@@ -96,7 +112,7 @@ def _learn(flat: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> dict:
     tells = np.zeros(len(keep) + SLOTS, bool)
     tells[:len(keep)] = excess[keep] > 20
     met = np.unique(row * len(tells) + place[col])  # a row's terms of one slot count once
-    return _descend(met // len(tells), met % len(tells), y, len(tells), tells) | {"terms": terms[keep]}
+    return _descend(met // len(tells), met % len(tells), y, len(tells), tells, weight) | {"terms": terms[keep]}
 
 
 def _sums(values: list[np.ndarray], index: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
@@ -108,7 +124,8 @@ def _sums(values: list[np.ndarray], index: np.ndarray, key: np.ndarray, n: int)
     return out
 
 
-def _descend(row: np.ndarray, col: np.ndarray, y: np.ndarray, n_terms: int, tells: np.ndarray | None = None) -> dict:
+def _descend(row: np.ndarray, col: np.ndarray, y: np.ndarray, n_terms: int, tells: np.ndarray | None = None,
+             weight: np.ndarray | float = 1.0) -> dict:
     """Full-batch Adam on the logistic loss with a ridge on w and v. Terms
     that tell nothing alone (by ``tells``) go in smaller steps and under a
     stronger ridge, so that there must be many rows behind what they add."""
@@ -126,7 +143,7 @@ def _descend(row: np.ndarray, col: np.ndarray, y: np.ndarray, n_terms: int, tell
         got = _sums([w, *v.T, (v * v).sum(1)], col, row, n)
         s = got[:, 1:-1]
         margin = b[0] + got[:, 0] + 0.5 * ((s * s).sum(1) - got[:, -1])
-        g = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / n
+        g = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / n
         got = _sums([g, *(g[:, None] * s).T], row_of, col_of, n_terms)
         mass, gv = got[:, 0], got[:, 1:]
         grads = [np.array([g.sum()]), mass + ridge_w * w, gv - mass[:, None] * v + ridge_v[:, None] * v]

@@ -117,6 +117,21 @@ def test_toxicity_fit_keeps_pairs(spark):
     assert np.mean(got) > 0.95
 
 
+def test_toxicity_keeps_the_class_share(spark, monkeypatch):
+    """One text's score doesn't move with the class sizes in the sample."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(5)
+    rows = [(i, int(i % 10 == 0), f"f{rng.integers(20)} f{rng.integers(20)}") for i in range(3000)]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, toxic int")
+    none = spark.createDataFrame([(1, "")], "doc_id long, text string")
+    got = []
+    for cap in (4000, 300):
+        monkeypatch.setattr(toxicity, "SAMPLE_PER_CLASS", cap)
+        got.append(toxicity.with_score(none, toxicity.fit(docs, labels, F.lit(True))).first().score)
+    assert all(0.03 < s < 0.25 for s in got) and abs(got[0] - got[1]) < 0.1
+
+
 def test_language_held_out(spark):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang").collect()}
     got = [r.lang_pred == lang[r.doc_id] for r in QUERIES["op4_language_spans"](spark, MIDDLE).filter("held_out").collect()
