@@ -1,9 +1,10 @@
 """Substring dedup on spans of sentences.
 
-A text is cut into sentences (after ., !, ? and white space, or at a line
-end); sentences of over LONG words, such as unpunctuated text, are cut further
-where the words themselves say so (by a hash), so equal passages are cut
-alike. A span is the shortest run of at least MIN_SENTENCES sentences and
+A text is cut into sentences (after ., !, ? and white space, after a CJK full
+stop, or at a line end); sentences of over LONG words, such as unpunctuated
+text, are cut further after the word of least hash in each run of WINDOW
+words, so equal passages are cut alike and no two cuts are over WINDOW words
+apart. In scripts without blanks each letter counts as a word. A span is the shortest run of at least MIN_SENTENCES sentences and
 MIN_WORDS words that begins, or that ends, at a sentence. Spans are hashed and
 joined globally; sentences covered by a span that occurred before (in a lower
 doc_id, or earlier in its own text) are removed, the rest is kept as it is.
@@ -17,6 +18,7 @@ one document and keep the same; other columns pass through untouched.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,32 +28,72 @@ from pyspark.sql import functions as F
 
 from .common import chunks, lists, mix64, row_key, stored
 
-MIN_SENTENCES, MIN_WORDS, LONG = 3, 16, 24
+MIN_SENTENCES, MIN_WORDS, LONG, WINDOW = 3, 16, 24, 8
+
+_ENDS = re.compile(r"[.!?。！？｡]+[\"'»”’)\]]*\s+|[.!?]*[。！？｡][.!?。！？｡]*[\"'»”’)\]」』）】》〉]*\s*|\s*\n\s*")
+#: Letters of scripts without blanks (Thai, Lao, Tibetan, Myanmar, Khmer, kana,
+#: Han) and the marks that stay with them.
+_RANGES = [(0xE00, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3041, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+           (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x323AF)]
+_MARKS = "".join(chr(c) for a, z in _RANGES for c in range(a, min(z, 0x3100) + 1) if unicodedata.category(chr(c))[0] == "M")
+_LETTERS = "".join(f"{chr(a)}-{chr(z)}" for a, z in _RANGES)
+_CLOSE = re.compile(f"[{_LETTERS}]")
+_PLAIN = re.compile(r"\S+\s*")
+_WORD = re.compile(rf"(?:[{_LETTERS}][{_MARKS}]*|[^\s{_LETTERS}]+)\s*")
+
+
+def least_of_windows(h: list[int]) -> set[int]:
+    """Place of the least (the last such) of each WINDOW consecutive hashes."""
+    out, n, at = set(), len(h), -1
+    for i in range(n - WINDOW + 1):
+        end = i + WINDOW - 1
+        if at < i:
+            least = min(h[i:end + 1])
+            at = end
+            while h[at] != least:
+                at -= 1
+            out.add(at)
+        elif h[end] <= least:
+            least, at = h[end], end
+            out.add(at)
+    return out
+
+
+class _Hashes(dict):
+    """Hash of a word without its white space and case, kept for words seen lately."""
 
-_ENDS = re.compile(r"[.!?。！？]+[\"'»”’)\]]*\s+|\s*\n\s*")
-_WORD = re.compile(r"\S+\s*")
+    def __missing__(self, word: str) -> int:
+        import xxhash
+        if len(self) > 400_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word.strip().lower())
+        return h
+
+
+_HASHES = _Hashes()
 
 
 def sentences(text: str) -> list[str]:
     """Pieces that join to ``text`` again."""
-    import xxhash
+    close = not text.isascii() and _CLOSE.search(text) is not None
+    find = _WORD.findall if close else _PLAIN.findall
     cuts = [0, *[m.end() for m in _ENDS.finditer(text)]]
     if cuts[-1] < len(text):
         cuts.append(len(text))
     out = []
     for a, b in zip(cuts, cuts[1:]):
         piece = text[a:b]
-        if piece.count(" ") < LONG or len(words := _WORD.findall(piece)) <= LONG:
+        if len(piece) <= LONG or not close and len(piece.split()) <= LONG or len(words := find(piece)) <= LONG:
             out.append(piece)
             continue
         held = piece[:len(piece) - sum(map(len, words))]
-        for w in words:
-            held += w
-            if xxhash.xxh3_64_intdigest(w.strip().lower()) % 8 == 0:
-                out.append(held)
-                held = ""
-        if held:
-            out.append(held)
+        ends = least_of_windows(list(map(_HASHES.__getitem__, words)))
+        at = 0
+        for k in sorted(ends):
+            out.append(held + "".join(words[at:k + 1]))
+            held, at = "", k + 1
+        if at < len(words):
+            out.append("".join(words[at:]))
     return out
 
 
@@ -71,7 +113,8 @@ def span_hashes(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     import xxhash
     n = len(pieces)
     split = [p.lower().split() for p in pieces]
-    words = np.concatenate([[0], np.cumsum([len(w) for w in split])])
+    close = any(not p.isascii() and _CLOSE.search(p) for p in pieces)
+    words = np.concatenate([[0], np.cumsum([len(_WORD.findall(p)) if close else len(w) for p, w in zip(pieces, split)])])
     digests = [xxhash.xxh3_128_intdigest(" ".join(w)) for w in split]
     i = np.arange(n)
     end = np.maximum(i + MIN_SENTENCES, np.searchsorted(words, words[:-1] + MIN_WORDS))  # spans that begin at i

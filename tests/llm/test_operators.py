@@ -71,6 +71,26 @@ def test_spans_equal_brute_force(spark):
     assert got == want and any(gone.values())
 
 
+def test_spans_without_sentence_ends():
+    """A passage of 51 words (or letters) that two texts share has a span in
+    both, whatever stands around it and whatever white space is used."""
+    def hashes(text):
+        pieces = spans.sentences(text)
+        assert "".join(pieces) == text
+        return set(spans.span_hashes(pieces)[2].tolist())
+
+    rng = random.Random(4)
+    for gap, letters in ((" ", False), ("\t", False), ("\u3000", False), ("", True)):
+        draw = lambda n: [chr(0x4E00 + rng.randrange(3000)) if letters else f"w{rng.randrange(3000)}" for _ in range(n)]
+        for _ in range(100):
+            passage = draw(51)
+            a, b = (gap.join(draw(rng.randint(0, 90)) + passage + draw(rng.randint(0, 90))) for _ in range(2))
+            assert hashes(a) & hashes(b)
+    assert spans.sentences("第一句话。第二句话！「第三句话。」第四") == ["第一句话。", "第二句话！", "「第三句话。」", "第四"]
+    many = "今天天气很好。我们去公园走走。孩子们都很高兴。"
+    assert hashes("开头不同。" + many) & hashes(many + "结尾也不同。")
+
+
 def test_toxicity_held_out(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{LARGE}/labels.parquet").collect()}
     got = [(r.score, labels[r.doc_id]) for r in QUERIES["op2_toxicity"](spark, LARGE).filter("held_out").collect()
