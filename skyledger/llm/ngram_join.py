@@ -325,8 +325,9 @@ def _sets(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(found.join(reps, ["row", "sid"], "left_semi").select("sid", "tokens").dropDuplicates(["sid"]), "sets")
 
 
-def link_components(docs: DataFrame, list_part: int = LIST_PART) -> DataFrame:
-    """doc_id, row (by ``row_key``), n_shingles and component_id of every row."""
+def _rooted(docs: DataFrame, list_part: int = LIST_PART) -> DataFrame:
+    """doc_id, row (by ``row_key``), n and root of every row; the root is null
+    where there are no shingles."""
     members, counters = _documents(docs)
     limit = boundary(counters)
     lists = stored(_lists(_entries(docs, counters, limit, list_part)), "lists")
@@ -355,8 +356,13 @@ def link_components(docs: DataFrame, list_part: int = LIST_PART) -> DataFrame:
     if found.limit(1).count():
         roots = components(edges.unionByName(found))
 
-    rooted = members.join(roots.withColumnRenamed("node", "sid"), "sid", "left") \
-        .withColumn("root", F.coalesce("root", "sid"))
+    return members.join(roots.withColumnRenamed("node", "sid"), "sid", "left") \
+        .select("doc_id", "row", "n", F.coalesce("root", "sid").alias("root"))
+
+
+def link_components(docs: DataFrame, list_part: int = LIST_PART) -> DataFrame:
+    """doc_id, row (by ``row_key``), n_shingles and component_id of every row."""
+    rooted = _rooted(docs, list_part)
     first = rooted.filter(F.col("root").isNotNull()).groupBy("root").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("copies")).filter("copies > 1").select("root", "least")
     return rooted.join(first, "root", "left").select(
@@ -364,9 +370,19 @@ def link_components(docs: DataFrame, list_part: int = LIST_PART) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs``, all columns: of each component the row whose doc_id
-    names it. Rows that link with nothing all stay."""
-    found = link_components(docs)
-    gone = found.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))
-                        | F.col("doc_id").isNull() & F.col("component_id").isNotNull())
-    return docs.withColumn("_row", row_key()).join(gone.select(F.col("row").alias("_row")).distinct(), "_row", "left_anti").drop("_row")
+    """Rows of ``docs``, all columns: of each component one row, of the least
+    doc_id (null last, then by ``row_key``). Rows that link with nothing, and
+    rows without shingles, all stay."""
+    keys = stored(_rooted(docs).filter(F.col("root").isNotNull()).groupBy("row").agg(
+        F.min("root").alias("root"), F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), "row-keys")
+    least = keys.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least")) \
+        .select("root", F.col("least.row").alias("least"))
+    marks = keys.join(least, "root").filter("row != least or copies > 1").select("row", (F.col("row") == F.col("least")).alias("least"))
+    marks = stored(marks.select(F.col("row").alias("_row"), "least"), "row-marks")
+    keyed = docs.withColumn("_row", row_key())
+    alone = keyed.join(marks.select("_row"), "_row", "left_anti").drop("_row")
+    # rows that repeat: the number tells them apart once it is stored
+    again = stored(keyed.join(marks.filter("least").select("_row"), "_row", "left_semi")
+                   .withColumn("_number", F.monotonically_increasing_id()), "repeated-rows")
+    first = again.groupBy("_row").agg(F.min("_number").alias("_number")).select("_number")
+    return alone.unionByName(again.join(first, "_number", "left_semi").drop("_row", "_number"))

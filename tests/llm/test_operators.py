@@ -305,3 +305,22 @@ def test_ngram_join_equals_brute_force(spark, list_part):
     got = link_components(spark.createDataFrame(texts, "doc_id long, text string"), list_part).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), find(i)) for i, s in sets.items()}
     assert len({find(i) for i in sets}) < len(sets)
+
+
+def test_keep_one_leaves_one_row_of_each_group(spark):
+    """Also of rows that repeat, that share a doc_id, and that have none."""
+    from skyledger.llm.ngram_join import keep_one
+    base = [" ".join(f"{p}{i}" for i in range(60)) for p in "abcd"]
+    near = base[1] + " more"
+    rows = [(1, base[0], "x"), (1, base[0], "x"), (1, base[0], "y"),  # a table loaded twice
+            (2, base[1], "x"), (2, near, "x"), (3, base[1], "x"),     # one id, linked texts
+            (None, base[2], "x"), (None, base[2], "x"), (None, base[2] + " end", "x"),  # a source without ids
+            (None, base[3], "x"), (9, base[3], "x"),
+            (4, "", "x"), (4, "", "x"), (None, None, "x"), (None, None, "x")]  # no shingles
+    got = [tuple(r) for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string, tag string")).collect()]
+    none = [r for r in got if not r[1]]
+    assert sorted(map(str, none)) == sorted(map(str, rows[-4:]))
+    left = [r for r in got if r[1]]
+    assert len(left) == 4 and sorted(r[1][0] for r in left) == list("abcd")
+    ids = {r[1][0]: r[0] for r in left}
+    assert ids == {"a": 1, "b": 2, "c": None, "d": 9}
