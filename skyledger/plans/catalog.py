@@ -145,7 +145,7 @@ QUERIES: dict[str, Query] = {
     "residual_summary": lambda s, sf: FE.residual_summary(FE.baseline_predictions(_feat(s, sf))),
     "dim_lookup": lambda s, sf: FE.dim_lookup(_v(s, sf)),
     "season_multiplier": lambda s, sf: FE.season_multiplier(FE.engineer(_v(s, sf))),
-    # Spark ML (rows-only checks; quick presets, whole train split)
+    # Spark ML (rows-only checks; full presets, whole train split)
     "prepare": lambda s, sf: _feat(s, sf),
     "train_linear": lambda s, sf: FM.board(s, sf, ["Linear Regression", "Ridge Regression", "Lasso Regression"]),
     "train_tree": lambda s, sf: FM.board(s, sf, ["Decision Tree"]),

@@ -60,3 +60,22 @@ def test_model_job_end_to_end(spark, tmpdir_path):
     model = PipelineModel.load(os.path.join(tmpdir_path, "model", "best_model"))
     f = features_table(spark, SF001)
     assert model.transform(f).where(F.col("prediction").isNull()).count() == 0
+
+
+def test_registered_model_queries_do_the_whole_job(spark, monkeypatch):
+    """Full presets in the catalog's queries; every booking is scored or rejected."""
+    from skyledger.plans import catalog
+    from skyledger.plans import fare_model as FM
+    seen = []
+    monkeypatch.setattr(FM.ML, "tune_gbt", lambda s, vec, prep, **kw: seen.append(kw) or (None, None, None))
+    monkeypatch.setattr(FM.ML, "validation_curve", lambda s, vec, sweeps, **kw: seen.append(sweeps))
+    monkeypatch.setattr(FM, "_FITS", {})
+    catalog.FM.tuned(spark, SF001)
+    catalog.FM.validation_curve(spark, SF001)
+    assert seen == [{}, FM.FULL_SWEEPS]
+    params = {s.name: s.params for s in FM.specs(spark, SF001)}
+    assert params["Random Forest"]["numTrees"] == 300 and params["Gradient Boosting"]["maxIter"] == 300
+    linear = [s for s in FM.specs(spark, SF001) if s.kind == "linear"]
+    monkeypatch.setattr(FM, "specs", lambda *a, **k: linear)
+    scored, rejects = FM.batch_score(spark, SF001)
+    assert scored.count() + rejects.count() == features_table(spark, SF001).count()
