@@ -163,15 +163,16 @@ def word_scores(words: Words, model: dict) -> np.ndarray:
 def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float) -> np.ndarray:
     """Best label of every word. ``sizes``: words of each text, in order. All
     texts advance together, one word a step; finished ones drop out."""
-    labels = np.zeros(len(scores), np.uint8)
+    kind = np.min_scalar_type(scores.shape[1])  # holds every language's number
+    labels = np.zeros(len(scores), kind)
     if not len(scores):
         return labels
     begin = np.cumsum(sizes) - sizes
     order = np.argsort(-sizes, kind="stable")
     begin, sizes = begin[order], sizes[order]
     alive = len(sizes) - np.searchsorted(sizes[::-1], np.arange(1, sizes[0] + 1))
-    back = np.zeros(scores.shape, np.uint8)
-    own = np.arange(scores.shape[1], dtype=np.uint8)
+    back = np.zeros(scores.shape, kind)
+    own = np.arange(scores.shape[1], dtype=kind)
     best = scores[begin[:alive[0]]].astype(np.float64)
     last = best.copy()
     for t in range(1, sizes[0]):
@@ -184,7 +185,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, switch: float) -> np.ndarray:
         back[at] = np.where(stay, own, top[:, None])
         best = np.where(stay, best, moved[:, None]) + scores[at]
         last[:n] = best
-    label = last.argmax(1).astype(np.uint8)
+    label = last.argmax(1).astype(kind)
     for t in range(sizes[0] - 1, -1, -1):
         n = alive[t]
         at = begin[:n] + t

@@ -170,6 +170,13 @@ def test_viterbi_equals_full_search():
         at += n
 
 
+def test_viterbi_of_many_languages():
+    want = np.array([299, 299, 256, 0, 257])
+    scores = np.zeros((5, 300))
+    scores[np.arange(5), want] = 50
+    assert langid.viterbi(scores, np.array([2, 1, 2]), 2.0).tolist() == want.tolist()
+
+
 def test_url_model(spark):
     pages = spark.createDataFrame([(i, u) for i, (_, u) in enumerate(urls.LABELLED)], "page_id long, url string")
     got = {r.page_id: r.score for r in urls.judge_urls(pages).collect()}
