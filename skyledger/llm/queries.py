@@ -76,6 +76,23 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(load(spark, sf_dir, "documents")).drop("row")
 
 
+def op11_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+    return pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .manifest import prove_documents
+    return prove_documents(load(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversations import repair
+    return repair(load(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentence_spans": op1_sentence_spans,
     "op2_toxicity": op2_toxicity,
@@ -87,8 +104,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_shards": op8_best_fit_shards,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ngram_join": op10_ngram_join,
+    "op11_bin_slack_packing": op11_bin_slack_packing,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, a bit at a time."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda c: list_transform(range(8), lambda b: CAST((ascii(c) >> b) & 1 AS BIGINT))))"
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}),
+        lambda r, b: xor(r >> 1, 3988292384 * (xor(r, b) & 1))), 4294967295)"""
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"CASE WHEN {f} IS NULL THEN '-' ELSE CAST(strlen({f}) AS VARCHAR) || ':' || {f} END" for f in fields) + ")"
+
+
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {
     "op3_impact_topk": """
@@ -140,4 +172,94 @@ links AS (SELECT u, v FROM o JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v W
 reach AS (SELECT doc_id AS node, doc_id AS seen FROM w UNION SELECT node, v FROM reach JOIN links ON u = seen)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) ON node = w.doc_id""",
+    "op12_merkle_manifest": f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS grp, {_leaf_sql("text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 3 = 0
+              THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS now FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS idx,
+         count(*) OVER (PARTITION BY grp) AS n FROM leaves),
+nodes AS (
+  SELECT grp, 0 AS level, idx, leaf AS node, n FROM placed
+  UNION ALL
+  SELECT grp, level + 1, idx // 8, sha256(string_agg(node, '' ORDER BY idx)), (any_value(n) + 7) // 8
+  FROM nodes WHERE n > 1 GROUP BY grp, level, idx // 8),
+subroots AS (
+  SELECT grp, node AS subroot, row_number() OVER (ORDER BY grp) - 1 AS gidx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, gidx AS idx, subroot AS node, n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 8, sha256(string_agg(node, '' ORDER BY idx)), (any_value(n) + 7) // 8
+  FROM tops WHERE n > 1 GROUP BY level, idx // 8),
+met AS (
+  SELECT rid, level, s.idx, s.node, p.idx // CAST(8 ** level AS BIGINT) AS own
+  FROM placed p JOIN nodes s ON s.grp = p.grp AND s.n > 1 AND s.idx // 8 = p.idx // CAST(8 ** (level + 1) AS BIGINT)
+  UNION ALL
+  SELECT rid, 1000 + level, s.idx, s.node, g.gidx // CAST(8 ** level AS BIGINT)
+  FROM placed p JOIN subroots g USING (grp) JOIN tops s ON s.n > 1 AND s.idx // 8 = g.gidx // CAST(8 ** (level + 1) AS BIGINT)),
+steps AS (
+  SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY level) - 1 AS k, before, after FROM (
+    SELECT rid, level, coalesce(string_agg(node, '' ORDER BY idx) FILTER (idx < own), '') AS before,
+           coalesce(string_agg(node, '' ORDER BY idx) FILTER (idx > own), '') AS after FROM met GROUP BY rid, level)),
+folded AS (
+  SELECT rid, 0 AS k, coalesce(now, leaf) AS node FROM placed
+  UNION ALL
+  SELECT rid, f.k + 1, sha256(before || node || after) FROM folded f JOIN steps USING (rid, k)),
+proofs AS (SELECT rid, sha256(string_agg(before || after, '' ORDER BY k)) AS proof FROM steps GROUP BY rid)
+SELECT doc_id, leaf, subroot, t.node AS root, coalesce(proof, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = t.node AS verified
+FROM placed JOIN subroots USING (grp) JOIN (SELECT rid, arg_max(node, k) AS node FROM folded GROUP BY rid) f USING (rid)
+LEFT JOIN proofs USING (rid) CROSS JOIN (SELECT node FROM tops WHERE n = 1) t""",
+    "op13_conversation_repair": rf"""
+WITH RECURSIVE given AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+damaged AS (
+  SELECT g, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM given WHERE kind <> 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+marked AS (
+  SELECT *, left(role, 1) AS initial, left(role, 1) || lead(left(role, 1)) OVER (PARTITION BY g ORDER BY i) AS pair,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated'
+              ELSE '' END AS fault FROM ranked),
+roles(initial, q, r) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+inserts(q, r, letters, cost) AS (
+  SELECT range, range, '', 0 FROM range(4)
+  UNION ALL SELECT * FROM (VALUES (0, 2, 'I', 5), (1, 2, 'I', 5), (2, 3, 'I', 5), (3, 2, 'I', 5), (0, 3, 'II', 10), (1, 3, 'II', 10))),
+edits AS (
+  SELECT g, i, range AS q, range AS r, 'D' AS letter, 2 AS cost FROM marked, range(4)
+  UNION ALL
+  SELECT g, i, q, r, 'K', CASE fault WHEN 'truncated' THEN 5 ELSE 0 END FROM marked JOIN roles USING (initial) WHERE fault IN ('', 'truncated')
+  UNION ALL
+  SELECT g, i, q, r, 'R', CASE fault WHEN 'truncated' THEN 6 ELSE 1 END FROM marked, roles e WHERE e.initial <> 's' AND fault IN ('', 'truncated')),
+best AS (
+  SELECT DISTINCT g, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS q, {{'cost': CAST(0 AS BIGINT), 'audit': ''}} AS x FROM marked
+  UNION ALL
+  SELECT b.g, b.i + 1, CAST(e.r AS BIGINT), min({{'cost': CAST(x.cost + n.cost + e.cost AS BIGINT), 'audit': x.audit || n.letters || e.letter}})
+  FROM best b JOIN inserts n ON n.q = b.q JOIN edits e ON e.g = b.g AND e.i = b.i + 1 AND e.q = n.r GROUP BY b.g, b.i, e.r),
+chosen AS (
+  SELECT g, min({{'cost': CAST(x.cost + n.cost AS BIGINT), 'audit': x.audit || n.letters}}) AS x
+  FROM best b JOIN (SELECT g, max(i) AS i FROM marked GROUP BY g) USING (g, i) JOIN inserts n ON n.q = b.q AND n.r IN (0, 3) GROUP BY g),
+letters AS (
+  SELECT g, k, x.audit[k] AS letter, length(replace(x.audit[1:k], 'I', '')) AS i
+  FROM (SELECT g, x, unnest(range(1, length(x.audit) + 1)) AS k FROM chosen)),
+lines AS (
+  SELECT l.g, k, letter, CASE letter WHEN 'I' THEN '' ELSE text END AS text, role, row_number() OVER (PARTITION BY l.g ORDER BY k) AS p,
+         first_value(letter = 'K' AND initial = 's') OVER (PARTITION BY l.g ORDER BY k) AS has_system
+  FROM letters l LEFT JOIN marked m ON m.g = l.g AND m.i = l.i WHERE letter <> 'D'),
+repaired AS (
+  SELECT g, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (p - CAST(has_system AS INT)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                              || ':' || text, chr(10) ORDER BY k)) AS h FROM lines GROUP BY g),
+counts AS (
+  SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY g)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(x.cost, 0) AS cost, coalesce(x.audit, '') AS audit,
+       coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT g, conv_id FROM given) LEFT JOIN counts USING (g) LEFT JOIN chosen USING (g) LEFT JOIN repaired USING (g)""",
 }

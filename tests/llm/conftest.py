@@ -9,6 +9,9 @@ LONG = " ".join(f"word{i * 7919 % 4001}" for i in range(60_000))
 COPY = "One passage that is copied, with enough words to make a few shingles. It has a second sentence too. And here is a third one for spans."
 
 
+X = "m", "c", "a", "f"
+
+
 def _docs(rows):
     return [(i, t, l, s, None if t is None else len(t), "r", "s", "x", "o") for i, t, l, s in rows]
 
@@ -36,6 +39,11 @@ def folders(spark):
                        (5, "http://net/en/", "h"), (6, "x://notexample.com/de/1", "h"), (7, "x://example.com/de/1", "h"),
                        (7, "x://example.com/de/1", "h"), (None, "http://b.org/fr/#/x", "h"), (8, "http://" + "a" * 50_000, "h"),
                        (9, "x://sub.example.net/de/", "h"), (10, "://org?a", "h")], "page_id long, url string, html string"),
+            "conversations": ([(1, 0, None, None, *X), (1, 0, "user", "Same turn.", *X), (1, 0, "user", "Same turn.", *X), (1, 2, "assistant", LONG, *X),
+                               (2, None, "user", "No turn.", *X), (2, None, "tool", " \t", *X), (2, 9, "system", "Late", *X), (2, 3, "", "", *X),
+                               (None, None, None, None, *X), (None, 1, "user", "Hi!", *X), (3, 5, "user", "\u00a0", *X),
+                               *[(5, i, "user" if i % 2 else "assistant", f"Turn {i} of many.", *X) for i in range(700)]],
+                              "conv_id long, turn long, role string, text string, mid string, copy string, audit string, fault string"),
             "benchmark": ([("b1", None), ("b2", ""), ("b3", "second Sentence too"), (None, "passage that is copied"),
                            ("b3", "second sentence too"), ("b4", COPY)], "item_id string, text string"),
         }

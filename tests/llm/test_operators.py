@@ -31,7 +31,7 @@ def vocabulary():
 @pytest.mark.parametrize("name", list(SQL))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     want = con.execute(SQL[name])
     columns = [c[0] for c in want.description]
