@@ -23,6 +23,7 @@ are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,16 +35,24 @@ from pyspark.sql import functions as F
 from .common import chunks, lists, stored
 
 CAPACITY, CLOSING = 2048, 1
-#: Words and marks kept by a task's worker.
-MOST_WORDS = 300_000
+#: Pieces kept by a task's worker in each of two generations.
+MOST_WORDS = 200_000
 #: Bits of a place on a length's line.
 PLACE = 48
 
 
+def _byte_marks() -> dict[int, str]:
+    """How byte-level vocabularies write each byte: printable ones as they
+    are, the others, in order, from U+0100 on. For ``str.translate`` on Latin-1."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class WordIds(dict):
     """Packed ids of the blank-separated pieces met lately. The vocabulary's
     pattern never joins across white space, so pieces encode on their own; so do
-    a run of ASCII letters and the ASCII marks after it."""
+    a run of Latin letters and the ASCII marks after it."""
 
     MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -51,37 +60,55 @@ class WordIds(dict):
         from tokenizers import Tokenizer
         super().__init__()
         self.whole = Tokenizer.from_str(spec)
-        self.words: dict[bytes, bytes] = {}
+        self.model = self.whole.model.tokenize
+        self.older: dict[bytes, bytes] = {}
         self.tails: dict[bytes, bytes] = {}
+        self.marks = _byte_marks()
 
     def _encode(self, piece: bytes) -> bytes:
-        return np.array(self.whole.encode(piece.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: bytes) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= MOST_WORDS:
-                self.words.clear()
-            found = self.whole.model.tokenize(word.decode())
-            ids = self.words[word] = np.array([t.id for t in found], "<u4").tobytes()
+        return array("I", self.whole.encode(piece.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _word(self, piece: bytes) -> bytes | None:
+        """Ids of a piece of letters up to U+024F, in lower case as the vocabulary
+        has it; None for any other. Composing changes none of these letters."""
+        word = piece.decode()
+        if not piece.isalpha():  # not ASCII
+            if not word.isalpha() or max(word) > "\u024f" or "\u0130" in word:
+                return None
+            word = word.lower().encode().decode("latin-1").translate(self.marks)
+        return array("I", [t.id for t in self.model(word)]).tobytes()
+
+    def _keep(self, piece: bytes, ids: bytes) -> bytes:
+        if len(self) >= MOST_WORDS:
+            self.older = dict(self)
+            self.clear()
+        if len(piece) <= 40:
+            self[piece] = ids
         return ids
 
-    def __missing__(self, piece: bytes) -> bytes:
-        core = piece.rstrip(self.MARKS)
-        if core.isalpha():  # ASCII letters only, lower case by now
-            ids, tail = self._word(core), piece[len(core):]
-            if tail:
-                ids += self.tails.get(tail) or self.tails.setdefault(tail, self._encode(tail))
-        else:
-            ids = self._encode(piece)
-        if len(piece) <= 40:
-            if len(self) >= MOST_WORDS:
-                self.clear()
+    def _tail(self, tail: bytes) -> bytes:
+        ids = self.tails.get(tail)
+        if ids is None:
             if len(self.tails) >= MOST_WORDS:
                 self.tails.clear()
-            self[piece] = ids
+            ids = self.tails[tail] = self._encode(tail)
         return ids
 
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            core = piece.rstrip(self.MARKS)
+            if len(core) == len(piece):
+                ids = self._word(piece)
+            elif core:
+                word = self.get(core) or self.older.get(core)
+                if word is None and (word := self._word(core)):
+                    self._keep(core, word)
+                ids = word and word + self._tail(piece[len(core):])
+            if ids is None:
+                ids = self._encode(piece)
+        return self._keep(piece, ids)
+
     def of(self, text: bytes | None) -> bytes:
         """Little-endian 32-bit ids of a text, with the closing id."""
         return b"".join(map(self.__getitem__, text.lower().split() if text else ())) + CLOSING.to_bytes(4, "little")
