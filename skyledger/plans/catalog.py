@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from skyledger.functions.codes import encode_stops
 from skyledger.functions.dates import hours_between, lenient_double, lenient_timestamp
 from skyledger.operators import features as FE
+from skyledger.operators import linear as L
 from skyledger.operators import marts as M
 from skyledger.operators import profile as P
 from skyledger.operators import quality as Q
@@ -145,20 +146,16 @@ QUERIES: dict[str, Query] = {
     "residual_summary": lambda s, sf: FE.residual_summary(FE.baseline_predictions(_feat(s, sf))),
     "dim_lookup": lambda s, sf: FE.dim_lookup(_v(s, sf)),
     "season_multiplier": lambda s, sf: FE.season_multiplier(FE.engineer(_v(s, sf))),
-    # Spark ML (rows-only checks; full presets, whole train split)
-    "prepare": lambda s, sf: _feat(s, sf),
-    "train_linear": lambda s, sf: FM.board(s, sf, ["Linear Regression", "Ridge Regression", "Lasso Regression"]),
-    "train_tree": lambda s, sf: FM.board(s, sf, ["Decision Tree"]),
-    "train_forest": lambda s, sf: FM.board(s, sf, ["Random Forest"]),
-    "train_gbt": lambda s, sf: FM.board(s, sf, ["Gradient Boosting", "XGBoost", "LightGBM"]),
-    "cross_validate": lambda s, sf: FM.fold_scores(s, sf),
-    "tune_gbt": lambda s, sf: FM.tuned(s, sf)[2],
-    "leaderboard": lambda s, sf: FM.leaderboard(s, sf),
-    "best_model": lambda s, sf: FM.ML.best_model(FM.leaderboard(s, sf)),
+    # models (full presets, whole train split)
+    "prepare": lambda s, sf: _feat(s, sf).drop("pipeline_run_id").withColumn("label", F.round("label", 8)),
+    "train_linear": lambda s, sf: FM.linear_board(s, sf),
+    "linear_cv": lambda s, sf: L.fold_scores(s, FM.linear(s, sf)),
+    "coef_table": lambda s, sf: L.coef_table(s, FM.linear(s, sf)),
+    "penalty_curve": lambda s, sf: FM.penalty_curve(s, sf),
+    "train_tree": lambda s, sf: FM.tree_board(s, sf),
+    "cross_validate": lambda s, sf: L.fold_scores(s, FM.linear(s, sf)).unionByName(FM.tree_folds(s, sf)),
+    "validation_curve": lambda s, sf: FM.depth_curve(s, sf).unionByName(FM.penalty_curve(s, sf)),
     "feature_importance": lambda s, sf: FM.feature_importance(s, sf),
-    "mean_importance": lambda s, sf: FM.mean_importance(s, sf),
-    "coef_table": lambda s, sf: FM.coef_table(s, sf),
-    "validation_curve": lambda s, sf: FM.validation_curve(s, sf),
-    "batch_score": lambda s, sf: FM.batch_score(s, sf)[0],
-    "batch_rejects": lambda s, sf: FM.batch_score(s, sf)[1],
+    "batch_score": lambda s, sf: FM.batch_score(s, sf),
+    "batch_rejects": lambda s, sf: FM.batch_rejects(s, sf),
 }

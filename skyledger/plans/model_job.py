@@ -1,7 +1,7 @@
 """Fare-model run: features -> profile -> train all -> tune -> leaderboard -> save.
 
     spark-submit --py-files skyledger.zip skyledger/plans/model_job.py \
-        --validated <validated table> --out <shared folder> [--run-id ID] [--quick]
+        --validated <validated table> --out <shared folder> [--run-id ID]
 
 Every step is a Spark job; the leaderboard (one row per model) is written as
 a single CSV, the profile tables as parquet, the best model with Spark ML
@@ -23,8 +23,9 @@ from skyledger.sources.csv import write_csv
 from skyledger.sources.tables import scan_run
 
 
-def run_fare_model(spark: SparkSession, validated: DataFrame, out: str, quick: bool = False,
-                   with_profile: bool = True) -> dict:
+def run_fare_model(spark: SparkSession, validated: DataFrame, out: str, specs: list[ML.ModelSpec] | None = None,
+                   grid: list[dict] | None = None, with_profile: bool = True) -> dict:
+    """``specs`` and ``grid`` replace the registry's presets and the search draws."""
     out = out.rstrip("/")
     feats_path = f"{out}/features"
     log_target(split_assign(engineer(validated))).write.mode("overwrite").parquet(feats_path)
@@ -32,9 +33,8 @@ def run_fare_model(spark: SparkSession, validated: DataFrame, out: str, quick: b
     if with_profile:
         for name, df in P.profile(validated).items():
             df.write.mode("overwrite").parquet(f"{out}/eda/{name}")
-    res = ML.train_all(spark, feats, quick=quick, vectors_path=f"{out}/model_vectors")
-    tune_args = {"draws": 3, "iter_scale": 0.05} if quick else {}
-    tuned_row, tuned_model, search = ML.tune_gbt(spark, res.vectors, prep=res.prep, **tune_args)
+    res = ML.train_all(spark, feats, specs, vectors_path=f"{out}/model_vectors")
+    tuned_row, tuned_model, search = ML.tune_gbt(spark, res.vectors, grid, prep=res.prep)
     board = ML.combined_leaderboard(res.leaderboard, tuned_row)
     write_csv(board, f"{out}/model_comparison", single_file=True)  # <= 9 rows
     search.write.mode("overwrite").parquet(f"{out}/tuning_search")
@@ -50,12 +50,11 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--validated", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--run-id", default=None)
-    ap.add_argument("--quick", action="store_true")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     spark = build_session(args.master, app="skyledger-fare-model")
     v = scan_run(spark, args.validated, args.run_id).where(F.col("validation_status") != "flagged")
-    out = run_fare_model(spark, v, args.out, quick=args.quick)
+    out = run_fare_model(spark, v, args.out)
     print(json.dumps(out))
     return out
 

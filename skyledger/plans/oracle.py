@@ -496,3 +496,94 @@ SQL["season_multiplier"] = BASE + FEAT + """
 , m AS (SELECT raw_id, seasonality, CASE seasonality WHEN 'Regular' THEN 1.0 WHEN 'Winter Holidays' THEN 1.17
           WHEN 'Eid' THEN 1.34 WHEN 'Hajj' THEN 1.43 END::DOUBLE AS multiplier FROM feat)
 SELECT raw_id, seasonality, multiplier, round((multiplier - 1) * 100, 0) AS premium_pct FROM m"""
+
+# --- linear models --------------------------------------------------------------
+_CATS = ["airline", "source", "destination", "class", "booking_source", "seasonality"]
+_NAMES = [*_CATS, *_NUMF]
+_N = len(_NAMES)
+
+
+def _linear(models: str) -> str:
+    """Solutions (model, penalty, k: the fold left out or -1, mz, my, b) on
+    standardised features: Gauss-Jordan for least squares and ridge, cyclic
+    coordinate descent for lasso. ``models``: rows (model, l1, l2)."""
+    values = ", ".join([*[f"CAST(dense_rank() OVER (ORDER BY coalesce(CAST({c} AS VARCHAR), 'nan')) - 1 AS DOUBLE)" for c in _CATS],
+                        *[f"CAST({c} AS DOUBLE)" for c in _NUMF]])
+    return BASE.replace("WITH bookings", "WITH RECURSIVE bookings", 1) + FEAT + f"""
+, raw_x AS (SELECT raw_id, split, coalesce(fold, -1) AS fold, label AS y, [{values}] AS x FROM fs),
+long_x AS (SELECT raw_id, split, fold, y, i, x[i] AS v FROM raw_x, (SELECT unnest(range(1, {_N + 1})) AS i)),
+centre AS (SELECT i, avg(v) AS mean FROM long_x WHERE split = 'train' GROUP BY i),
+scales AS (SELECT i, mean, stddev_pop(coalesce(v, mean)) AS std FROM long_x JOIN centre USING (i) WHERE split = 'train' GROUP BY i, mean),
+z AS (SELECT raw_id, split, fold, any_value(y) AS y,
+             list(CASE WHEN std > 1e-6 THEN (coalesce(v, mean) - mean) / std ELSE 0.0 END ORDER BY i) AS z
+      FROM long_x JOIN scales USING (i) GROUP BY raw_id, split, fold),
+pairs AS (SELECT unnest(range(1, {_N + 1})) AS i), 
+sums AS (SELECT fold, a.i, b.i AS j, sum(z[a.i] * z[b.i]) AS s FROM z, pairs a, pairs b WHERE split = 'train' GROUP BY ALL),
+ones AS (SELECT fold, i, sum(z[i]) AS sz, sum(z[i] * y) AS szy FROM z, pairs WHERE split = 'train' GROUP BY ALL),
+ys AS (SELECT fold, count(*) AS n, sum(y) AS sy FROM z WHERE split = 'train' GROUP BY fold),
+lefts AS (SELECT unnest(range(-1, 5)) AS k),
+n_of AS (SELECT k, sum(n) AS n, sum(sy) / sum(n) AS my FROM lefts, ys WHERE fold <> k GROUP BY k),
+z_of AS (SELECT k, i, sum(sz) AS sz, sum(szy) AS szy FROM lefts, ones WHERE fold <> k GROUP BY k, i),
+cov AS (
+  SELECT k, s.i, s.j, any_value(n) AS n, sum(s) - any_value(a.sz * b.sz / n) AS c
+  FROM lefts JOIN n_of USING (k) JOIN sums s ON s.fold <> k JOIN z_of a USING (k, i) JOIN z_of b ON b.k = lefts.k AND b.i = s.j
+  GROUP BY k, s.i, s.j),
+rhs AS (SELECT k, i, szy - sz * my AS r, sz / n AS mz FROM z_of JOIN n_of USING (k)),
+models(model, l1, l2) AS (VALUES {models}),
+lines AS (
+  SELECT model, l1, l2, k, i, any_value(r) AS r,
+         list(c + CASE WHEN cov.i = j THEN l2 + CASE WHEN std > 1e-6 THEN 0 ELSE 1 END ELSE 0 END ORDER BY j) AS c
+  FROM models, cov JOIN rhs USING (k, i) JOIN scales USING (i) GROUP BY model, l1, l2, k, i),
+start AS (SELECT model, l1, l2, k, list(list_append(c, r) ORDER BY i) AS m FROM lines GROUP BY model, l1, l2, k),
+gauss AS (
+  SELECT model, l1, l2, k, 1 AS p, m FROM start WHERE l1 = 0
+  UNION ALL
+  SELECT model, l1, l2, k, p + 1,
+         list_transform(m, lambda r, i: CASE WHEN i = p THEN lead_row ELSE list_transform(r, lambda v, j: v - r[p] * lead_row[j]) END)
+  FROM (SELECT *, list_transform(m[p], lambda v: v / m[p][p]) AS lead_row FROM gauss WHERE p <= {_N})),
+descent AS (
+  SELECT model, l1, l2, k, 0 AS t, list_transform(m, lambda r: list_transform(r, lambda v: v / n)) AS m, list_transform(m, lambda r: 0.0::DOUBLE) AS b
+  FROM start JOIN n_of USING (k) WHERE l1 > 0
+  UNION ALL
+  SELECT model, l1, l2, k, t + 1, m,
+         list_transform(b, lambda v, j: CASE WHEN j <> i OR m[i][i] < 1e-12 THEN v ELSE sign(rest) * greatest(abs(rest) - l1, 0) / m[i][i] END)
+  FROM (SELECT *, t % {_N} + 1 AS i, m[t % {_N} + 1][{_N + 1}] - list_inner_product(m[t % {_N} + 1][1:{_N}], b)
+                                      + m[t % {_N} + 1][t % {_N} + 1] * b[t % {_N} + 1] AS rest FROM descent WHERE t < {100 * _N})),
+solved AS (
+  SELECT model, l1, l2, k, list_transform(m, lambda r: r[{_N + 1}]) AS b FROM gauss WHERE p = {_N + 1}
+  UNION ALL SELECT model, l1, l2, k, b FROM descent WHERE t = {100 * _N}),
+fitted AS (
+  SELECT s.*, my, mz FROM solved s JOIN n_of USING (k) JOIN (SELECT k, list(mz ORDER BY i) AS mz FROM rhs GROUP BY k) USING (k)),
+scored AS (
+  SELECT model, l1, l2, k, fold, split, y, my + list_inner_product(b, z) - list_inner_product(b, mz) AS p FROM fitted, z
+  WHERE (k = -1 AND split = 'test') OR (k >= 0 AND split = 'train')),
+held AS (
+  SELECT model, l1, l2, k, 1 - sum((y - p) * (y - p)) FILTER (fold = k) / NULLIF(var_pop(y) FILTER (fold = k) * count(y) FILTER (fold = k), 0) AS val,
+         1 - sum((y - p) * (y - p)) FILTER (fold <> k) / NULLIF(var_pop(y) FILTER (fold <> k) * count(y) FILTER (fold <> k), 0) AS train
+  FROM scored WHERE k >= 0 GROUP BY model, l1, l2, k)
+"""
+
+
+_PRESETS = "('Linear Regression', 0.0, 0.0), ('Ridge Regression', 0.0, 1.0), ('Lasso Regression', 0.001, 0.0)"
+SQL["train_linear"] = _linear(_PRESETS) + """
+SELECT model, round(1 - sum((y - p) * (y - p)) / NULLIF(var_pop(y) * count(y), 0), 4) AS r2,
+       round(avg(abs(exp(y) - exp(p))), 2) AS mae, round(sqrt(avg((exp(y) - exp(p)) * (exp(y) - exp(p)))), 2) AS rmse,
+       any_value(cv_r2) AS cv_r2, any_value(cv_std) AS cv_std
+FROM scored JOIN (SELECT model, round(avg(val), 4) AS cv_r2, round(stddev_pop(val), 4) AS cv_std FROM held GROUP BY model) USING (model)
+WHERE k = -1 GROUP BY model"""
+SQL["linear_cv"] = _linear(_PRESETS) + "SELECT model, CAST(k AS INTEGER) AS fold, round(val, 6) AS r2 FROM held"
+SQL["coef_table"] = _linear(_PRESETS) + f"""
+, w AS (SELECT model, unnest({_NAMES!r}) AS feature, unnest(b) AS w FROM solved WHERE k = -1)
+SELECT feature, round(max(w) FILTER (model = 'Linear Regression'), 8) + 0.0 AS linear, round(max(w) FILTER (model = 'Ridge Regression'), 8) + 0.0 AS ridge,
+       round(max(w) FILTER (model = 'Lasso Regression'), 8) + 0.0 AS lasso, max(w) FILTER (model = 'Lasso Regression') = 0 AS lasso_zeroed
+FROM w GROUP BY feature"""
+_ALPHAS = [0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0]
+SQL["penalty_curve"] = _linear(", ".join([f"('Ridge Regression', 0.0, {a})" for a in _ALPHAS] + [f"('Lasso Regression', {a}, 0.0)" for a in _ALPHAS])) + """
+SELECT model, 'alpha' AS param, l1 + l2 AS value, round(avg(train), 4) + 0.0 AS train_r2, round(avg(val), 4) + 0.0 AS val_r2, round(stddev_pop(val), 4) AS val_std
+FROM held GROUP BY model, l1, l2"""
+SQL["prepare"] = BASE + FEAT + "SELECT * REPLACE (round(label, 8) AS label) FROM fs"
+_MISSING = [*[f"CASE WHEN {c} IS NULL THEN 'missing field: {c}' END" for c in _NAMES],
+            *[f"CASE WHEN {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM fs WHERE split = 'train' AND {c} IS NOT NULL) THEN 'unknown {c}' END" for c in _CATS]]
+SQL["batch_rejects"] = BASE + FEAT + f"""
+, r AS (SELECT raw_id, concat_ws('; ', {", ".join(_MISSING)}) AS reject_reason FROM fs)
+SELECT raw_id, reject_reason FROM r WHERE reject_reason <> ''"""
