@@ -579,7 +579,7 @@ SELECT feature, round(max(w) FILTER (model = 'Linear Regression'), 8) + 0.0 AS l
 FROM w GROUP BY feature"""
 _ALPHAS = [0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0]
 SQL["penalty_curve"] = _linear(", ".join([f"('Ridge Regression', 0.0, {a})" for a in _ALPHAS] + [f"('Lasso Regression', {a}, 0.0)" for a in _ALPHAS])) + """
-SELECT model, 'alpha' AS param, l1 + l2 AS value, round(avg(train), 4) + 0.0 AS train_r2, round(avg(val), 4) + 0.0 AS val_r2, round(stddev_pop(val), 4) AS val_std
+SELECT model, 'alpha' AS param, CAST(l1 + l2 AS DOUBLE) AS value, round(avg(train), 4) + 0.0 AS train_r2, round(avg(val), 4) + 0.0 AS val_r2, round(stddev_pop(val), 4) AS val_std
 FROM held GROUP BY model, l1, l2"""
 SQL["prepare"] = BASE + FEAT + "SELECT * REPLACE (round(label, 8) AS label) FROM fs"
 _MISSING = [*[f"CASE WHEN {c} IS NULL THEN 'missing field: {c}' END" for c in _NAMES],
