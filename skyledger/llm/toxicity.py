@@ -14,7 +14,8 @@ scoring covers every whole text.
 Defined results: null and empty texts get the score of no terms. Labels that
 are null, or of ids that documents lack, teach nothing; without rows of both
 classes the score is the smoothed class share for every text. Repeated rows
-are scored alike; empty tables give no rows; extra columns are ignored.
+are scored alike, and of rows that share an id one teaches; very long texts are
+scored whole; empty tables give no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, lists
+from .common import chunks, lists, stored
 
 #: Bounds of what is fitted on the driver.
 SAMPLE_PER_CLASS, MAX_TERMS, SLOTS = 4000, 1 << 16, 1 << 14
@@ -67,7 +68,9 @@ def _sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     picked = [known.filter(F.col("toxic") == c)
               .orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(SAMPLE_PER_CLASS) for c in (0, 1)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * SAMPLE_PER_CLASS rows
-    rows = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("labelled_id")).select("toxic", "text")
+    rows = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("labelled_id"))
+    # of rows that share an id, the one of the least hash teaches
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("toxic", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
@@ -76,82 +79,105 @@ def _sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), lists(np.concatenate(found), [len(x) for x in found], pa.int64())], ["toxic", "terms"])
 
-    return rows.mapInArrow(run, "toxic int, terms array<long>").limit(2 * SAMPLE_PER_CLASS)
+    return rows.mapInArrow(run, "toxic int, terms array<long>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> dict:
     """The fitted machine: terms (sorted hashes), w, v and b; w and v have
     SLOTS more rows, for all other terms by their hash. ``learn`` is a
-    condition on ``labelled_id``."""
-    got = _sample(docs, labels, learn).toArrow()
-    y = np.asarray(got.column("toxic").combine_chunks(), np.float64) if got.num_rows else np.empty(0)
+    condition on ``labelled_id``. Terms are counted and numbered in Spark; the
+    driver gets the vocabulary and each sampled row's numbers."""
+    sample = stored(_sample(docs, labels, learn), "toxicity-sample")
     sizes = _class_sizes(docs, labels, learn)
     model = {"terms": np.empty(0, np.int64), "w": np.empty(0), "v": np.empty((0, FACTORS)),
              "b": float(np.log((sizes[1] + 0.5) / (sizes[0] + 1)))}
-    if not 0 < y.sum() < len(y):
+    of_class = {r.toxic: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n0, n1 = of_class.get(0, 0), of_class.get(1, 0)
+    if not n0 or not n1:
         return model
+    counts = sample.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
+        F.count("*").alias("df"), F.sum("toxic").alias("in1")).filter("df >= 5") \
+        .orderBy(F.desc("df"), "term").limit(MAX_TERMS).toArrow().sort_by("term")
+    terms, df, in1 = (np.asarray(counts.column(c).combine_chunks()) for c in ("term", "df", "in1"))
+    share = n1 / (n0 + n1)
+    excess = (in1 - df * share) ** 2 / (df * share * (1 - share) + 1e-9)  # chi-squared, one degree
+    tells = np.concatenate([excess > 20, np.zeros(SLOTS, bool)])
+    got = _numbered(sample, terms).toArrow()
+    y = np.asarray(got.column("toxic").combine_chunks(), np.float32)
     sets = got.column("terms").combine_chunks()
-    return model | _learn(np.asarray(sets.flatten()), np.asarray(pa.compute.list_value_length(sets)), y, sizes)
-
-
-def _learn(flat: np.ndarray, lengths: np.ndarray, y: np.ndarray, sizes: np.ndarray) -> dict:
-    """terms, w, v and b from the rows' terms, one after the other. All terms
-    take part: no term is left out for what it tells alone. A row weighs its
-    class's share of all labelled rows (``sizes``) over that of the sample."""
-    row, n1 = np.repeat(np.arange(len(y)), lengths), y.sum()
-    weight = np.where(y == 1, sizes[1] / n1, sizes[0] / (len(y) - n1)) * len(y) / sizes.sum()
-    terms, col = np.unique(flat, return_inverse=True)
-    in1 = np.bincount(col, y[row], len(terms))
-    df = np.bincount(col, minlength=len(terms))
-    expected = df * n1 / len(y)
-    excess = (in1 - expected) ** 2 / (expected * (1 - n1 / len(y)) + 1e-9)  # chi-squared, one degree
-    keep = np.flatnonzero(df >= 5)
-    keep = np.sort(keep[np.argsort(-df[keep], kind="stable")[:MAX_TERMS]])
-    place = len(keep) + terms % SLOTS
-    place[keep] = np.arange(len(keep))
-    tells = np.zeros(len(keep) + SLOTS, bool)
-    tells[:len(keep)] = excess[keep] > 20
-    met = np.unique(row * len(tells) + place[col])  # a row's terms of one slot count once
-    return _descend(met // len(tells), met % len(tells), y, len(tells), tells, weight) | {"terms": terms[keep]}
-
-
-def _sums(values: list[np.ndarray], index: np.ndarray, key: np.ndarray, n: int) -> np.ndarray:
-    """For each column of ``values``, the sums of ``column[index]`` for each of ``n`` keys (sorted)."""
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    out = np.zeros((n, len(values)))
-    for i, x in enumerate(values):
-        out[key[first], i] = np.add.reduceat(np.ascontiguousarray(x).take(index), first)
-    return out
+    weight = np.where(y == 1, sizes[1] / n1, sizes[0] / n0) * len(y) / sizes.sum()
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.asarray(pa.compute.list_value_length(sets)))
+    return _descend(row, np.asarray(sets.flatten()), y, len(tells), tells, weight.astype(np.float32)) | {"terms": terms}
+
+
+def _numbered(sample: DataFrame, terms: np.ndarray) -> DataFrame:
+    """toxic, terms: the columns of each row's terms; a row's terms of one slot count once."""
+    shared = sample.sparkSession.sparkContext.broadcast(terms)  # at most MAX_TERMS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for b in batches:
+            found = []
+            for x in b.column(1):
+                x = np.asarray(x.values) if len(x) else np.empty(0, np.int64)
+                at = np.searchsorted(known, x)
+                own = np.zeros(len(x), bool)
+                own[at < len(known)] = known[at[at < len(known)]] == x[at < len(known)]
+                found.append(np.unique(np.where(own, at, len(known) + x % SLOTS)))
+            if found:
+                yield pa.RecordBatch.from_arrays([b.column(0), lists(np.concatenate(found), [len(x) for x in found], pa.int32())],
+                                                 ["toxic", "terms"])
+
+    return sample.mapInArrow(run, "toxic int, terms array<int>")
+
+
+class _Sums:
+    """Sums of ``values[index]`` for each key; ``key`` is sorted."""
+
+    def __init__(self, index: np.ndarray, key: np.ndarray, n: int):
+        self.index, self.n = index, n
+        self.first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        self.key = key[self.first]
+
+    def of(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n, np.float32)
+        out[self.key] = np.add.reduceat(values.take(self.index), self.first)
+        return out
 
 
 def _descend(row: np.ndarray, col: np.ndarray, y: np.ndarray, n_terms: int, tells: np.ndarray | None = None,
              weight: np.ndarray | float = 1.0) -> dict:
-    """Full-batch Adam on the logistic loss with a ridge on w and v. Terms
-    that tell nothing alone (by ``tells``) go in smaller steps and under a
-    stronger ridge, so that there must be many rows behind what they add."""
+    """Full-batch Adam on the logistic loss with a ridge on w and v, in single
+    precision. Terms that tell nothing alone (by ``tells``) go in smaller steps
+    and under a stronger ridge, so that there must be many rows behind what
+    they add."""
     rng = np.random.default_rng(7)
     n, k = len(y), FACTORS
+    if not len(row):
+        return {"b": float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5))), "w": np.zeros(n_terms), "v": np.zeros((n_terms, k))}
     tells = np.ones(n_terms, bool) if tells is None else tells
-    step = np.where(tells, 0.05, WEAK_STEP)
-    ridge_w, ridge_v = np.where(tells, 1e-5, WEAK_RIDGE), np.where(tells, 1e-4, WEAK_RIDGE)
-    by_col = np.argsort(col, kind="stable")
-    row_of, col_of = row[by_col], col[by_col]
-    p = [np.zeros(1), np.zeros(n_terms), rng.normal(0, 0.01, (n_terms, k))]
+    step = np.where(tells, 0.05, WEAK_STEP).astype(np.float32)
+    ridge_w, ridge_v = (np.where(tells, x, WEAK_RIDGE).astype(np.float32) for x in (1e-5, 1e-4))
+    row, col = np.asarray(row, np.int32), np.asarray(col, np.int32)
+    by_row = _Sums(col, row, n)
+    order = np.argsort(col, kind="stable")
+    by_col = _Sums(row[order], col[order], n_terms)
+    del order
+    p = [np.zeros(1, np.float32), np.zeros(n_terms, np.float32), np.ascontiguousarray(rng.normal(0, 0.01, (n_terms, k)).T.astype(np.float32))]
     m1, m2 = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
     for t in range(1, STEPS + 1):
         b, w, v = p
-        got = _sums([w, *v.T, (v * v).sum(1)], col, row, n)
-        s = got[:, 1:-1]
-        margin = b[0] + got[:, 0] + 0.5 * ((s * s).sum(1) - got[:, -1])
-        g = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / n
-        got = _sums([g, *(g[:, None] * s).T], row_of, col_of, n_terms)
-        mass, gv = got[:, 0], got[:, 1:]
-        grads = [np.array([g.sum()]), mass + ridge_w * w, gv - mass[:, None] * v + ridge_v[:, None] * v]
-        for x, gr, a, q, lr in zip(p, grads, m1, m2, (0.05, step, step[:, None])):
+        s = [by_row.of(x) for x in v]
+        margin = b[0] + by_row.of(w) + 0.5 * (sum(x * x for x in s) - by_row.of((v * v).sum(0)))
+        g = (weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / n).astype(np.float32)
+        mass = by_col.of(g)
+        gv = np.stack([by_col.of(g * s[f]) - mass * v[f] for f in range(k)])
+        grads = [np.array([g.sum()]), mass + ridge_w * w, gv + ridge_v * v]
+        for x, gr, a, q, lr in zip(p, grads, m1, m2, (0.05, step, step)):
             a += 0.1 * (gr - a)
             q += 0.001 * (gr * gr - q)
             x -= lr * (a / (1 - 0.9 ** t)) / (np.sqrt(q / (1 - 0.999 ** t)) + 1e-8)
-    return {"b": float(p[0][0]), "w": p[1], "v": p[2]}
+    return {"b": float(p[0][0]), "w": p[1].astype(np.float64), "v": p[2].T.astype(np.float64)}
 
 
 class _Terms(dict):
