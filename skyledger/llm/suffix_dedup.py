@@ -379,7 +379,8 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def report(cut: DataFrame) -> DataFrame:
-    """Counts and digests of ``cut_repeats``'s rows."""
+    """Counts and digests of ``cut_repeats``'s rows, and the kept bytes as text
+    (a character that was cut through is U+FFFD there, not in the digest)."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x.end - x.begin)
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                      F.sha2("kept", 256).alias("kept_sha256"))
+                      F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
