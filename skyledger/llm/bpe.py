@@ -4,20 +4,29 @@ decoding by an incremental UTF-8 machine.
 The merges are compiled into a nondeterministic transducer whose states are
 (last token, trie node of the token under way). Reading a byte moves along the
 trie; where a token may end, and the merges would keep it apart from the last
-one, a new token begins. The subset construction runs on demand: a
-deterministic state is a set of such states with the tokens each still owes,
-and a transition emits the tokens that all of them agree on, so output lags by
-at most the longest token. Every piece of the split pattern is a run of its
-own; a piece that is a token itself is that token, as in the tiktoken library.
+one, a new token begins. Every prefix has exactly one encoding, so among the
+states after a byte exactly one begins a new token: the token that ends there
+is the transition's output, and the ones before it follow from its length. The
+subset construction runs on demand; a deterministic state is just the set of
+such pairs, without the tokens read so far, so equal futures share a state
+whatever came before. Tokens are settled once all pairs that are still open
+agree on them, which bounds the output's lag on long pieces. States, checked
+pairs of tokens and kept pieces are bounded (STATES, PAIRS, PIECES): once the
+table is full, further states are computed and not kept, also within a piece,
+and it is built anew after many of those, so a worker's memory is the same for
+any text. Every piece of the split pattern is a run of its own; a piece that is
+a token itself is that token, as in the tiktoken library.
 
 Defined results: null text encodes as the empty text (no ids). Texts that
 look like special tokens are ordinary text. Any row is handled by itself, so
-repeated rows repeat and an empty table gives no rows.
+repeated rows repeat and an empty table gives no rows; a very long text is
+encoded whole, and extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +36,12 @@ from pyspark.sql import functions as F
 
 from .common import chunks, lists
 
-MAX_STATES, MAX_PIECES, MAX_PAIRS = 250_000, 500_000, 500_000
+#: Bounds of a worker's tables: deterministic states, checked pairs of tokens,
+#: pieces in each of two generations, and bytes of a piece between settlements.
+STATES, PAIRS, PIECES, LAG = 100_000, 200_000, 250_000, 1024
+HEAD = 6  # bytes of a piece that are looked up at once
+NODE = TOKEN = 20  # bits
+NODES = TOKENS = (1 << NODE) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -41,28 +55,35 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
-        self.trie: dict[tuple[int, int], int] = {}
-        self.ends: list[int] = [-1]
+        self.trie: dict[int, int] = {}  # node and byte: child
+        self.ends, self.depth = [-1], [0]
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
             node = 0
             for byte in token:
-                child = self.trie.get((node, byte))
+                child = self.trie.get(node << 8 | byte)
                 if child is None:
-                    child = self.trie[node, byte] = len(self.ends)
+                    child = self.trie[node << 8 | byte] = len(self.ends)
                     self.ends.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                 node = child
             self.ends[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.inner = bytearray(len(self.ends))  # nodes with children: a pair at any other is over
+        for key in self.trie:
+            self.inner[key >> 8] = 1
+        if len(self.ends) >= 1 << NODE or len(self.bytes_of) >= 1 << TOKEN:
+            raise ValueError("the vocabulary is too large")
+        self.size = [len(x) for x in self.bytes_of]
+        self.pairs: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self._restart()
 
     def _restart(self) -> None:
-        start = (((), -1, 0),)
-        self.states: list[tuple] = [start]
-        self.number = {start: 0}
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.arcs: dict[int, tuple[int, int]] = {}
+        self.states: list[tuple[int, ...]] = [(0,)]  # pairs: (last token + 1) << NODE | node
+        self.number = {self.states[0]: 0}
+        self.moves: dict[int, int] = {}  # state and byte: next state << TOKEN | the token that ends there
+        self.heads: dict[bytes, tuple[int, list[int]]] = {}  # first HEAD bytes of a run: the state and tokens they lead to
+        self.unkept = 0
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge made ``token``; None for a byte, and for a
@@ -83,86 +104,126 @@ class Transducer:
         """Whether the merges leave ``left`` and ``right`` as they are, side by
         side. Undoes both tokens' merges from the latest back; the two tokens
         then at the border must never have been the next merge."""
-        known = self.pairs.get((left, right))
+        key = left + 1 << NODE | right
+        known = self.pairs.get(key)
         if known is not None:
             return known
-        if len(self.pairs) > MAX_PAIRS:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
+        halves, bytes_of, ranks = self.halves, self.bytes_of, self.ranks
         a, b, apart = left, right, True
-        if any(len(self.bytes_of[t]) > 1 and not self._halves(t) for t in (a, b) if t >= 0):
-            apart = False  # a token that the merges never make
+        for t in (a, b):  # a token that the merges never make
+            if t >= 0 and self.size[t] > 1 and not self._halves(t):
+                apart = False
         next_merge = 1 << 60  # merges below it come before the one undone last
         while apart and a >= 0:
-            if self.ranks.get(self.bytes_of[a] + self.bytes_of[b], 1 << 60) < next_merge:
+            if ranks.get(bytes_of[a] + bytes_of[b], 1 << 60) < next_merge:
                 apart = False
-            undo_a, undo_b = self._halves(a), self._halves(b)
+                break
+            undo_a = halves[a] if a in halves else self._halves(a)
+            undo_b = halves[b] if b in halves else self._halves(b)
             if undo_a and (not undo_b or a > b):
                 next_merge, a = a, undo_a[1]
             elif undo_b:
                 next_merge, b = b + 1, undo_b[0]  # at equal rank the border, further left, goes first
             else:
                 break
-        self.pairs[left, right] = apart
+        self.pairs[key] = apart
         return apart
 
-    def _arc(self, last: int, node: int, byte: int) -> tuple[int, int]:
-        """(next node, token that may end there or -1); next node -1: none."""
-        child = self.trie.get((node, byte), -1)
-        token = self.ends[child] if child >= 0 else -1
-        if token >= 0 and not self._kept_apart(last, token):
-            token = -1
-        return child, token
-
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        after = []
-        arcs = self.arcs
-        for owed, last, node in self.states[state]:
-            key = ((last + 1) * len(self.ends) + node) * 256 + byte
-            arc = arcs.get(key)
-            if arc is None:
-                arc = arcs[key] = self._arc(last, node, byte)
-            child, token = arc
-            if child >= 0:
-                after.append((owed, last, child))
+    def _next(self, pairs: tuple[int, ...], byte: int) -> tuple[tuple[int, ...], int]:
+        """The pairs after ``byte``, and the token that ends with it."""
+        after, ended = [], -1
+        trie, ends, inner, checked = self.trie, self.ends, self.inner, self.pairs
+        for pair in pairs:
+            child = trie.get((pair & NODES) << 8 | byte)
+            if child is None:
+                continue
+            if inner[child]:
+                after.append(pair & ~NODES | child)
+            if ended < 0:
+                token = ends[child]
                 if token >= 0:
-                    after.append((owed + (token,), token, 0))
-        if not after:
-            raise ValueError(f"the vocabulary has no token for byte {byte}")
-        first, same = after[0][0], 0
-        if len(after) == 1:
-            same = len(first)
-        else:
-            for i, token in enumerate(first):
-                if any(len(o) <= i or o[i] != token for o, _, _ in after):
-                    break
-                same = i + 1
-        target = tuple((o[same:], last, node) for o, last, node in after) if same else tuple(after)
-        number = self.number.get(target)
-        if number is None:
-            number = self.number[target] = len(self.states)
-            self.states.append(target)
-        return number, first[:same]
+                    apart = checked.get(pair & ~NODES | token)
+                    if apart or apart is None and self._kept_apart((pair >> NODE) - 1, token):
+                        ended = token
+        if ended < 0:
+            raise ValueError("the vocabulary lacks a byte, or its merges are incomplete")
+        after.append(ended + 1 << NODE)
+        return tuple(after), ended
+
+    def _settled(self, pairs: tuple[int, ...], ended: list[int]) -> int:
+        """Up to where the encodings of all pairs still open agree."""
+        open_at = {len(ended) - self.depth[pair & NODES] for pair in pairs}
+        while len(open_at) > 1:  # the one furthest on goes back a token
+            at = max(open_at)
+            open_at.remove(at)
+            open_at.add(at - self.size[ended[at - 1]])
+        return open_at.pop()
 
     def run(self, data: bytes) -> list[int]:
-        if not data:
-            return []
-        if len(self.states) > MAX_STATES or len(self.arcs) > 4 * MAX_STATES:
+        if self.unkept > 8 * STATES:
             self._restart()
         out: list[int] = []
-        state, moves = 0, self.moves
-        for byte in data:
-            key = state * 256 + byte
-            step = moves.get(key)
-            if step is None:
-                step = moves[key] = self._move(state, byte)
-            state = step[0]
-            if step[1]:
-                out.extend(step[1])
-        ended = [owed for owed, _, node in self.states[state] if node == 0]
-        if len(ended) != 1:
-            raise ValueError("the merges are ambiguous or incomplete for this text")
-        out.extend(ended[0])
-        return out
+        ended: list[int] = []  # the token that ends with each byte not yet given
+        state, pairs, begin = 0, self.states[0], 0
+        if len(data) > HEAD:
+            head = data[:HEAD]
+            known = self.heads.get(head)
+            if known is None:
+                state, pairs = self._read(head, state, pairs, ended)
+                if state >= 0 and len(self.heads) < STATES:
+                    self.heads[head] = state, ended[:]
+            else:
+                state, begun = known
+                pairs = self.states[state]
+                ended += begun
+            begin = HEAD
+        for at in range(begin, len(data), LAG):
+            state, pairs = self._read(data[at:at + LAG], state, pairs, ended)
+            if at + LAG < len(data):
+                upto = self._settled(pairs, ended)
+                out += self._path(ended, upto)
+                del ended[:upto]
+        return out + self._path(ended, len(ended)) if out else self._path(ended, len(ended))
+
+    def _read(self, data: bytes, state: int, pairs: tuple[int, ...], ended: list[int]) -> tuple[int, tuple[int, ...]]:
+        """State (-1: not among those kept) and pairs after ``data``; adds to ``ended``."""
+        states, number, moves = self.states, self.number, self.moves
+        get, add = moves.get, ended.append
+        rest = iter(data)
+        for byte in rest:
+            step = get(state << 8 | byte) if state >= 0 else None
+            if step is not None:
+                add(step & TOKENS)
+                state = step >> TOKEN
+                continue
+            pairs, token = self._next(states[state] if state >= 0 else pairs, byte)
+            add(token)
+            target = number.get(pairs, -1)
+            if target < 0:
+                if len(states) >= STATES:  # what follows is mostly not kept either
+                    self.unkept += 1
+                    for byte in rest:
+                        pairs, token = self._next(pairs, byte)
+                        add(token)
+                    return number.get(pairs, -1), pairs
+                target = number[pairs] = len(states)
+                states.append(pairs)
+            if state >= 0 and len(moves) < 4 * STATES:
+                moves[state << 8 | byte] = target << TOKEN | token
+            state = target
+        return state, states[state] if state >= 0 else pairs
+
+    def _path(self, ended: list[int], at: int) -> list[int]:
+        """Tokens of the encoding that ends at ``at``."""
+        path, size = [], self.size
+        while at > 0:
+            token = ended[at - 1]
+            path.append(token)
+            at -= size[token]
+        path.reverse()
+        return path
 
 
 def basic_plane(pattern: str) -> str:
@@ -214,6 +275,7 @@ class Encoder(dict):
 
         import regex
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.ranks, self.fst = ranks, Transducer(ranks)
         self.any_pieces = regex.compile(pattern).findall
         self.basic_pieces = re.compile(basic or basic_plane(pattern)).findall
@@ -222,11 +284,14 @@ class Encoder(dict):
         return self.basic_pieces(text) if text.isascii() or max(text) < "\U00010000" else self.any_pieces(text)
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        whole = self.ranks.get(data)
-        packed = np.array(self.fst.run(data) if whole is None else [whole], np.int32).tobytes()
-        if len(data) <= 64:
-            if len(self) >= MAX_PIECES:
+        packed = self.older.get(piece)
+        if packed is None:
+            data = piece.encode()
+            whole = self.ranks.get(data)
+            packed = array("i", self.fst.run(data) if whole is None else (whole,)).tobytes()
+        if len(piece) <= 32:
+            if len(self) >= PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed

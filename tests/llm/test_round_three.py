@@ -266,3 +266,20 @@ def test_a_conversation_of_which_nothing_is_left(spark):
     turn = next(i for i in range(1000) if zlib.crc32(f"7:{i}".encode()) % 20 == 0)
     table = spark.createDataFrame([(7, turn, "user", "Gone.")], "conv_id long, turn long, role string, text string")
     assert [tuple(r) for r in conversations.repair(table).collect()] == [(7, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+
+
+def test_encoder_tables_are_bounded(monkeypatch):
+    """Equal to the tiktoken library with tiny tables, on long pieces too."""
+    import tiktoken
+    from skyledger.llm import bpe
+    for name, n in (("STATES", 60), ("PAIRS", 40), ("PIECES", 10), ("LAG", 16)):
+        monkeypatch.setattr(bpe, name, n)
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    plain = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks=ranks)
+    ours = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("aeiourstlnd") for _ in range(3000)), "=-" * 900, "日本語" * 500, "ab" * 2000 + " " * 700 + "\n" * 300,
+             " ".join("".join(rng.choice("aeiourstlnd") for _ in range(rng.randrange(1, 14))) for _ in range(2000))]
+    for text in texts * 2:
+        assert ours.encode(text).tolist() == plain.encode_ordinary(text)
+        assert len(ours.fst.states) <= 60 and len(ours.fst.moves) <= 240 and len(ours.fst.pairs) <= 40 and len(ours) <= 10
