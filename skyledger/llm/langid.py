@@ -25,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, mix64
+from .common import chunks, mix64, stored
 
 #: Bounds of what is fitted on the driver.
-SAMPLE_PER_LANG, MAX_LANGS, BITS = 1000, 200, 18
+SAMPLE_PER_LANG, BITS = 1000, 18
+#: A sample of more ids is joined by shuffle and not broadcast.
+BROADCAST_IDS = 200_000
 SWITCH = 12.0  # cost, in nats, of a change of language
 TEXT_AT_ONCE = 16_000_000
 
@@ -113,7 +115,8 @@ def fit(docs: DataFrame, learn: Column) -> dict:
         first = Window.partitionBy(*keys).orderBy(by_hash, "doc_id")
         ids = ids.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE_PER_LANG)
     ids = ids.select(F.col("doc_id").alias("picked_id"), F.col("lang").alias("picked_lang")).distinct()
-    ids = ids.orderBy("picked_lang", "picked_id").limit(SAMPLE_PER_LANG * MAX_LANGS)
+    ids = stored(ids, "language-sample")  # at most SAMPLE_PER_LANG rows a language, every language
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     table = script_table()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,8 +133,8 @@ def fit(docs: DataFrame, learn: Column) -> dict:
                      pa.array(np.concatenate([found.astype(np.int64), -1 - np.arange(OTHER + 1)])),
                      pa.array(np.concatenate([n.astype(np.float64), letters]))], ["lang", "gram", "n"])
 
-    rows = known.join(F.broadcast(ids), (F.col("doc_id") == F.col("picked_id")) & (F.col("lang") == F.col("picked_lang")))
-    # at most MAX_LANGS * (2^BITS + scripts) sums
+    rows = known.join(ids, (F.col("doc_id") == F.col("picked_id")) & (F.col("lang") == F.col("picked_lang")))
+    # at most 2^BITS + scripts sums a language
     sums = rows.select("text", "lang").mapInArrow(count, "lang string, gram long, n double") \
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(sums.column("lang").to_pylist()))
