@@ -167,7 +167,8 @@ def report(leaks: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame, span: int = 10) -> DataFrame:
     """Rows of ``docs``, all columns, that hold no benchmark span."""
     from .common import row_key
-    keyed = docs.withColumn("_row_key", row_key())
-    marked = find_leaks(keyed.select(F.col("_row_key").alias("doc_id"), "text"), benchmark, span)
-    bad = marked.filter(F.size("spans") > 0).select(F.col("doc_id").alias("_row_key")).distinct()
-    return keyed.join(bad, "_row_key", "left_anti").drop("_row_key")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    keyed = docs.select(own, row_key().alias("row_key"), "text")
+    marked = find_leaks(keyed.select(F.col("row_key").alias("doc_id"), "text"), benchmark, span)
+    bad = marked.filter(F.size("spans") > 0).select(F.col("doc_id").alias("row_key")).distinct()
+    return keyed.join(bad, "row_key", "left_anti").select("own.*")

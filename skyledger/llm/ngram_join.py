@@ -378,11 +378,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     least = keys.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least")) \
         .select("root", F.col("least.row").alias("least"))
     marks = keys.join(least, "root").filter("row != least or copies > 1").select("row", (F.col("row") == F.col("least")).alias("least"))
-    marks = stored(marks.select(F.col("row").alias("_row"), "least"), "row-marks")
-    keyed = docs.withColumn("_row", row_key())
-    alone = keyed.join(marks.select("_row"), "_row", "left_anti").drop("_row")
+    marks = stored(marks, "row-marks")
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
+    keyed = docs.select(own, row_key().alias("row"))
+    alone = keyed.join(marks.select("row"), "row", "left_anti").select("own.*")
     # rows that repeat: the number tells them apart once it is stored
-    again = stored(keyed.join(marks.filter("least").select("_row"), "_row", "left_semi")
-                   .withColumn("_number", F.monotonically_increasing_id()), "repeated-rows")
-    first = again.groupBy("_row").agg(F.min("_number").alias("_number")).select("_number")
-    return alone.unionByName(again.join(first, "_number", "left_semi").drop("_row", "_number"))
+    again = stored(keyed.join(marks.filter("least").select("row"), "row", "left_semi")
+                   .withColumn("number", F.monotonically_increasing_id()), "repeated-rows")
+    first = again.groupBy("row").agg(F.min("number").alias("number")).select("number")
+    return alone.unionByName(again.join(first, "number", "left_semi").select("own.*"))

@@ -4,7 +4,7 @@ import tempfile
 
 import pytest
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, score string, n_removed string, own string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, score string, n_removed string, own string, _row string, _number string, _row_key string, number string"
 LONG = " ".join(f"word{i * 7919 % 4001}" for i in range(60_000))
 COPY = "One passage that is copied, with enough words to make a few shingles. It has a second sentence too. And here is a third one for spans."
 
@@ -13,7 +13,7 @@ X = "m", "c", "a", "f"
 
 
 def _docs(rows):
-    return [(i, t, l, s, None if t is None else len(t), "r", "s", "x", "o") for i, t, l, s in rows]
+    return [(i, t, l, s, None if t is None else len(t), "r", "s", "x", "o", "p", "q", "k", "n") for i, t, l, s in rows]
 
 
 EDGE_DOCS = _docs([

@@ -76,6 +76,7 @@ def test_stage(spark, folders, stage, full):
         assert rows == []
     if stage[0] != "byte_level_bpe":
         assert out.columns == docs.columns
-        assert all((r.row, r.score, r.n_removed, r.own) == ("r", "s", "x", "o") for r in rows)
+        assert all((r.row, r.score, r.n_removed, r.own, r._row, r._number, r._row_key, r.number)
+                   == ("r", "s", "x", "o", "p", "q", "k", "n") for r in rows)
         if full:
             assert any(r.text is None for r in rows) and any(r.doc_id == 5 for r in rows)
