@@ -6,13 +6,16 @@ text, are cut further after the word of least hash in each run of WINDOW
 words, so equal passages are cut alike and no two cuts are over WINDOW words
 apart. In scripts without blanks each letter counts as a word. A span is the shortest run of at least MIN_SENTENCES sentences and
 MIN_WORDS words that begins, or that ends, at a sentence. Spans are hashed and
-joined globally; sentences covered by a span that occurred before (in a lower
+joined globally: one hash of each is counted first, a bitmap of fixed size of
+those that repeat then spares most others the shuffle, and what is left is
+joined by two hashes. Sentences covered by a span that occurred before (in a lower
 doc_id, or earlier in its own text) are removed, the rest is kept as it is.
 
 Defined results: null and empty texts have no sentences and stay; texts too
 short for a span stay; letter case and white space don't count in comparing;
 a null doc_id comes after all others; rows that agree in doc_id and text are
-one document and keep the same; other columns pass through untouched.
+one document and keep the same; a very long text is cut and hashed whole; other
+columns pass through untouched; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import chunks, lists, mix64, row_key, stored
 
 MIN_SENTENCES, MIN_WORDS, LONG, WINDOW = 3, 16, 24, 8
+#: Slots (2^BITMAP) of the bitmap of hashes that repeat; others that share a slot go on and are dropped by the join.
+BITMAP = 25
 
 _ENDS = re.compile(r"[.!?。！？｡]+[\"'»”’)\]]*\s+|[.!?]*[。！？｡][.!?。！？｡]*[\"'»”’)\]」』）】》〉]*\s*|\s*\n\s*")
 #: Letters of scripts without blanks (Thai, Lao, Tibetan, Myanmar, Khmer, kana,
@@ -167,22 +172,52 @@ def _spans(docs: DataFrame) -> DataFrame:
              "again array<struct<begin: int, end: int>>")
 
 
+def _bitmap(found: DataFrame) -> np.ndarray:
+    """Slots of the first hashes that occur more than once."""
+    slot = F.col("h1").bitwiseAND((1 << BITMAP) - 1)
+    words = found.select(F.explode("spans.h1").alias("h1")).groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1") \
+        .groupBy(F.shiftright(slot, 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h1 & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << BITMAP - 6, np.int64)  # at most 2^(BITMAP - 6) rows
+    out[np.asarray(words.column("word").combine_chunks())] = np.asarray(words.column("bits").combine_chunks())
+    return out.view(np.uint8)
+
+
+def _likely(found: DataFrame) -> DataFrame:
+    """doc_id, row, h1, h2, begin, end of the spans whose slot is in the bitmap."""
+    shared = found.sparkSession.sparkContext.broadcast(_bitmap(found))  # 2^(BITMAP - 3) bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for b in batches:
+            spans = b.column(2)
+            flat = spans.flatten()
+            h1 = np.asarray(flat.field("h1"))
+            slot = h1 & ((1 << BITMAP) - 1)
+            keep = np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+            if not len(keep):
+                continue
+            of = pa.array(np.repeat(np.arange(b.num_rows), np.asarray(spans.value_lengths().fill_null(0)))[keep])
+            at = pa.array(keep)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(of), b.column(1).take(of), *[flat.field(c).take(at) for c in ("h1", "h2", "begin", "end")]],
+                                             ["doc_id", "row", "h1", "h2", "begin", "end"])
+
+    return found.select("doc_id", "row", "spans").mapInArrow(run, "doc_id long, row long, h1 long, h2 long, begin int, end int")
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """row, remove: the (begin, end) runs of sentences to remove, for rows of
-    ``docs`` (by ``row_key``) that have any."""
+    """row, n (sentences), remove: the (begin, end) runs of sentences to
+    remove, null if none, for each row of ``docs`` by ``row_key``."""
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     found = stored(_spans(docs), "spans")
-    spans = found.select("doc_id", "row", F.explode("spans").alias("s")).select("doc_id", "row", "s.*")
-    # one number that orders rows by (doc_id, row)
-    place = F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("decimal(38,0)") * F.lit(10 ** 18).cast("decimal(19,0)") * 10 \
-        + F.shiftrightunsigned("row", 1).cast("decimal(19,0)")
-    place = place.cast("decimal(38,0)")
-    firsts = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")) \
-        .filter(F.col("first") != F.col("last")).select("h1", "h2", "first")
-    later = spans.join(firsts, ["h1", "h2"]).filter(place != F.col("first")) \
-        .select("row", F.struct("begin", "end").alias("s"))
+    spans = _likely(found)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "row")  # orders documents
+    # a hash occurs once a row here
+    firsts = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("rows")).filter("rows > 1") \
+        .select("h1", "h2", F.col("first.row").alias("first"))
+    later = spans.join(firsts, ["h1", "h2"]).filter(F.col("row") != F.col("first")).select("row", F.struct("begin", "end").alias("s"))
     again = found.filter(F.size("again") > 0).select("row", F.explode("again").alias("s"))
-    return later.unionByName(again).groupBy("row").agg(F.collect_set("s").alias("remove"))
+    remove = later.unionByName(again).groupBy("row").agg(F.collect_set("s").alias("remove"))
+    return found.groupBy("row").agg(F.max("n").alias("n")).join(remove, "row", "left")
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
@@ -190,22 +225,21 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     sentences, n_sentences and n_removed, for every row of ``docs``."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
     plain = docs.select("doc_id", "text")
-    keyed = docs.select(own, "text", row_key().alias("row")).join(repeated_spans(plain), "row", "left") \
-        .select("own", "text", F.col("remove.begin").alias("b"), F.col("remove.end").alias("e"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches):
-            texts, sizes, gone = [], [], []
-            for text, begins, ends in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
-                pieces = sentences(text) if text else []
-                drop = set()
-                for i, j in zip(begins or [], ends or []):
-                    drop.update(range(i, j))
-                texts.append("".join(p for k, p in enumerate(pieces) if k not in drop) if drop else text)
-                sizes.append(len(pieces))
-                gone.append(len(drop))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(sizes, pa.int64()),
-                                              pa.array(gone, pa.int64())], ["own", "text", "n_sentences", "n_removed"])
-
-    kind = keyed.schema["own"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"own {kind}, text string, n_sentences long, n_removed long")
+    keyed = docs.select(own, "text", row_key().alias("row")).join(repeated_spans(plain), "row")
+
+    def run(texts: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
+        kept, gone = [], []
+        for text, b, e in zip(*(c.to_pylist() for c in (texts, begins, ends))):
+            drop = set()
+            for i, j in zip(b or [], e or []):
+                drop.update(range(i, j))
+            kept.append("".join(p for k, p in enumerate(sentences(text)) if k not in drop) if drop else None)
+            gone.append(len(drop))
+        return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(gone, pa.int64())], ["text", "gone"])
+
+    run.__annotations__ = {"texts": pa.Array, "begins": pa.Array, "ends": pa.Array, "return": pa.Array}  # read when the function is declared
+    some = F.col("remove").isNotNull()
+    cut = F.arrow_udf(run, "struct<text: string, gone: bigint>")(F.when(some, F.col("text")), F.col("remove.begin"), F.col("remove.end"))
+    return keyed.withColumn("cut", cut).select(
+        "own", F.when(some, F.col("cut.text")).otherwise(F.col("text")).alias("text"),
+        F.col("n").cast("long").alias("n_sentences"), F.col("cut.gone").alias("n_removed"))
