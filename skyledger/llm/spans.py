@@ -88,7 +88,7 @@ def sentences(text: str) -> list[str]:
     out = []
     for a, b in zip(cuts, cuts[1:]):
         piece = text[a:b]
-        if len(piece) <= LONG or not close and len(piece.split()) <= LONG or len(words := find(piece)) <= LONG:
+        if len(piece) <= (LONG if close else 2 * LONG) or not close and len(piece.split()) <= LONG or len(words := find(piece)) <= LONG:
             out.append(piece)
             continue
         held = piece[:len(piece) - sum(map(len, words))]
@@ -116,20 +116,21 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 def span_hashes(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(begin, end, two 64-bit hashes) of every span of a text's sentences."""
     import xxhash
-    n = len(pieces)
+    n, digest = len(pieces), xxhash.xxh3_128_digest
+    text = "".join(pieces)
+    close = not text.isascii() and _CLOSE.search(text) is not None
     split = [p.lower().split() for p in pieces]
-    close = any(not p.isascii() and _CLOSE.search(p) for p in pieces)
-    words = np.concatenate([[0], np.cumsum([len(_WORD.findall(p)) if close else len(w) for p, w in zip(pieces, split)])])
-    digests = [xxhash.xxh3_128_intdigest(" ".join(w)) for w in split]
+    counts = [len(_WORD.findall(p)) for p in pieces] if close else list(map(len, split))
+    words = np.concatenate([[0], np.cumsum(counts)])
+    units = np.frombuffer(b"".join([digest(" ".join(w)) for w in split]), ">u8").reshape(-1, 2)
     i = np.arange(n)
     end = np.maximum(i + MIN_SENTENCES, np.searchsorted(words, words[:-1] + MIN_WORDS))  # spans that begin at i
     first = np.minimum(i + 1 - MIN_SENTENCES, np.searchsorted(words, words[1:] - MIN_WORDS, "right") - 1)  # that end at i
     spans = np.concatenate([np.stack([i, end], 1)[end <= n], np.stack([first, i + 1], 1)[first >= 0]])
-    spans = np.unique(spans, axis=0)
-    begin, end = spans[:, 0], spans[:, 1]
+    begin, end = np.divmod(np.unique(spans[:, 0] * (n + 1) + spans[:, 1]), n + 1)
     out = []
-    for p, inverse, half in zip(_P, _P_INVERSE, (0, 64)):
-        unit = np.array([(d >> half) & 0xFFFFFFFFFFFFFFFF for d in digests], np.uint64)
+    for p, inverse, half in zip(_P, _P_INVERSE, (1, 0)):
+        unit = units[:, half].astype(np.uint64)
         sums = np.concatenate([[np.uint64(0)], np.cumsum(unit * _powers(p, n), dtype=np.uint64)])
         out.append(mix64((sums[end] - sums[begin]) * _powers(inverse, n + 1)[begin] + (end - begin).astype(np.uint64)))
     return begin, end, out[0].view(np.int64), out[1].view(np.int64)
