@@ -115,15 +115,32 @@ def apply_labels(df: DataFrame, vocab: DataFrame, cols: Sequence[str] = CAT_FEAT
     return out
 
 
-def scoring_rejects(df: DataFrame, vocab: DataFrame, cols: Sequence[str], numbers: Sequence[str] = ()) -> DataFrame:
-    """Rows that can't be scored, with a reason: a categorical or number is
-    missing, or a label is not in the vocabulary (the scoring service's 4xx
-    cases); nothing raises."""
+def encode_with_rejects(df: DataFrame, vocab: DataFrame, cols: Sequence[str],
+                        numbers: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(encoded rows, rejected rows with a reason) for fixed scoring vocabularies.
+
+    A row is rejected when a categorical or one of ``numbers`` is missing, or a
+    label is not in the vocabulary (the scoring service's 4xx cases); nothing
+    raises.
+    """
     enc = apply_labels(df, vocab, cols)
     missing = [F.when(F.col(c).isNull(), F.lit(f"missing field: {c}")) for c in [*cols, *numbers]]
     unknown = [F.when(F.col(c).isNotNull() & F.col(f"{c}_code").isNull(), F.lit(f"unknown {c}")) for c in cols]
-    return enc.withColumn("reject_reason", F.nullif(F.concat_ws("; ", *missing, *unknown), F.lit(""))) \
-        .where(F.col("reject_reason").isNotNull()).drop(*[f"{c}_code" for c in cols])
+    reason = F.nullif(F.concat_ws("; ", *missing, *unknown), F.lit(""))
+    tagged = enc.withColumn("reject_reason", reason)
+    return (tagged.where(F.col("reject_reason").isNull()).drop("reject_reason"),
+            tagged.where(F.col("reject_reason").isNotNull()))
+
+
+def scoring_rejects(df: DataFrame, vocab: DataFrame, cols: Sequence[str], numbers: Sequence[str] = ()) -> DataFrame:
+    """The rejected rows of ``encode_with_rejects``, without codes."""
+    return encode_with_rejects(df, vocab, cols, numbers)[1].drop(*[f"{c}_code" for c in cols])
+
+
+def fixed_vocabulary(spark, mapping: dict[str, Sequence[str]]) -> DataFrame:
+    """Vocabulary table from fixed label lists (sorted, position = code)."""
+    rows = [(col, v, i) for col, values in mapping.items() for i, v in enumerate(sorted(values))]
+    return spark.createDataFrame(rows, "column_name string, value string, code int")
 
 
 # --- split and scaling --------------------------------------------------------
