@@ -102,7 +102,7 @@ def kpi_booking_count(v: DataFrame, run_id: str | None = None) -> DataFrame:
 
     The share's denominator is every row of the run (also rows with a null
     airline or fare): a one-row total over the per-airline aggregate, joined
-    back by broadcast (the aggregate's shuffle is reused, no second scan).
+    back by broadcast. The plan scans the run twice.
     """
     g = v.groupBy("airline").agg(
         F.count(F.lit(1)).alias("_rows"),

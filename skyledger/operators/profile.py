@@ -253,7 +253,8 @@ def box_stats(df: DataFrame, dims: Sequence[str] = ("season_label", "airline"),
 
 
 def profile(df: DataFrame, target: str = "total_fare") -> dict[str, DataFrame]:
-    """All profile tables for one frame (lazy DataFrames, nothing collected).
+    """All profile tables for one frame. Quantiles checkpoint their counts, so
+    building the tables runs jobs; no rows are collected.
 
     Describe and outlier tables share one quartile pass.
     """
