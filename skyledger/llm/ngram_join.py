@@ -15,14 +15,15 @@ length is estimated from a sketch of token counts (2^SKETCH counters over all
 documents, which also gives the order).
 
 Lists are never expanded into all pairs: each gives star pairs to its first
-member, and every member checks the star it shares most lists with. Only
-pairs in one list whose members are still in different components, and that
-pass the bounds on sizes, positions, shared tokens and differing bits, are
-checked after that; so components are exact while a group of copies costs one
-check per copy. The bits are parities of a set's hashes in BITS slots: sets
-whose bits differ in d places differ in d tokens at least. All bounds hold for
-whole components as well (bits that all members share, least and greatest
-sizes), so two components of a list that can't link cost one row.
+member, and every member checks the star it shares most lists with. Then a
+list's members that are still in different components are held against each
+other inside a task, by bounds on sizes, positions and differing bits, and only
+what passes leaves it: first each member's nearest by bits, then, components
+being merged, all pairs that are left. These are checked exactly unless the
+lists they share rule them out; so components are exact while a group of copies
+costs one check per copy. The bits are parities of a set's hashes in BITS slots:
+sets whose bits differ in d places differ in d tokens at least. Of a long list
+only blocks that hold two components meet.
 
 Defined results: null text and text without words have no shingle and link
 with nothing; text of 1 to 4 words has one shingle, the whole; a row with null
@@ -46,6 +47,8 @@ from .components import components
 WORDS, PERCENT, SKETCH, BITMAP = 5, 80, 17, 23
 #: Parity bits of a set, in longs of 64.
 BITS = [f"bits{i}" for i in range(4)]
+#: Members of a list that are held against each other in one task.
+BLOCK = 2048
 #: A list longer than this is dealt out by set id; each part has a star of its
 #: own, and components of different parts meet as those of one list do.
 LIST_PART = 1_000_000
@@ -232,48 +235,120 @@ def _may_link(shared: Column, a: str, b: str, limit: int) -> Column:
     return _sizes_fit(a, b) & ((F.least(a, b) < limit) | (shared + left >= _need(a, b)))
 
 
-def _room(n: Column, pos: Column) -> Column:
-    """Most tokens that a set can share in all, if this list's are the first."""
-    return F.when(pos < 0, n + pos + 1).otherwise(n - pos)
-
-
-def _meeting(entry: DataFrame) -> DataFrame:
-    """u, v, un, vn, up, vp: members of one list and of different components
-    that no bound keeps apart. Components are held against each other first, by
-    bounds that hold for all their members."""
-    kinds = entry.groupBy("key", "root").agg(
-        F.min("n").alias("n_least"), F.max("n").alias("n_most"), F.max(_room(F.col("n"), F.col("pos"))).alias("room"),
-        *[f(x).alias(f"{name}_{x}") for x in BITS for name, f in (("all", F.bit_and), ("any", F.bit_or))])
-    a, b = (kinds.select("key", *[F.col(c).alias(f"{side}_{c}") for c in kinds.columns if c != "key"]) for side in "ab")
-    apart = sum((F.bit_count((F.col(f"a_all_{x}").bitwiseAND(F.bitwise_not(F.col(f"b_any_{x}"))))
-                             .bitwiseOR(F.col(f"b_all_{x}").bitwiseAND(F.bitwise_not(F.col(f"a_any_{x}"))))) for x in BITS), F.lit(0))
-    meet = a.join(b, "key").filter(
-        (F.col("a_root") < F.col("b_root"))
-        & (100 * F.col("a_n_most") >= PERCENT * F.col("b_n_least")) & (100 * F.col("b_n_most") >= PERCENT * F.col("a_n_least"))
-        & (F.least("a_room", "b_room") >= _need("a_n_least", "b_n_least"))
-        & ((100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("a_n_most") + F.col("b_n_most")))) \
-        .select("key", F.col("a_root").alias("root"), F.col("b_root").alias("other"))
-    left = entry.select("key", "root", F.col("sid").alias("u"), F.col("n").alias("un"), F.col("pos").alias("up"),
-                        *[F.col(x).alias(f"u_{x}") for x in BITS])
-    right = entry.select("key", F.col("root").alias("other"), F.col("sid").alias("v"), F.col("n").alias("vn"), F.col("pos").alias("vp"),
-                         *[F.col(x).alias(f"v_{x}") for x in BITS])
-    differ = sum((F.bit_count(F.col(f"u_{x}").bitwiseXOR(F.col(f"v_{x}"))) for x in BITS), F.lit(0))
-    return meet.join(left, ["key", "root"]).join(right, ["key", "other"]).filter(
-        _sizes_fit("un", "vn")
-        & (F.least(_room(F.col("un"), F.col("up")), _room(F.col("vn"), F.col("vp"))) >= _need("un", "vn"))
-        & ((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("un") + F.col("vn")))).select("u", "v", "un", "vn", "up", "vp")
-
-
-def _candidates(entry: DataFrame) -> DataFrame:
+def _dealt(entry: DataFrame, block: int) -> DataFrame:
+    """``entry`` with blk, a, b: what is to be held against each other meets
+    under one (key, a, b). Lists up to ``block`` members stay whole. Of a longer
+    one that is still mixed, the largest component is dealt into blocks below 0
+    and the rest into blocks from 0; blocks of the largest never meet each other,
+    so a list of a component and few strangers costs one pass. Longer lists of a
+    single component go."""
+    long = entry.groupBy("key").agg(F.count("*").alias("all"), F.min("root").alias("least"), F.max("root").alias("most")) \
+        .filter(F.col("all") > block).withColumn("mixed", F.col("least") != F.col("most")).select("key", "all", "mixed")
+    long = stored(long, "long-lists")
+    main = entry.join(long.filter("mixed").select("key", "all"), "key").groupBy("key", "root", "all").agg(F.count("*").alias("mine")) \
+        .groupBy("key", "all").agg(F.max(F.struct("mine", "root")).alias("m")) \
+        .select("key", F.col("m.root").alias("main"), F.ceil(F.col("m.mine") / block).cast("int").alias("mains"),
+                F.ceil((F.col("all") - F.col("m.mine")) / block).cast("int").alias("others"))
+    plan = long.join(main, "key", "left")
+    zero = F.lit(0)
+    at = F.xxhash64("sid")
+    blk = F.when(F.col("mixed").isNull(), zero).when(
+        F.col("root") == F.col("main"), -1 - F.pmod(at, F.col("mains"))).otherwise(F.pmod(at, F.col("others"))).cast("int")
+    meets = F.when(F.col("mixed").isNull(), F.array(F.struct(zero.alias("a"), zero.alias("b")))).otherwise(F.transform(
+        F.when(F.col("blk") < 0, F.sequence(zero, F.col("others") - 1)).otherwise(F.sequence(-F.col("mains"), F.col("others") - 1)),
+        lambda o: F.struct(F.least(o, F.col("blk")).alias("a"), F.greatest(o, F.col("blk")).alias("b"))))
+    return entry.join(plan, "key", "left").filter("mixed is null or mixed").withColumn("blk", blk) \
+        .withColumn("meet", F.explode(meets)).select(*entry.columns, "blk", "meet.a", "meet.b")
+
+
+def _pairs_of(key: list[np.ndarray], root: np.ndarray, blk: np.ndarray, n: np.ndarray, pos: np.ndarray,
+              bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, differing bits) of rows of one (key, a, b) that may link, rows
+    being sorted by these; one shift of all rows at a time."""
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    room = np.where(pos < 0, n + pos + 1, n - pos)
+    new = np.zeros(len(n), np.int64)
+    new[1:] = np.any([k[1:] != k[:-1] for k in key], axis=0)
+    group, inside = np.cumsum(new), key[1] == key[2]
+    i, d = np.arange(len(n)), 0
+    while len(i):
+        d += 1
+        i = i[:np.searchsorted(i, len(n) - d)]
+        i = i[group[i] == group[i + d]]
+        j = i + d
+        ok = (root[i] != root[j]) & ((blk[i] == blk[j]) == inside[i])
+        x, y = i[ok], j[ok]
+        total = n[x] + n[y]
+        need = -(-PERCENT * total // (100 + PERCENT))
+        ok = (100 * np.minimum(n[x], n[y]) >= PERCENT * np.maximum(n[x], n[y])) & (np.minimum(room[x], room[y]) >= need)
+        x, y, total = x[ok], y[ok], total[ok]
+        differ = np.bitwise_count(bits[:, x] ^ bits[:, y]).sum(0, dtype=np.int64)
+        ok = (100 + PERCENT) * differ <= (100 - PERCENT) * total
+        if ok.any():
+            yield x[ok], y[ok], differ[ok]
+
+
+def _meeting(entry: DataFrame, nearest: bool, block: int) -> DataFrame:
+    """u, v, un, vn, up, vp, differ: members of one list and of different
+    components that no bound keeps apart; ``nearest``: of each member and list
+    only the one that differs least in its bits, so no more rows than members.
+    Sorted lists are read in a stream that holds two blocks at most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def work(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            col = {c: t.column(c).to_numpy(zero_copy_only=False) for c in t.schema.names}
+            sid, n, pos = col["sid"], col["n"], col["pos"]
+            found = _pairs_of([col["key"], col["a"], col["b"]], col["root"], col["blk"], n, pos, np.stack([col[x] for x in BITS]).view(np.uint64))
+            if nearest:
+                best = np.full(len(sid), np.iinfo(np.int64).max)
+                for x, y, differ in found:
+                    best[x] = np.minimum(best[x], differ << 32 | y)
+                    best[y] = np.minimum(best[y], differ << 32 | x)
+                x = np.flatnonzero(best < np.iinfo(np.int64).max)
+                found = [(x, best[x] & 0xFFFFFFFF, best[x] >> 32)]
+            for x, y, differ in found:
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (sid[x], sid[y], n[x], n[y], pos[x], pos[y], differ)],
+                                                 ["u", "v", "un", "vn", "up", "vp", "differ"])
+
+        held: list[pa.RecordBatch] = []  # of the group under way
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            cut = np.zeros(b.num_rows, bool)
+            for c in ("key", "a", "b"):
+                v = b.column(c).to_numpy()
+                cut[1:] |= v[1:] != v[:-1]
+                cut[0] |= bool(held) and held[-1].column(c)[-1].as_py() != v[0]
+            if cut.any():
+                last = int(np.flatnonzero(cut)[-1])
+                yield from work(pa.concat_batches([*held, b.slice(0, last)]))
+                held, b = [], b.slice(last)
+            held.append(b)
+        if held:
+            yield from work(pa.concat_batches(held))
+
+    n = int(entry.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _dealt(entry, block).repartition(n, "key", "a", "b").sortWithinPartitions("key", "a", "b")
+    return dealt.mapInArrow(run, "u long, v long, un int, vn int, up int, vp int, differ long")
+
+
+def _nearest(meeting: DataFrame) -> DataFrame:
+    """u, v: for each member the one that differs least over all its lists."""
+    return meeting.groupBy("u").agg(F.min(F.struct("differ", "v")).alias("b")) \
+        .select(F.least("u", "b.v").alias("u"), F.greatest("u", "b.v").alias("v")).distinct()
+
+
+def _candidates(meeting: DataFrame) -> DataFrame:
     """u, v: pairs to check. Both orders being one, the token lists in which a
     pair meets are its first shared tokens; what follows the last of them can
     add no more than either set has left. Pairs of 2-subset lists only stay."""
+    swap = F.col("u") > F.col("v")
+    least = [F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("u", "v"), ("un", "vn"), ("up", "vp"))]
+    most = [F.when(swap, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in (("u", "v"), ("un", "vn"), ("up", "vp"))]
     token = F.col("up") >= 0
-    return _meeting(entry).groupBy("u", "v", "un", "vn").agg(
+    return meeting.select(*least, *most).groupBy("u", "v", "un", "vn").agg(
         F.sum(token.cast("int")).alias("shared"), F.max("up").alias("up"), F.max("vp").alias("vp")) \
         .filter((F.col("shared") == 0) | (F.col("shared") + F.least(F.col("un") - 1 - F.col("up"), F.col("vn") - 1 - F.col("vp"))
-                                          >= _need("un", "vn"))) \
-        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+                                          >= _need("un", "vn"))).select("u", "v")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -322,47 +397,57 @@ def _sets(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
                      pa.array([s.tobytes() for s in sets], pa.binary())], ["row", "sid", "tokens"])
 
     found = docs.select(row_key().alias("row"), "text").mapInArrow(run, "row long, sid long, tokens binary")
-    return stored(found.join(reps, ["row", "sid"], "left_semi").select("sid", "tokens").dropDuplicates(["sid"]), "sets")
+    reps = reps.withColumnRenamed("row", "rep")  # the rows compared after a join on sid alone: what follows needs no other exchange
+    return stored(found.join(reps, "sid").filter(F.col("row").bitwiseXOR(F.col("rep")) == 0)
+                  .select("sid", "tokens").dropDuplicates(["sid"]), "sets")
+
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid")))
 
-def _rooted(docs: DataFrame, list_part: int = LIST_PART) -> DataFrame:
+
+def _rooted(docs: DataFrame, list_part: int = LIST_PART, block: int = BLOCK) -> DataFrame:
     """doc_id, row (by ``row_key``), n and root of every row; the root is null
     where there are no shingles."""
     members, counters = _documents(docs)
     limit = boundary(counters)
     lists = stored(_lists(_entries(docs, counters, limit, list_part)), "lists")
+    bits = members.filter(F.col("sid").isNotNull()).groupBy("sid").agg(*[F.min(x).alias(x) for x in BITS])
 
+    def side(name: str) -> DataFrame:
+        return bits.select(F.col("sid").alias(name), *[F.col(x).alias(f"{name}_{x}") for x in BITS])
+
+    # Round 1: each member and the star it shares most lists with, of those that no bound keeps apart.
     stars = lists.filter("sid != hub").groupBy("hub", "sid").agg(F.count("*").alias("shared"), F.max("n").alias("n"), F.max("hub_n").alias("hub_n")) \
-        .filter(_may_link(F.col("shared"), "n", "hub_n", limit))
-    best = stars.groupBy("sid").agg(F.max(F.struct("shared", "hub")).alias("b")) \
-        .select(F.col("b.hub").alias("u"), F.col("sid").alias("v"))
-    best = stored(best, "stars")
-    sets = _sets(docs, members, best.select(F.col("u").alias("sid")).unionByName(best.select(F.col("v").alias("sid"))))
-    edges = stored(_linked(best, sets), "links")
+        .filter(_may_link(F.col("shared"), "n", "hub_n", limit)).join(side("sid"), "sid").join(side("hub"), "hub")
+    differ = sum((F.bit_count(F.col(f"sid_{x}").bitwiseXOR(F.col(f"hub_{x}"))) for x in BITS), F.lit(0))
+    best = stars.filter((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("n") + F.col("hub_n"))) \
+        .groupBy("sid").agg(F.max(F.struct("shared", "hub")).alias("b")).select(F.col("b.hub").alias("u"), F.col("sid").alias("v"))
+    tried = stored(best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "stars")
+    edges = stored(_linked(tried, _sets(docs, members, _ends(tried))), "links")
     roots = components(edges)
 
-    # Members of one list in different components, that no bound keeps apart.
+    # Members of one list that are still apart: first each with its nearest, then all that are left.
     entry = lists.filter("sid != hub").select("key", "sid", "n", "pos").unionByName(
         lists.select("key", F.col("hub").alias("sid"), F.col("hub_n").alias("n"), F.col("hub_pos").alias("pos")).distinct())
-    entry = entry.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    mixed = entry.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a != z").select("key")
-    bits = members.filter(F.col("sid").isNotNull()).groupBy("sid").agg(*[F.min(x).alias(x) for x in BITS])
-    entry = stored(entry.join(mixed, "key").join(bits, "sid"), "mixed")
-    pairs = _candidates(entry)
-    tried = best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    pairs = stored(pairs.join(tried, ["u", "v"], "left_anti"), "cross-pairs")
-    more = _sets(docs, members, pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid"))))
-    found = stored(_linked(pairs, more), "links")
-    if found.limit(1).count():
-        roots = components(edges.unionByName(found))
+    for nearest in (True, False):
+        now = stored(entry.join(bits, "sid").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
+                     .withColumn("root", F.coalesce("root", "sid")), "entries")
+        meeting = _meeting(now, nearest, block)
+        pairs = stored((_nearest(meeting) if nearest else _candidates(meeting)).join(tried, ["u", "v"], "left_anti"), "cross-pairs")
+        found = stored(_linked(pairs, _sets(docs, members, _ends(pairs))), "links")
+        if found.limit(1).count():
+            edges = edges.unionByName(found)
+            roots = components(edges)
+        tried = tried.unionByName(pairs)
 
     return members.join(roots.withColumnRenamed("node", "sid"), "sid", "left") \
         .select("doc_id", "row", "n", F.coalesce("root", "sid").alias("root"))
 
 
-def link_components(docs: DataFrame, list_part: int = LIST_PART) -> DataFrame:
+def link_components(docs: DataFrame, list_part: int = LIST_PART, block: int = BLOCK) -> DataFrame:
     """doc_id, row (by ``row_key``), n_shingles and component_id of every row."""
-    rooted = _rooted(docs, list_part)
+    rooted = _rooted(docs, list_part, block)
     first = rooted.filter(F.col("root").isNotNull()).groupBy("root").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("copies")).filter("copies > 1").select("root", "least")
     return rooted.join(first, "root", "left").select(

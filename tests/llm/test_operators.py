@@ -291,9 +291,9 @@ def _near_texts(seed: int) -> list[tuple[int, str]]:
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("list_part", [1_000_000, 3])
-def test_ngram_join_equals_brute_force(spark, list_part):
-    """Also with lists split into parts of few members."""
+@pytest.mark.parametrize("list_part,block", [(1_000_000, 2048), (3, 2)])
+def test_ngram_join_equals_brute_force(spark, list_part, block):
+    """Also with lists split into parts and blocks of few members."""
     from skyledger.llm.ngram_join import link_components
     texts = _near_texts(5)
     sets = {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for i, t in texts for w in [t.split()]}
@@ -309,7 +309,7 @@ def test_ngram_join_equals_brute_force(spark, list_part):
             if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
-    got = link_components(spark.createDataFrame(texts, "doc_id long, text string"), list_part).collect()
+    got = link_components(spark.createDataFrame(texts, "doc_id long, text string"), list_part, block).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), find(i)) for i, s in sets.items()}
     assert len({find(i) for i in sets}) < len(sets)
 
