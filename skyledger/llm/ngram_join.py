@@ -22,7 +22,9 @@ what passes leaves it: first each member's nearest by bits, then, components
 being merged, all pairs that are left. These are checked exactly unless the
 lists they share rule them out; so components are exact while a group of copies
 costs one check per copy. The bits are parities of a set's hashes in BITS slots:
-sets whose bits differ in d places differ in d tokens at least. Of a long list
+sets whose bits differ in d places differ in d tokens at least. Before tokens
+travel, pairs are held against each other by sketches, such bits in as many
+slots as a set's size calls for. Of a long list
 only blocks that hold two components meet.
 
 Defined results: null text and text without words have no shingle and link
@@ -72,13 +74,19 @@ def set_id(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-def parities(tokens: np.ndarray) -> np.ndarray:
-    """The set's parity bits as ``len(BITS)`` longs."""
-    slots = 64 * len(BITS)
+def parities(tokens: np.ndarray, slots: int = 64 * len(BITS)) -> np.ndarray:
+    """The set's parity bits in ``slots`` slots as longs."""
     odd = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % slots, minlength=slots) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parity bits in a power of two of slots, four a token at least: an eighth
+    of the tokens' bytes at most. Halves put together by xor are the bits in
+    half as many slots, so any two sketches compare."""
+    return parities(tokens, 1 << max(6, (4 * len(tokens) - 1).bit_length())).tobytes()
+
+
 def prefix(n: Column) -> Column:
     return n - F.ceil(n * PERCENT / 100) + 1
 
@@ -101,13 +109,13 @@ def boundary(counters: np.ndarray) -> int:
 
 
 def _documents(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, row, n, sid and parity bits of every row; the sketch) in one pass over the texts."""
+    """(doc_id, row, n, sid, sketch and parity bits of every row; the token counters) in one pass over the texts."""
     parts = 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         table, counters = WordHashes(), np.zeros(1 << SKETCH, np.int64)
-        names = ["doc_id", "row", "n", "sid", *BITS, "part", "task", "counters"]
+        names = ["doc_id", "row", "n", "sid", "sketch", *BITS, "part", "task", "counters"]
         for b in chunks(batches):
             sets = shingle_sets(b.column(2), table)
             counters += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH)).astype(np.int64), minlength=1 << SKETCH)
@@ -115,30 +123,30 @@ def _documents(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             bits = np.stack([parities(x) for x in sets])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int32()),
-                 pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()),
                  *[pa.array(bits[:, i]) for i in range(len(BITS))], none, none, pa.nulls(n, pa.binary())], names)
         if counters.any():
             none = pa.nulls(parts, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, pa.nulls(parts, pa.int32()), none, *[none] * len(BITS), pa.array(range(parts), pa.int32()),
+                [none, none, pa.nulls(parts, pa.int32()), none, pa.nulls(parts, pa.binary()), *[none] * len(BITS), pa.array(range(parts), pa.int32()),
                  pa.array([TaskContext.get().partitionId()] * parts, pa.int32()),
                  pa.array([x.tobytes() for x in np.split(counters, parts)], pa.binary())], names)
 
     done = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"), "text").mapInArrow(
-        run, f"doc_id long, row long, n int, sid long, {', '.join(f'{x} long' for x in BITS)}, part int, task int, counters binary"),
+        run, f"doc_id long, row long, n int, sid long, sketch binary, {', '.join(f'{x} long' for x in BITS)}, part int, task int, counters binary"),
         "shingle-sets")
 
     def add(t: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, np.int64) for x in t.column("counters").to_pylist())
         return pa.table({"part": t.column("part")[:1], "task": pa.array([0], pa.int32()), "counters": pa.array([total.tobytes()], pa.binary())})
 
-    sketch = done.filter(F.col("part").isNotNull()).select("part", (F.col("task") % 64).alias("task"), "counters")
+    counts = done.filter(F.col("part").isNotNull()).select("part", (F.col("task") % 64).alias("task"), "counters")
     for keys in (["part", "task"], ["part"]):  # two levels: no task gathers a slice of every task at once
-        sketch = sketch.groupBy(*keys).applyInArrow(add, "part int, task int, counters binary")
+        counts = counts.groupBy(*keys).applyInArrow(add, "part int, task int, counters binary")
     counters = np.zeros((parts, (1 << SKETCH) // parts), np.int64)
-    for r in sketch.collect():  # 2^SKETCH counters
+    for r in counts.collect():  # 2^SKETCH counters
         counters[r.part] = np.frombuffer(r.counters, np.int64)
-    return done.filter(F.col("part").isNull()).select("doc_id", "row", "n", "sid", *BITS), counters.ravel()
+    return done.filter(F.col("part").isNull()).select("doc_id", "row", "n", "sid", "sketch", *BITS), counters.ravel()
 
 
 def _entries(docs: DataFrame, counters: np.ndarray, limit: int, list_part: int) -> DataFrame:
@@ -351,6 +359,29 @@ def _candidates(meeting: DataFrame) -> DataFrame:
                                           >= _need("un", "vn"))).select("u", "v")
 
 
+def _close(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that the sketches don't keep apart: what is left for
+    the exact check, and for the tokens to travel."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            total = np.asarray(b.column(2)).astype(np.int64) + np.asarray(b.column(4))
+            differ = np.zeros(b.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(b.column(3).to_pylist(), b.column(5).to_pylist())):
+                x, y = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+                while len(y) > len(x):
+                    y = y[:len(y) // 2] ^ y[len(y) // 2:]
+                differ[i] = np.bitwise_count(x ^ y).sum()
+            yield b.select(["u", "v"]).filter(pa.array((100 + PERCENT) * differ <= (100 - PERCENT) * total))
+
+    known = members.filter(F.col("sid").isNotNull()).join(_ends(pairs).distinct(), "sid").groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"))  # equal sets have equal sketches
+    both = pairs
+    for end in ("u", "v"):
+        both = both.join(known.select(F.col("sid").alias(end), F.col("n").alias(f"{end}n"), F.col("sketch").alias(f"{end}s")), end)
+    both = both.select("u", "v", "un", "us", "vn", "vs")
+    return stored(both.mapInArrow(run, "u long, v long"), "close-pairs")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (u, v set ids) whose sets are similar enough, exactly."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,7 +455,8 @@ def _rooted(docs: DataFrame, list_part: int = LIST_PART, block: int = BLOCK) ->
     best = stars.filter((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("n") + F.col("hub_n"))) \
         .groupBy("sid").agg(F.max(F.struct("shared", "hub")).alias("b")).select(F.col("b.hub").alias("u"), F.col("sid").alias("v"))
     tried = stored(best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "stars")
-    edges = stored(_linked(tried, _sets(docs, members, _ends(tried))), "links")
+    close = _close(tried, members)
+    edges = stored(_linked(close, _sets(docs, members, _ends(close))), "links")
     roots = components(edges)
 
     # Members of one list that are still apart: first each with its nearest, then all that are left.
@@ -435,7 +467,8 @@ def _rooted(docs: DataFrame, list_part: int = LIST_PART, block: int = BLOCK) ->
                      .withColumn("root", F.coalesce("root", "sid")), "entries")
         meeting = _meeting(now, nearest, block)
         pairs = stored((_nearest(meeting) if nearest else _candidates(meeting)).join(tried, ["u", "v"], "left_anti"), "cross-pairs")
-        found = stored(_linked(pairs, _sets(docs, members, _ends(pairs))), "links")
+        close = _close(pairs, members)
+        found = stored(_linked(close, _sets(docs, members, _ends(close))), "links")
         if found.limit(1).count():
             edges = edges.unionByName(found)
             roots = components(edges)
