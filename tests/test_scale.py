@@ -49,3 +49,28 @@ def test_runs_are_not_sorted_for_their_write(spark, tmpdir_path):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == old
     back = spark.read.parquet(os.path.join(tmpdir_path, "runs"))
     assert back.count() == 10 and back.select("pipeline_run_id").distinct().count() == 10  # more runs than open files
+
+
+def test_scoring_needs_no_join_of_the_bookings_with_their_rejects(spark):
+    from skyledger.plans import fare_model as FM
+    scored = FM.batch_score(spark, SF001)
+    p = scored._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in p and "SortMergeJoin" not in p
+    kept = FM.features_table(spark, SF001).join(FM.batch_rejects(spark, SF001), "raw_id", "left_anti").select("raw_id")
+    assert scored.select("raw_id").exceptAll(kept).count() == 0 and scored.count() == kept.count()
+
+
+def test_fits_run_one_by_one_where_rows_are_many(spark, monkeypatch):
+    from skyledger.plans import fare_model as FM
+    assert FM._fits_at_once(spark, SF001) == FM.CV_FOLDS
+    monkeypatch.setattr(FM, "booking_count", lambda *_: 10 ** 9)
+    assert FM._fits_at_once(spark, SF001) == 1
+
+
+def test_scans_for_tree_fits_get_tasks_by_rows(spark, tmpdir_path):
+    from skyledger.session import scan_tasks
+    path = os.path.join(tmpdir_path, "t")
+    spark.range(400).repartition(40).write.parquet(path)
+    assert spark.read.parquet(path).rdd.getNumPartitions() < 40
+    with scan_tasks(spark, 40):
+        assert spark.read.parquet(path).rdd.getNumPartitions() == 40
