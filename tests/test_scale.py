@@ -74,3 +74,20 @@ def test_scans_for_tree_fits_get_tasks_by_rows(spark, tmpdir_path):
     assert spark.read.parquet(path).rdd.getNumPartitions() < 40
     with scan_tasks(spark, 40):
         assert spark.read.parquet(path).rdd.getNumPartitions() == 40
+
+
+def test_lower_levels_grown_by_rows_equal_one_deep_fit(spark):
+    from pyspark.sql import functions as F
+    from skyledger.operators import models as ML, staged
+    from test_models import nonlinear_target
+    f = nonlinear_target(spark)
+    prep = ML.fit_prep(f)
+    vec = prep.transform(f).withColumn("held", F.col("fold") == 1).where("split = 'train'").cache()
+    est = ML._estimator(ML.ModelSpec("t", "tree", {"minInstancesPerNode": 20}), prepared=True, bins=ML.max_bins(prep))
+    deep = staged.Nodes(spark, est.copy({est.maxDepth: 9}).fit(vec.where("not held")))
+    want = {(r.held, r.depth): r.r2 for r in staged.depth_errors(vec, deep, 9).collect()}
+    for upper in (1, 4):
+        got = {(r.held, r.depth): r.r2 for r in staged.deep_errors(vec, est, 9, upper).collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert abs(got[k] - want[k]) < 1e-6, (upper, k, got[k], want[k])
