@@ -38,7 +38,9 @@ from .common import chunks, lists
 
 #: Bounds of a worker's tables: deterministic states, checked pairs of tokens,
 #: pieces in each of two generations, and bytes of a piece between settlements.
-STATES, PAIRS, PIECES, LAG = 100_000, 200_000, 250_000, 1024
+#: An executor may keep idle workers from earlier stages; each that gets a task holds its own tables.
+STATES, PAIRS, PIECES, LAG = 60_000, 80_000, 130_000, 1024
+AT_ONCE = 1_000_000  # bytes of text a worker encodes together
 HEAD = 6  # bytes of a piece that are looked up at once
 NODE = TOKEN = 20  # bits
 NODES = TOKENS = (1 << NODE) - 1
@@ -74,6 +76,7 @@ class Transducer:
         if len(self.ends) >= 1 << NODE or len(self.bytes_of) >= 1 << TOKEN:
             raise ValueError("the vocabulary is too large")
         self.size = [len(x) for x in self.bytes_of]
+        self.own = list(range(len(self.bytes_of)))  # one int object a token, shared by all heads
         self.pairs: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self._restart()
@@ -82,7 +85,7 @@ class Transducer:
         self.states: list[tuple[int, ...]] = [(0,)]  # pairs: (last token + 1) << NODE | node
         self.number = {self.states[0]: 0}
         self.moves: dict[int, int] = {}  # state and byte: next state << TOKEN | the token that ends there
-        self.heads: dict[bytes, tuple[int, list[int]]] = {}  # first HEAD bytes of a run: the state and tokens they lead to
+        self.heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}  # first HEAD bytes of a run: the state and tokens they lead to
         self.unkept = 0
 
     def _halves(self, token: int) -> tuple[int, int] | None:
@@ -162,7 +165,7 @@ class Transducer:
         return open_at.pop()
 
     def run(self, data: bytes) -> list[int]:
-        if self.unkept > 8 * STATES:
+        if self.unkept > 13 * STATES:
             self._restart()
         out: list[int] = []
         ended: list[int] = []  # the token that ends with each byte not yet given
@@ -173,7 +176,7 @@ class Transducer:
             if known is None:
                 state, pairs = self._read(head, state, pairs, ended)
                 if state >= 0 and len(self.heads) < STATES:
-                    self.heads[head] = state, ended[:]
+                    self.heads[head] = state, tuple(map(self.own.__getitem__, ended))
             else:
                 state, begun = known
                 pairs = self.states[state]
@@ -348,7 +351,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             held["encoder"] = Encoder(held["ranks"], held["pattern"], held["basic"])
         enc = held["encoder"]
         bytes_of = enc.fst.bytes_of
-        for b in chunks(batches):
+        for b in chunks(batches, at_once=AT_ONCE):
             ids = [enc.encode(t) for t in b.column(1).to_pylist()]
             decoded = ["".join(decode_stream(x.tolist(), bytes_of)) for x in ids]
             yield pa.RecordBatch.from_arrays(
