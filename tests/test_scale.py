@@ -107,3 +107,13 @@ def test_small_nodes_gain_as_much_as_in_one_deep_fit(spark):
     assert got.keys() == want.keys()
     for k in want:  # held rows may go another way where several features split alike
         assert abs(got[k] - want[k]) < 1e-3, (k, got[k], want[k])
+
+
+def test_dedup_deals_rows_to_as_many_tasks_as_they_need(spark):
+    from skyledger.operators.quality import clean_dedup
+    df = spark.range(600).selectExpr("id % 200 a", "if(id % 3 = 0, null, 'x') b", "cast(id % 7 as decimal(12,2)) c")
+    many = clean_dedup(df, num_partitions=20)
+    assert ", 20)" in many._jdf.queryExecution().executedPlan().toString()
+    assert many.exceptAll(df.distinct()).count() == 0 and many.count() == df.distinct().count()
+    assert clean_dedup(df, ["a"], num_partitions=20).count() == 200
+    assert ", 2)" not in clean_dedup(df, num_partitions=2)._jdf.queryExecution().executedPlan().toString()
