@@ -117,3 +117,20 @@ def test_dedup_deals_rows_to_as_many_tasks_as_they_need(spark):
     assert many.exceptAll(df.distinct()).count() == 0 and many.count() == df.distinct().count()
     assert clean_dedup(df, ["a"], num_partitions=20).count() == 200
     assert ", 2)" not in clean_dedup(df, num_partitions=2)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_count_values_in_as_many_tasks_as_their_rows_need(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("id % 2 g", "if(id % 10 = 0, null, cast(pmod(id * 7919, 3001) as double)) x")
+    few = {r.g: r.m for r in ranking.exact_quantiles(df, "x", [0.5], ["m"], ["g"]).collect()}
+    tasks, old = [], spark.conf.get("spark.sql.shuffle.partitions")
+    checkpoint = type(df).checkpoint
+
+    def noted(self, *a, **b):
+        tasks.append((self.rdd.getNumPartitions(), spark.conf.get("spark.sql.shuffle.partitions")))
+        return checkpoint(self, *a, **b)
+
+    monkeypatch.setattr(type(df), "checkpoint", noted)
+    monkeypatch.setattr(ranking, "ROWS_PER_TASK", 100)
+    many = {r.g: r.m for r in ranking.exact_quantiles(df, "x", [0.5], ["m"], ["g"]).collect()}
+    assert tasks == [(30, "30")] and spark.conf.get("spark.sql.shuffle.partitions") == old
+    assert many == few and len(many) == 2
