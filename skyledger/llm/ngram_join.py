@@ -54,6 +54,8 @@ BLOCK = 2048
 #: A list longer than this is dealt out by set id; each part has a star of its
 #: own, and components of different parts meet as those of one list do.
 LIST_PART = 1_000_000
+#: Rows of list keys that are broadcast at most.
+FEW = 500_000
 
 
 def shingle_sets(column: pa.Array, table: WordHashes, words: int = WORDS) -> list[np.ndarray]:
@@ -243,6 +245,11 @@ def _may_link(shared: Column, a: str, b: str, limit: int) -> Column:
     return _sizes_fit(a, b) & ((F.least(a, b) < limit) | (shared + left >= _need(a, b)))
 
 
+def _side(keys: DataFrame) -> DataFrame:
+    """``keys`` of lists, to be joined with all entries: broadcast if few, so that the entries stay where they are."""
+    return F.broadcast(keys) if keys.limit(FEW + 1).count() <= FEW else keys
+
+
 def _dealt(entry: DataFrame, block: int) -> DataFrame:
     """``entry`` with blk, a, b: what is to be held against each other meets
     under one (key, a, b). Lists up to ``block`` members stay whole. Of a longer
@@ -253,11 +260,11 @@ def _dealt(entry: DataFrame, block: int) -> DataFrame:
     long = entry.groupBy("key").agg(F.count("*").alias("all"), F.min("root").alias("least"), F.max("root").alias("most")) \
         .filter(F.col("all") > block).withColumn("mixed", F.col("least") != F.col("most")).select("key", "all", "mixed")
     long = stored(long, "long-lists")
-    main = entry.join(long.filter("mixed").select("key", "all"), "key").groupBy("key", "root", "all").agg(F.count("*").alias("mine")) \
+    main = entry.join(_side(long.filter("mixed").select("key", "all")), "key").groupBy("key", "root", "all").agg(F.count("*").alias("mine")) \
         .groupBy("key", "all").agg(F.max(F.struct("mine", "root")).alias("m")) \
         .select("key", F.col("m.root").alias("main"), F.ceil(F.col("m.mine") / block).cast("int").alias("mains"),
                 F.ceil((F.col("all") - F.col("m.mine")) / block).cast("int").alias("others"))
-    plan = long.join(main, "key", "left")
+    plan = _side(long.join(main, "key", "left"))
     zero = F.lit(0)
     at = F.xxhash64("sid")
     blk = F.when(F.col("mixed").isNull(), zero).when(
@@ -297,7 +304,7 @@ def _pairs_of(key: list[np.ndarray], root: np.ndarray, blk: np.ndarray, n: np.nd
 
 
 def _meeting(entry: DataFrame, nearest: bool, block: int) -> DataFrame:
-    """u, v, un, vn, up, vp, differ: members of one list and of different
+    """key, u, v, un, vn, up, vp, differ: members of one list and of different
     components that no bound keeps apart; ``nearest``: of each member and list
     only the one that differs least in its bits, so no more rows than members.
     Sorted lists are read in a stream that holds two blocks at most."""
@@ -314,8 +321,8 @@ def _meeting(entry: DataFrame, nearest: bool, block: int) -> DataFrame:
                 x = np.flatnonzero(best < np.iinfo(np.int64).max)
                 found = [(x, best[x] & 0xFFFFFFFF, best[x] >> 32)]
             for x, y, differ in found:
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (sid[x], sid[y], n[x], n[y], pos[x], pos[y], differ)],
-                                                 ["u", "v", "un", "vn", "up", "vp", "differ"])
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (col["key"][x], sid[x], sid[y], n[x], n[y], pos[x], pos[y], differ)],
+                                                 ["key", "u", "v", "un", "vn", "up", "vp", "differ"])
 
         held: list[pa.RecordBatch] = []  # of the group under way
         for b in batches:
@@ -336,7 +343,7 @@ def _meeting(entry: DataFrame, nearest: bool, block: int) -> DataFrame:
 
     n = int(entry.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = _dealt(entry, block).repartition(n, "key", "a", "b").sortWithinPartitions("key", "a", "b")
-    return dealt.mapInArrow(run, "u long, v long, un int, vn int, up int, vp int, differ long")
+    return dealt.mapInArrow(run, "key long, u long, v long, un int, vn int, up int, vp int, differ long")
 
 
 def _nearest(meeting: DataFrame) -> DataFrame:
@@ -459,13 +466,17 @@ def _rooted(docs: DataFrame, list_part: int = LIST_PART, block: int = BLOCK) ->
     edges = stored(_linked(close, _sets(docs, members, _ends(close))), "links")
     roots = components(edges)
 
-    # Members of one list that are still apart: first each with its nearest, then all that are left.
+    # Members of one list that are still apart: first each with its nearest, then all that are left. Lists
+    # without two that no bound keeps apart have none later either, so only the others are read again.
     entry = lists.filter("sid != hub").select("key", "sid", "n", "pos").unionByName(
         lists.select("key", F.col("hub").alias("sid"), F.col("hub_n").alias("n"), F.col("hub_pos").alias("pos")).distinct())
+    entry = entry.join(bits, "sid")
     for nearest in (True, False):
-        now = stored(entry.join(bits, "sid").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
-                     .withColumn("root", F.coalesce("root", "sid")), "entries")
-        meeting = _meeting(now, nearest, block)
+        entry = stored(entry.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "entries")
+        meeting = _meeting(entry, nearest, block)
+        if nearest:
+            meeting = stored(meeting.select("key", "u", "v", "differ"), "nearest")
+            entry = entry.drop("root").join(_side(stored(meeting.select("key").distinct(), "live-lists")), "key", "left_semi")
         pairs = stored((_nearest(meeting) if nearest else _candidates(meeting)).join(tried, ["u", "v"], "left_anti"), "cross-pairs")
         close = _close(pairs, members)
         found = stored(_linked(close, _sets(docs, members, _ends(close))), "links")
