@@ -15,7 +15,8 @@ pairs of tokens and kept pieces are bounded (STATES, PAIRS, PIECES): once the
 table is full, further states are computed and not kept, also within a piece,
 and it is built anew after many of those, so a worker's memory is the same for
 any text. Every piece of the split pattern is a run of its own; a piece that is
-a token itself is that token, as in the tiktoken library.
+a token itself is that token, as in the tiktoken library. The new pieces of a
+batch of texts read the table together, a byte of each at a time.
 
 Defined results: null text encodes as the empty text (no ids). Texts that
 look like special tokens are ordinary text. Any row is handled by itself, so
@@ -28,6 +29,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +41,9 @@ from .common import chunks, lists
 #: Bounds of a worker's tables: deterministic states, checked pairs of tokens,
 #: pieces in each of two generations, and bytes of a piece between settlements.
 #: An executor may keep idle workers from earlier stages; each that gets a task holds its own tables.
-STATES, PAIRS, PIECES, LAG = 60_000, 80_000, 130_000, 1024
+STATES, PAIRS, PIECES, LAG = 100_000, 80_000, 100_000, 1024
 AT_ONCE = 1_000_000  # bytes of text a worker encodes together
-HEAD = 6  # bytes of a piece that are looked up at once
+SHORT = 32  # characters of a piece that is kept
 NODE = TOKEN = 20  # bits
 NODES = TOKENS = (1 << NODE) - 1
 
@@ -51,6 +53,49 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+class Moves:
+    """At most ``most`` transitions: whole numbers by whole numbers from 0, in two
+    flat arrays, looked up one by one or many together."""
+
+    ODD, ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+    def __init__(self, most: int):
+        self.bits = max(4, (2 * most - 1).bit_length())
+        self.keys, self.values = (array("q", bytes(8 << self.bits)) for _ in range(2))  # a key is held plus one, 0: none
+        self.n = 0
+
+    def __len__(self) -> int:
+        return self.n
+
+    def _slot(self, key: int) -> int:
+        slot, keys = (key * self.ODD & self.ALL) >> (64 - self.bits), self.keys
+        while keys[slot] and keys[slot] != key + 1:
+            slot = (slot + 1) & (1 << self.bits) - 1
+        return slot
+
+    def get(self, key: int) -> int:
+        """Its value, -1 if there is none."""
+        slot = self._slot(key)
+        return self.values[slot] if self.keys[slot] else -1
+
+    def __setitem__(self, key: int, value: int) -> None:
+        slot = self._slot(key)
+        self.n += not self.keys[slot]
+        self.keys[slot], self.values[slot] = key + 1, value
+
+    def of(self, key: np.ndarray) -> np.ndarray:
+        keys, values = np.frombuffer(self.keys, np.int64), np.frombuffer(self.values, np.int64)
+        slot = ((key.astype(np.uint64) * np.uint64(self.ODD)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        out, open_ = np.full(len(key), -1), np.arange(len(key))
+        while len(open_):
+            met = keys[slot]
+            hit = met == key + 1
+            out[open_[hit]] = values[slot[hit]]
+            on = ~hit & (met != 0)
+            open_, key, slot = open_[on], key[on], (slot[on] + 1) & (1 << self.bits) - 1
+        return out
+
+
 class Transducer:
     """Tokens of a byte string under ``ranks``; states are built when met."""
 
@@ -76,7 +121,7 @@ class Transducer:
         if len(self.ends) >= 1 << NODE or len(self.bytes_of) >= 1 << TOKEN:
             raise ValueError("the vocabulary is too large")
         self.size = [len(x) for x in self.bytes_of]
-        self.own = list(range(len(self.bytes_of)))  # one int object a token, shared by all heads
+        self.sizes = np.array(self.size, np.int64)
         self.pairs: dict[int, bool] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
         self._restart()
@@ -84,8 +129,7 @@ class Transducer:
     def _restart(self) -> None:
         self.states: list[tuple[int, ...]] = [(0,)]  # pairs: (last token + 1) << NODE | node
         self.number = {self.states[0]: 0}
-        self.moves: dict[int, int] = {}  # state and byte: next state << TOKEN | the token that ends there
-        self.heads: dict[bytes, tuple[int, tuple[int, ...]]] = {}  # first HEAD bytes of a run: the state and tokens they lead to
+        self.moves = Moves(4 * STATES)  # state and byte: next state << TOKEN | the token that ends there
         self.unkept = 0
 
     def _halves(self, token: int) -> tuple[int, int] | None:
@@ -169,20 +213,8 @@ class Transducer:
             self._restart()
         out: list[int] = []
         ended: list[int] = []  # the token that ends with each byte not yet given
-        state, pairs, begin = 0, self.states[0], 0
-        if len(data) > HEAD:
-            head = data[:HEAD]
-            known = self.heads.get(head)
-            if known is None:
-                state, pairs = self._read(head, state, pairs, ended)
-                if state >= 0 and len(self.heads) < STATES:
-                    self.heads[head] = state, tuple(map(self.own.__getitem__, ended))
-            else:
-                state, begun = known
-                pairs = self.states[state]
-                ended += begun
-            begin = HEAD
-        for at in range(begin, len(data), LAG):
+        state, pairs = 0, self.states[0]
+        for at in range(0, len(data), LAG):
             state, pairs = self._read(data[at:at + LAG], state, pairs, ended)
             if at + LAG < len(data):
                 upto = self._settled(pairs, ended)
@@ -192,32 +224,90 @@ class Transducer:
 
     def _read(self, data: bytes, state: int, pairs: tuple[int, ...], ended: list[int]) -> tuple[int, tuple[int, ...]]:
         """State (-1: not among those kept) and pairs after ``data``; adds to ``ended``."""
-        states, number, moves = self.states, self.number, self.moves
-        get, add = moves.get, ended.append
+        states, number = self.states, self.number
+        get, add = self.moves.get, ended.append
         rest = iter(data)
         for byte in rest:
-            step = get(state << 8 | byte) if state >= 0 else None
-            if step is not None:
+            step = get(state << 8 | byte) if state >= 0 else -1
+            if step >= 0:
                 add(step & TOKENS)
                 state = step >> TOKEN
                 continue
             pairs, token = self._next(states[state] if state >= 0 else pairs, byte)
             add(token)
-            target = number.get(pairs, -1)
-            if target < 0:
-                if len(states) >= STATES:  # what follows is mostly not kept either
-                    self.unkept += 1
-                    for byte in rest:
-                        pairs, token = self._next(pairs, byte)
-                        add(token)
-                    return number.get(pairs, -1), pairs
-                target = number[pairs] = len(states)
-                states.append(pairs)
-            if state >= 0 and len(moves) < 4 * STATES:
-                moves[state << 8 | byte] = target << TOKEN | token
+            target = self._kept(state, byte, pairs, token)
+            if target < 0:  # what follows is mostly not kept either
+                self.unkept += 1
+                for byte in rest:
+                    pairs, token = self._next(pairs, byte)
+                    add(token)
+                return number.get(pairs, -1), pairs
             state = target
         return state, states[state] if state >= 0 else pairs
 
+    def _kept(self, state: int, byte: int, pairs: tuple[int, ...], token: int) -> int:
+        """The number of the state ``pairs``, met after ``state`` and ``byte``; -1 if the table is full."""
+        target = self.number.get(pairs, -1)
+        if target < 0:
+            if len(self.states) >= STATES:
+                return -1
+            target = self.number[pairs] = len(self.states)
+            self.states.append(pairs)
+        if state >= 0 and len(self.moves) < 4 * STATES:
+            self.moves[state << 8 | byte] = target << TOKEN | token
+        return target
+
+    def run_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed tokens of short pieces, which read the table together."""
+        if self.unkept > 13 * STATES:
+            self._restart()
+        if not pieces:
+            return []
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        raw = b"".join(pieces)
+        data, begin = np.frombuffer(raw, np.uint8), np.cumsum(size) - size
+        ended, state = np.zeros(len(data), np.int64), np.zeros(len(pieces), np.int64)
+        live, k = np.arange(len(pieces)), 0
+        while len(live := live[size[live] > k]):
+            at = begin[live] + k
+            key = state[live] << 8 | data[at]
+            step = self.moves.of(key)
+            new = np.flatnonzero(step < 0)
+            if len(new):
+                ways, which = np.unique(key[new], return_inverse=True)
+                after = [self._next(self.states[way >> 8], way & 255) for way in ways.tolist()]
+                target = [self._kept(way >> 8, way & 255, *x) for way, x in zip(ways.tolist(), after)]
+                step[new] = np.array([t << TOKEN | token if t >= 0 else -1 for t, (_, token) in zip(target, after)])[which]
+                for i in np.flatnonzero(step[new] < 0).tolist():  # the table is full: each such piece by itself
+                    (pairs, token), lane, self.unkept = after[which[i]], int(live[new[i]]), self.unkept + 1
+                    first = int(at[new[i]])
+                    rest = [token]
+                    for byte in raw[first + 1:int(begin[lane] + size[lane])]:
+                        pairs, token = self._next(pairs, byte)
+                        rest.append(token)
+                    ended[first:first + len(rest)] = rest
+                on = step >= 0
+                live, at, step = live[on], at[on], step[on]
+            ended[at] = step & TOKENS
+            state[live] = step >> TOKEN
+            k += 1
+        # the tokens, from the last back
+        left, count = size.copy(), np.zeros(len(pieces), np.int64)
+        lanes, tokens = [], []
+        live = np.arange(len(pieces))
+        while len(live := live[left[live] > 0]):
+            token = ended[begin[live] + left[live] - 1]
+            left[live] -= self.sizes[token]
+            count[live] += 1
+            lanes.append(live)
+            tokens.append(token)
+        ends = np.cumsum(count)
+        out = np.empty(int(ends[-1]), np.int32)
+        for t, (lane, token) in enumerate(zip(lanes, tokens)):
+            out[ends[lane] - 1 - t] = token
+        packed, cuts = out.tobytes(), [0, *(4 * ends).tolist()]
+        return [packed[x:y] for x, y in zip(cuts, cuts[1:])]
+
     def _path(self, ended: list[int], at: int) -> list[int]:
         """Tokens of the encoding that ends at ``at``."""
         path, size = [], self.size
@@ -292,15 +382,30 @@ class Encoder(dict):
             data = piece.encode()
             whole = self.ranks.get(data)
             packed = array("i", self.fst.run(data) if whole is None else (whole,)).tobytes()
-        if len(piece) <= 32:
+        self._keep(piece, packed)
+        return packed
+
+    def _keep(self, piece: str, packed: bytes) -> None:
+        if len(piece) <= SHORT:
             if len(self) >= PIECES:
                 self.older = dict(self)
                 self.clear()
             self[piece] = packed
-        return packed
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text. Short pieces not met lately run together first."""
+        split = [self.pieces(t) if t else [] for t in texts]
+        older = self.older
+        new = [p for p in set(chain.from_iterable(split)) if len(p) <= SHORT and p not in self and p not in older]
+        data = [p.encode() for p in new]
+        whole = [self.ranks.get(x) for x in data]
+        run = iter(self.fst.run_all([x for x, rank in zip(data, whole) if rank is None]))
+        for piece, rank in zip(new, whole):
+            self._keep(piece, next(run) if rank is None else array("i", (rank,)).tobytes())
+        return [np.frombuffer(b"".join(map(self.__getitem__, x)), np.int32) for x in split]
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, self.pieces(text))) if text else b"", np.int32)
+        return self.encode_all([text])[0]
 
 
 class Utf8Stream:
@@ -352,7 +457,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         enc = held["encoder"]
         bytes_of = enc.fst.bytes_of
         for b in chunks(batches, at_once=AT_ONCE):
-            ids = [enc.encode(t) for t in b.column(1).to_pylist()]
+            ids = enc.encode_all(b.column(1).to_pylist())
             decoded = ["".join(decode_stream(x.tolist(), bytes_of)) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), lists(np.concatenate(ids), [len(x) for x in ids], pa.int32()),
