@@ -47,6 +47,7 @@ from .common import WordHashes, chunks, grams, mix64, row_key, signed, stored
 from .components import components
 
 WORDS, PERCENT, SKETCH, BITMAP = 5, 80, 17, 23
+AT_ONCE = 1_000_000  # bytes of text a worker cuts together
 #: Parity bits of a set, in longs of 64.
 BITS = [f"bits{i}" for i in range(4)]
 #: Members of a list that are held against each other in one task.
@@ -118,7 +119,7 @@ def _documents(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         from pyspark import TaskContext
         table, counters = WordHashes(), np.zeros(1 << SKETCH, np.int64)
         names = ["doc_id", "row", "n", "sid", "sketch", *BITS, "part", "task", "counters"]
-        for b in chunks(batches):
+        for b in chunks(batches, at_once=AT_ONCE):
             sets = shingle_sets(b.column(2), table)
             counters += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH)).astype(np.int64), minlength=1 << SKETCH)
             n, none = b.num_rows, pa.nulls(b.num_rows, pa.int32())
@@ -159,7 +160,7 @@ def _entries(docs: DataFrame, counters: np.ndarray, limit: int, list_part: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, count, seen = WordHashes(), shared.value, set()
-        for b in chunks(batches):
+        for b in chunks(batches, at_once=AT_ONCE):
             key, part, sid, size, pos = [], [], [], [], []
             for s in shingle_sets(b.column(0), table):
                 n = len(s)
@@ -425,7 +426,7 @@ def _sets(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bits = WordHashes(), shared.value
-        for b in chunks(batches):
+        for b in chunks(batches, at_once=AT_ONCE):
             at = np.asarray(b.column(0)) & ((1 << BITMAP) - 1)
             b = b.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0))
             if b.num_rows:

@@ -29,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, lists, mix64, row_key, stored
+from .common import WORDS_KEPT, chunks, lists, mix64, row_key, stored
 
 MIN_SENTENCES, MIN_WORDS, LONG, WINDOW = 3, 16, 24, 8
 #: Slots (2^BITMAP) of the bitmap of hashes that repeat; others that share a slot go on and are dropped by the join.
 BITMAP = 25
+AT_ONCE = 1_000_000  # bytes of text a worker cuts together
 
 _ENDS = re.compile(r"[.!?。！？｡]+[\"'»”’)\]]*\s+|[.!?]*[。！？｡][.!?。！？｡]*[\"'»”’)\]」』）】》〉]*\s*|\s*\n\s*")
 #: Letters of scripts without blanks (Thai, Lao, Tibetan, Myanmar, Khmer, kana,
@@ -69,7 +70,7 @@ class _Hashes(dict):
 
     def __missing__(self, word: str) -> int:
         import xxhash
-        if len(self) > 400_000:
+        if len(self) >= WORDS_KEPT:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word.strip().lower())
         return h
@@ -140,7 +141,7 @@ def _spans(docs: DataFrame) -> DataFrame:
     """row, n (sentences), spans (first occurrence in the text of each hash)
     and again (spans that occurred earlier in the same text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches):
+        for b in chunks(batches, at_once=AT_ONCE):
             sizes, cols, n_again, again = [], [], [], []
             counts = []
             for text in b.column(2).to_pylist():

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, lists, stored
+from .common import WORDS_KEPT, chunks, lists, stored
 
 #: Bounds of what is fitted on the driver.
 SAMPLE_PER_CLASS, MAX_TERMS, SLOTS = 4000, 1 << 16, 1 << 14
@@ -185,13 +185,14 @@ class _Terms(dict):
 
     def __init__(self, terms: np.ndarray, fitted: int):
         super().__init__()
-        self.row, self.fitted = {int(t): i for i, t in enumerate(terms)}, fitted
+        self.own = list(range(fitted))  # one int object a row, shared by all words
+        self.row, self.fitted = dict(zip(terms.tolist(), self.own)), fitted
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > 500_000:
+        if len(self) >= 2 * WORDS_KEPT:
             self.clear()
         n = len(self.row)
-        hit = self[word] = tuple(self.row.get(t, n + t % SLOTS) for t in terms_of(word)) if self.fitted else ()
+        hit = self[word] = tuple(self.row.get(t, self.own[n + t % SLOTS]) for t in terms_of(word)) if self.fitted else ()
         return hit
 
 

@@ -1,11 +1,16 @@
 """Work and memory of tasks: pieces encoded together, tables of a worker, sketches that needn't travel."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import public_tokenizers
 import pytest
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 @pytest.mark.parametrize("states", [40, 100_000])
 def test_short_pieces_of_a_batch_read_the_table_together(monkeypatch, states):
@@ -35,3 +40,51 @@ def test_moves_equal_a_dict():
     asked = [*known, *range(1, 300)]
     assert len(moves) == len(known)
     assert [moves.get(k) for k in asked] == moves.of(np.array(asked)).tolist() == [known.get(k, -1) for k in asked]
+
+
+GROWTH = """
+import os
+import random
+import subprocess
+import sys
+from skyledger.llm import common, spans, toxicity
+
+def rss():
+    return next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith("RssAnon")) / 1024
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+r = random.Random(3)
+some = lambda: ("".join(r.choices("etaoinshrdlu", k=9)) for _ in range(390_000))
+began = rss()
+{}
+print(rss() - began)
+"""
+TABLES = {
+    "hashes": "t = common.WordHashes()\nfor x in some(): t[x.encode()]",
+    "spans": "for x in some(): spans._HASHES[x]",
+    "toxicity": "t = toxicity._Terms(np.arange(65536), 65536 + toxicity.SLOTS)\nfor x in some(): t[x.encode()]",
+}
+
+
+@pytest.mark.parametrize("table, most", [("hashes", 40), ("spans", 40), ("toxicity", 100)])
+def test_tables_of_words_stay_small(table, most):
+    done = subprocess.run([sys.executable, "-c", GROWTH.format(TABLES[table])], cwd=ROOT, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    assert float(done.stdout) < most  # MB; several idle workers of an executor may hold tables
+
+
+def test_stages_get_small_batches(spark, folders):
+    import corpus_pipeline
+    from skyledger.llm.common import ROWS_AT_ONCE
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    try:
+        for given, kept in (("10000", str(ROWS_AT_ONCE)), ("77", "77")):
+            for _, stage in corpus_pipeline.STAGES[1:3]:
+                spark.conf.set(name, given)
+                stage(spark, spark.read.parquet(f"{folders[1]}/documents.parquet"), folders[1])
+                assert spark.conf.get(name) == kept
+    finally:
+        spark.conf.set(name, old)
