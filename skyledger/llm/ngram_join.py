@@ -367,9 +367,34 @@ def _candidates(meeting: DataFrame) -> DataFrame:
                                           >= _need("un", "vn"))).select("u", "v")
 
 
+def _bitmap(keys: DataFrame, name: str) -> np.ndarray:
+    """Slots of the longs ``name``; others that share a slot are dropped by the join that follows."""
+    slot = F.col(name).bitwiseAND((1 << BITMAP) - 1)
+    marks = keys.select(F.shiftright(slot, 3).alias("byte"), F.expr(f"shiftleft(1, cast({name} & 7 as int))").alias("bit")) \
+        .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(BITMAP - 3) rows
+    bitmap = np.zeros(1 << (BITMAP - 3), np.uint8)
+    if marks.num_rows:
+        bitmap[np.asarray(marks.column("byte").combine_chunks())] = np.asarray(marks.column("bits").combine_chunks())
+    return bitmap
+
+
+def _hits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & ((1 << BITMAP) - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
 def _close(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Those of ``pairs`` that the sketches don't keep apart: what is left for
-    the exact check, and for the tokens to travel."""
+    the exact check, and for the tokens to travel. A fixed-size bitmap of the
+    pairs' ends spares the other members' sketches the shuffle."""
+    ends = _ends(pairs).distinct()
+    shared = pairs.sparkSession.sparkContext.broadcast(_bitmap(ends, "sid"))
+
+    def may(sid: pa.Array) -> pa.Array:
+        return pa.array(_hits(shared.value, np.asarray(sid.fill_null(0))))
+
+    may.__annotations__ = {"sid": pa.Array, "return": pa.Array}  # read when the function is declared
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             total = np.asarray(b.column(2)).astype(np.int64) + np.asarray(b.column(4))
@@ -381,7 +406,8 @@ def _close(pairs: DataFrame, members: DataFrame) -> DataFrame:
                 differ[i] = np.bitwise_count(x ^ y).sum()
             yield b.select(["u", "v"]).filter(pa.array((100 + PERCENT) * differ <= (100 - PERCENT) * total))
 
-    known = members.filter(F.col("sid").isNotNull()).join(_ends(pairs).distinct(), "sid").groupBy("sid").agg(
+    few = members.select("sid", "n", "sketch").filter(F.col("sid").isNotNull()).filter(F.arrow_udf(may, "boolean")("sid"))
+    known = few.join(ends, "sid").groupBy("sid").agg(
         F.first("n").alias("n"), F.first("sketch").alias("sketch"))  # equal sets have equal sketches
     both = pairs
     for end in ("u", "v"):
@@ -414,21 +440,13 @@ def _sets(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
     """sid, tokens of the ``wanted`` sets, computed anew from one text each. A
     fixed-size bitmap of their rows spares the other texts the work and the
     shuffle; false hits are dropped by the join."""
-    spark = docs.sparkSession
     reps = members.join(wanted.select("sid").distinct(), "sid").groupBy("sid").agg(F.min("row").alias("row"))
-    slot = F.col("row").bitwiseAND((1 << BITMAP) - 1)
-    marks = reps.select(F.shiftright(slot, 3).alias("byte"), F.expr("shiftleft(1, cast(row & 7 as int))").alias("bit")) \
-        .groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(BITMAP - 3) rows
-    bitmap = np.zeros(1 << (BITMAP - 3), np.uint8)
-    if marks.num_rows:
-        bitmap[np.asarray(marks.column("byte").combine_chunks())] = np.asarray(marks.column("bits").combine_chunks())
-    shared = spark.sparkContext.broadcast(bitmap)
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(reps, "row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bits = WordHashes(), shared.value
         for b in chunks(batches, at_once=AT_ONCE):
-            at = np.asarray(b.column(0)) & ((1 << BITMAP) - 1)
-            b = b.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0))
+            b = b.filter(pa.array(_hits(bits, np.asarray(b.column(0)))))
             if b.num_rows:
                 sets = shingle_sets(b.column(1), table)
                 yield pa.RecordBatch.from_arrays(

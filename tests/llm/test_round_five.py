@@ -88,3 +88,25 @@ def test_stages_get_small_batches(spark, folders):
                 assert spark.conf.get(name) == kept
     finally:
         spark.conf.set(name, old)
+
+
+def test_only_sketches_of_pairs_travel(spark, monkeypatch):
+    from skyledger.llm import ngram_join as N
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
+    sets = [base, base[1:], rng.integers(0, 1 << 63, 300).astype(np.uint64), *rng.integers(0, 1 << 63, (2000, 4)).astype(np.uint64)]
+    ids = [N.set_id(s) for s in sets]
+    rows = [(i, len(s), bytearray(N.sketch(s))) for i, s in zip(ids, sets)] + [(ids[0], len(base), bytearray(N.sketch(base))), (None, 0, None)]
+    members = spark.createDataFrame(rows, "sid long, n int, sketch binary")
+    met, join = [], type(members).join
+
+    def noted(self, *args, **named):
+        if self.columns == ["sid", "n", "sketch"]:
+            met.append(self.count())
+        return join(self, *args, **named)
+
+    monkeypatch.setattr(type(members), "join", noted)
+    pairs = spark.createDataFrame([(ids[0], ids[1]), (ids[0], ids[2])], "u long, v long")
+    assert [tuple(r) for r in N._close(pairs, members).collect()] == [(ids[0], ids[1])]
+    assert len(met) == 1 and 4 <= met[0] < 20
+    assert N._close(pairs.limit(0), members).count() == 0
