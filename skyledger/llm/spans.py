@@ -8,7 +8,7 @@ apart. In scripts without blanks each letter counts as a word. A span is the sho
 MIN_WORDS words that begins, or that ends, at a sentence. Spans are hashed and
 joined globally: one hash of each is counted first, a bitmap of fixed size of
 those that repeat then spares most others the shuffle, and what is left is
-joined by two hashes. Sentences covered by a span that occurred before (in a lower
+joined by two hashes of 96 bits together. Sentences covered by a span that occurred before (in a lower
 doc_id, or earlier in its own text) are removed, the rest is kept as it is.
 
 Defined results: null and empty texts have no sentences and stay; texts too
@@ -138,8 +138,8 @@ def span_hashes(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 
 def _spans(docs: DataFrame) -> DataFrame:
-    """row, n (sentences), spans (first occurrence in the text of each hash)
-    and again (spans that occurred earlier in the same text)."""
+    """row, n (sentences), spans (first occurrence in the text of each hash; of
+    the second hash the lower 32 bits, which halves what it takes on disk) and again (spans that occurred earlier in the same text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, at_once=AT_ONCE):
             sizes, cols, n_again, again = [], [], [], []
@@ -161,7 +161,7 @@ def _spans(docs: DataFrame) -> DataFrame:
                 n_again.append(int((~new).sum()))
             flat = np.concatenate([np.empty((4, 0), np.int64), *cols], 1)
             rest = np.concatenate([np.empty((2, 0), np.int64), *again], 1)
-            kept = pa.StructArray.from_arrays([pa.array(flat[0]), pa.array(flat[1]), pa.array(flat[2], pa.int32()),
+            kept = pa.StructArray.from_arrays([pa.array(flat[0]), pa.array(flat[1].astype(np.int32)), pa.array(flat[2], pa.int32()),
                                                pa.array(flat[3], pa.int32())], ["h1", "h2", "begin", "end"])
             twice = pa.StructArray.from_arrays([pa.array(rest[k], pa.int32()) for k in (0, 1)], ["begin", "end"])
             ends = lambda s: pa.array(np.concatenate([[0], np.cumsum(s)]).astype(np.int32))
@@ -170,7 +170,7 @@ def _spans(docs: DataFrame) -> DataFrame:
                  pa.ListArray.from_arrays(ends(n_again), twice)], ["doc_id", "row", "n", "spans", "again"])
 
     return docs.select("doc_id", row_key().alias("row"), "text").mapInArrow(
-        run, "doc_id long, row long, n int, spans array<struct<h1: bigint, h2: bigint, begin: int, end: int>>, "
+        run, "doc_id long, row long, n int, spans array<struct<h1: bigint, h2: int, begin: int, end: int>>, "
              "again array<struct<begin: int, end: int>>")
 
 
@@ -203,7 +203,7 @@ def _likely(found: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).take(of), b.column(1).take(of), *[flat.field(c).take(at) for c in ("h1", "h2", "begin", "end")]],
                                              ["doc_id", "row", "h1", "h2", "begin", "end"])
 
-    return found.select("doc_id", "row", "spans").mapInArrow(run, "doc_id long, row long, h1 long, h2 long, begin int, end int")
+    return found.select("doc_id", "row", "spans").mapInArrow(run, "doc_id long, row long, h1 long, h2 int, begin int, end int")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -227,7 +227,8 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     sentences, n_sentences and n_removed, for every row of ``docs``."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
     plain = docs.select("doc_id", "text")
-    keyed = docs.select(own, "text", row_key().alias("row")).join(repeated_spans(plain), "row")
+    keyed = docs.select(own, row_key().alias("row")).join(repeated_spans(plain), "row")  # a text travels once, in ``own``
+    whole = F.col("own.text")
 
     def run(texts: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
         kept, gone = [], []
@@ -241,7 +242,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
 
     run.__annotations__ = {"texts": pa.Array, "begins": pa.Array, "ends": pa.Array, "return": pa.Array}  # read when the function is declared
     some = F.col("remove").isNotNull()
-    cut = F.arrow_udf(run, "struct<text: string, gone: bigint>")(F.when(some, F.col("text")), F.col("remove.begin"), F.col("remove.end"))
+    cut = F.arrow_udf(run, "struct<text: string, gone: bigint>")(F.when(some, whole), F.col("remove.begin"), F.col("remove.end"))
     return keyed.withColumn("cut", cut).select(
-        "own", F.when(some, F.col("cut.text")).otherwise(F.col("text")).alias("text"),
+        "own", F.when(some, F.col("cut.text")).otherwise(whole).alias("text"),
         F.col("n").cast("long").alias("n_sentences"), F.col("cut.gone").alias("n_removed"))
