@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, lists
+from .common import chunks, lean, lists
 
 #: Bounds of a worker's tables: deterministic states, checked pairs of tokens,
 #: pieces in each of two generations, and bytes of a piece between settlements.
@@ -450,6 +450,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(
         {"ranks": read_ranks(ranks_path), "pattern": pattern, "basic": basic_plane(pattern)})
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value  # one object for all tasks of a Python worker
         if "encoder" not in held:

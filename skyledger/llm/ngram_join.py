@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunks, grams, mix64, row_key, signed, stored
+from .common import WordHashes, chunks, grams, lean, mix64, row_key, signed, stored
 from .components import components
 
 WORDS, PERCENT, SKETCH, BITMAP = 5, 80, 17, 23
@@ -115,6 +115,7 @@ def _documents(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, row, n, sid, sketch and parity bits of every row; the token counters) in one pass over the texts."""
     parts = 64
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         table, counters = WordHashes(), np.zeros(1 << SKETCH, np.int64)
@@ -158,6 +159,7 @@ def _entries(docs: DataFrame, counters: np.ndarray, limit: int, list_part: int)
     that may match a larger one by tokens too. part: 0 unless the list is split."""
     shared = docs.sparkSession.sparkContext.broadcast(counters)  # 2^SKETCH counters
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, count, seen = WordHashes(), shared.value, set()
         for b in chunks(batches, at_once=AT_ONCE):
@@ -200,6 +202,7 @@ def _lists(entries: DataFrame) -> DataFrame:
     every further member of a list of two or more, and for every member of a
     part of a split list. Sorted lists are read in a stream, so a long one
     needs no memory."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # key, part, hub, n, pos, last sid of the list under way
         for b in batches:
@@ -309,6 +312,7 @@ def _meeting(entry: DataFrame, nearest: bool, block: int) -> DataFrame:
     components that no bound keeps apart; ``nearest``: of each member and list
     only the one that differs least in its bits, so no more rows than members.
     Sorted lists are read in a stream that holds two blocks at most."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             col = {c: t.column(c).to_numpy(zero_copy_only=False) for c in t.schema.names}
@@ -395,6 +399,7 @@ def _close(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
     may.__annotations__ = {"sid": pa.Array, "return": pa.Array}  # read when the function is declared
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             total = np.asarray(b.column(2)).astype(np.int64) + np.asarray(b.column(4))
@@ -418,6 +423,7 @@ def _close(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (u, v set ids) whose sets are similar enough, exactly."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = np.zeros(b.num_rows, bool)
@@ -443,6 +449,7 @@ def _sets(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
     reps = members.join(wanted.select("sid").distinct(), "sid").groupBy("sid").agg(F.min("row").alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(reps, "row"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bits = WordHashes(), shared.value
         for b in chunks(batches, at_once=AT_ONCE):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS_KEPT, chunks, lists, mix64, row_key, stored
+from .common import WORDS_KEPT, chunks, lean, lists, mix64, row_key, stored
 
 MIN_SENTENCES, MIN_WORDS, LONG, WINDOW = 3, 16, 24, 8
 #: Slots (2^BITMAP) of the bitmap of hashes that repeat; others that share a slot go on and are dropped by the join.
@@ -140,6 +140,7 @@ def span_hashes(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 def _spans(docs: DataFrame) -> DataFrame:
     """row, n (sentences), spans (first occurrence in the text of each hash; of
     the second hash the lower 32 bits, which halves what it takes on disk) and again (spans that occurred earlier in the same text)."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, at_once=AT_ONCE):
             sizes, cols, n_again, again = [], [], [], []
@@ -188,6 +189,7 @@ def _likely(found: DataFrame) -> DataFrame:
     """doc_id, row, h1, h2, begin, end of the spans whose slot is in the bitmap."""
     shared = found.sparkSession.sparkContext.broadcast(_bitmap(found))  # 2^(BITMAP - 3) bytes
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for b in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS_KEPT, chunks, lists, stored
+from .common import WORDS_KEPT, chunks, lean, lists, stored
 
 #: Bounds of what is fitted on the driver.
 SAMPLE_PER_CLASS, MAX_TERMS, SLOTS = 4000, 1 << 16, 1 << 14
@@ -72,6 +72,7 @@ def _sample(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     # of rows that share an id, the one of the least hash teaches
     rows = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("toxic", "text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
             found = [np.unique(np.array(list(chain.from_iterable(map(terms_of, words_of(t or "")))), np.int64))
@@ -114,6 +115,7 @@ def _numbered(sample: DataFrame, terms: np.ndarray) -> DataFrame:
     """toxic, terms: the columns of each row's terms; a row's terms of one slot count once."""
     shared = sample.sparkSession.sparkContext.broadcast(terms)  # at most MAX_TERMS
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for b in batches:
@@ -200,6 +202,7 @@ def with_score(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` with a column score (0 to 1, higher: toxic likelier)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most (MAX_TERMS + SLOTS) * (FACTORS + 2) numbers
 
+    @lean
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         hits = _Terms(m["terms"], len(m["w"]))
