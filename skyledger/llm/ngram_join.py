@@ -55,6 +55,8 @@ BLOCK = 2048
 #: A list longer than this is dealt out by set id; each part has a star of its
 #: own, and components of different parts meet as those of one list do.
 LIST_PART = 1_000_000
+#: Members of a list that may link beyond which their sketches go with them, so that few pairs leave the task.
+DENSE = 16
 #: Rows of list keys that are broadcast at most.
 FEW = 500_000
 
@@ -307,15 +309,39 @@ def _pairs_of(key: list[np.ndarray], root: np.ndarray, blk: np.ndarray, n: np.nd
             yield x[ok], y[ok], differ[ok]
 
 
+def folded(sketch: np.ndarray, longs: int) -> np.ndarray:
+    """The sketch's bits in as many slots as ``longs`` hold."""
+    while len(sketch) > longs:
+        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    return sketch
+
+
+def _by_sketch(sketches: list[bytes], x: np.ndarray, y: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Which pairs of rows the sketches don't keep apart."""
+    size = np.array([len(s) // 8 for s in sketches])
+    least, keep = np.minimum(size[x], size[y]), np.zeros(len(x), bool)
+    for longs in np.unique(least).tolist():
+        at = np.flatnonzero(least == longs)
+        rows, where = np.unique(np.concatenate([x[at], y[at]]), return_inverse=True)
+        bits = np.stack([folded(np.frombuffer(sketches[r], np.uint64), longs) for r in rows.tolist()])
+        differ = np.zeros(len(at), np.int64)
+        for k in range(longs):  # one long of all pairs at a time
+            differ += np.bitwise_count(bits[where[:len(at)], k] ^ bits[where[len(at):], k])
+        keep[at] = (100 + PERCENT) * differ <= (100 - PERCENT) * total[at]
+    return keep
+
+
 def _meeting(entry: DataFrame, nearest: bool, block: int) -> DataFrame:
     """key, u, v, un, vn, up, vp, differ: members of one list and of different
-    components that no bound keeps apart; ``nearest``: of each member and list
-    only the one that differs least in its bits, so no more rows than members.
-    Sorted lists are read in a stream that holds two blocks at most."""
+    components that no bound keeps apart, nor their sketches, if ``entry`` has
+    them; ``nearest``: of each member and list only the one that differs least
+    in its bits, so no more rows than members. Sorted lists are read in a stream
+    that holds two blocks at most."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            col = {c: t.column(c).to_numpy(zero_copy_only=False) for c in t.schema.names}
+            col = {c: t.column(c).to_numpy(zero_copy_only=False) for c in t.schema.names if c != "sketch"}
+            sketches = t.column("sketch").to_pylist() if "sketch" in t.schema.names else None
             sid, n, pos = col["sid"], col["n"], col["pos"]
             found = _pairs_of([col["key"], col["a"], col["b"]], col["root"], col["blk"], n, pos, np.stack([col[x] for x in BITS]).view(np.uint64))
             if nearest:
@@ -326,6 +352,9 @@ def _meeting(entry: DataFrame, nearest: bool, block: int) -> DataFrame:
                 x = np.flatnonzero(best < np.iinfo(np.int64).max)
                 found = [(x, best[x] & 0xFFFFFFFF, best[x] >> 32)]
             for x, y, differ in found:
+                if sketches is not None:
+                    ok = _by_sketch(sketches, x, y, n[x].astype(np.int64) + n[y])
+                    x, y, differ = x[ok], y[ok], differ[ok]
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in (col["key"][x], sid[x], sid[y], n[x], n[y], pos[x], pos[y], differ)],
                                                  ["key", "u", "v", "un", "vn", "up", "vp", "differ"])
 
@@ -387,18 +416,29 @@ def _hits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def _close(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Those of ``pairs`` that the sketches don't keep apart: what is left for
-    the exact check, and for the tokens to travel. A fixed-size bitmap of the
-    pairs' ends spares the other members' sketches the shuffle."""
-    ends = _ends(pairs).distinct()
-    shared = pairs.sparkSession.sparkContext.broadcast(_bitmap(ends, "sid"))
+def _sketches(members: DataFrame, wanted: DataFrame) -> DataFrame:
+    """sid, n, sketch of the distinct ``wanted`` sids. A fixed-size bitmap of
+    these spares the other members' sketches the shuffle."""
+    shared = wanted.sparkSession.sparkContext.broadcast(_bitmap(wanted, "sid"))
 
     def may(sid: pa.Array) -> pa.Array:
         return pa.array(_hits(shared.value, np.asarray(sid.fill_null(0))))
 
     may.__annotations__ = {"sid": pa.Array, "return": pa.Array}  # read when the function is declared
+    few = members.select("sid", "n", "sketch").filter(F.col("sid").isNotNull()).filter(F.arrow_udf(may, "boolean")("sid"))
+    return few.join(wanted, "sid").groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"))  # equal sets have equal sketches
 
+
+def _with_sketches(entry: DataFrame, met: DataFrame, members: DataFrame) -> DataFrame:
+    """``entry`` without members that met none (``met``: key, sid), with sketches."""
+    entry = stored(entry.join(_side(met), ["key", "sid"], "left_semi"), "dense-lists")
+    return entry.join(_sketches(members, entry.select("sid").distinct()).select("sid", "sketch"), "sid")
+
+
+def _close(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that the sketches don't keep apart: what is left for
+    the exact check, and for the tokens to travel."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -406,14 +446,10 @@ def _close(pairs: DataFrame, members: DataFrame) -> DataFrame:
             differ = np.zeros(b.num_rows, np.int64)
             for i, (x, y) in enumerate(zip(b.column(3).to_pylist(), b.column(5).to_pylist())):
                 x, y = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
-                while len(y) > len(x):
-                    y = y[:len(y) // 2] ^ y[len(y) // 2:]
-                differ[i] = np.bitwise_count(x ^ y).sum()
+                differ[i] = np.bitwise_count(x ^ folded(y, len(x))).sum()
             yield b.select(["u", "v"]).filter(pa.array((100 + PERCENT) * differ <= (100 - PERCENT) * total))
 
-    few = members.select("sid", "n", "sketch").filter(F.col("sid").isNotNull()).filter(F.arrow_udf(may, "boolean")("sid"))
-    known = few.join(ends, "sid").groupBy("sid").agg(
-        F.first("n").alias("n"), F.first("sketch").alias("sketch"))  # equal sets have equal sketches
+    known = _sketches(members, _ends(pairs).distinct())
     both = pairs
     for end in ("u", "v"):
         both = both.join(known.select(F.col("sid").alias(end), F.col("n").alias(f"{end}n"), F.col("sketch").alias(f"{end}s")), end)
@@ -499,10 +535,17 @@ def _rooted(docs: DataFrame, list_part: int = LIST_PART, block: int = BLOCK) ->
     entry = entry.join(bits, "sid")
     for nearest in (True, False):
         entry = stored(entry.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "entries")
-        meeting = _meeting(entry, nearest, block)
         if nearest:
-            meeting = stored(meeting.select("key", "u", "v", "differ"), "nearest")
-            entry = entry.drop("root").join(_side(stored(meeting.select("key").distinct(), "live-lists")), "key", "left_semi")
+            meeting = stored(_meeting(entry, nearest, block).select("key", "u", "v", "differ"), "nearest")
+            live = stored(meeting.groupBy("key").agg((F.count("*") > DENSE).alias("dense")), "live-lists")
+            entry = entry.drop("root").join(_side(live), "key")
+            met = meeting.join(_side(live.filter("dense").select("key")), "key", "left_semi").select("key", F.col("u").alias("sid")).distinct()
+            met = stored(met, "met")
+        else:
+            meeting = _meeting(entry.filter("not dense").drop("dense"), nearest, block)
+            if met.limit(1).count():
+                dense = _with_sketches(entry.filter("dense").drop("dense"), met, members)
+                meeting = meeting.unionByName(_meeting(dense, nearest, block))
         pairs = stored((_nearest(meeting) if nearest else _candidates(meeting)).join(tried, ["u", "v"], "left_anti"), "cross-pairs")
         close = _close(pairs, members)
         found = stored(_linked(close, _sets(docs, members, _ends(close))), "links")
