@@ -134,3 +134,43 @@ def test_quantiles_count_values_in_as_many_tasks_as_their_rows_need(spark, monke
     many = {r.g: r.m for r in ranking.exact_quantiles(df, "x", [0.5], ["m"], ["g"]).collect()}
     assert tasks == [(30, "30")] and spark.conf.get("spark.sql.shuffle.partitions") == old
     assert many == few and len(many) == 2
+
+
+def test_dedup_shuffles_only_rows_whose_hash_comes_again(spark):
+    from pyspark.sql import functions as F
+    from skyledger.operators import quality as Q
+    df = spark.range(3000).selectExpr("if(id < 2700, id, id % 50) a", "if(id % 3 = 0, null, concat('x', id % 5)) b", "cast(id % 7 as decimal(12,2)) c",
+                                      "if(id % 2 = 0, -0.0d, 0.0d) * if(id % 11 = 0, cast('NaN' as double), 1) d", "timestamp_ntz'2024-01-01 00:00:00' e")
+    df = df.union(df.where("a < 40")).union(df.where("a is null"))
+    once, again = Q._by_repeats(df, df.columns, 20)
+    assert once.count() + again.count() == df.count() and again.count() < 600 and once.count() > 2000
+    got = Q.clean_dedup(df, num_partitions=20)
+    assert got.schema == df.schema and got.count() == df.distinct().count()
+    assert got.exceptAll(df.distinct()).count() == 0
+    assert Q.clean_dedup(df, ["b", "d"], num_partitions=20).count() == df.dropDuplicates(["b", "d"]).count()
+    arrays = df.select(F.array("a").alias("a"))
+    assert Q.clean_dedup(arrays, num_partitions=20).count() == arrays.distinct().count()
+    nothing = Q.clean_dedup(df.where("a < 0"), num_partitions=20)
+    assert nothing.count() == 0 and nothing.schema == df.schema
+
+
+def test_raw_rows_need_no_validated_table(spark):
+    from skyledger.plans import fixture
+    key = fixture._key(spark, "/root/testdata/sf0.001/.")
+    kept = {t: dict(t_) for t, t_ in (("raw", fixture._RAW), ("both", fixture._TABLES))}
+    fixture._RAW.pop(key, None), fixture._TABLES.pop(key, None)
+    try:
+        assert fixture.raw_table(spark, SF001).count() > 0
+        assert key in fixture._RAW and key not in fixture._TABLES
+    finally:
+        fixture._RAW.update(kept["raw"]), fixture._TABLES.update(kept["both"])
+
+
+def test_a_landed_run_leaves_no_shuffle_files(spark, tmpdir_path):
+    from skyledger.session import released_shuffles
+    left = lambda: spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().size()
+    df = spark.range(1000).repartitionByRange(7, "id")
+    was = left()
+    with released_shuffles(spark):
+        df.write.parquet(os.path.join(tmpdir_path, "t"))
+    assert left() <= was
