@@ -174,3 +174,71 @@ def test_a_landed_run_leaves_no_shuffle_files(spark, tmpdir_path):
     with released_shuffles(spark):
         df.write.parquet(os.path.join(tmpdir_path, "t"))
     assert left() <= was
+
+
+def _fitted_case(spark):
+    from skyledger.operators import models as ML
+    from test_models import nonlinear_target
+    f = nonlinear_target(spark).selectExpr("* except (label)", "label + pmod(xxhash64(raw_id), 1000) / 1e4 label")  # no node of equal labels
+    prep = ML.fit_prep(f)
+    vec = prep.transform(f).where("split = 'train'").cache()
+    return ML, vec, ML._estimator(ML.ModelSpec("t", "tree", {"maxDepth": 7, "minInstancesPerNode": 20}), prepared=True, bins=ML.max_bins(prep))
+
+
+def test_trees_of_all_folds_grown_in_the_same_passes_equal_single_fits(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from skyledger.operators import trees
+    ML, vec, est = _fitted_case(spark)
+    monkeypatch.setattr(trees, "ROWS_PER_END", 300)
+    monkeypatch.setattr(trees, "CELLS", 20_000)  # several passes a level
+    monkeypatch.setattr(type(est), "_fit", lambda *a: 1 / 0)
+    cv = ML.cross_validate(est, vec, 5, packed=trees.Packed(vec, est, [0, 1, 2, 3, 4]), with_train_r2=True)
+    monkeypatch.undo()
+    want = ML.cross_validate(est, vec, 5, with_train_r2=True)
+    assert all(abs(a - b) < 1e-9 for a, b in zip(cv["fold_r2"], want["fold_r2"])) and cv["train_r2"] == want["train_r2"]
+
+
+def test_a_grown_tree_is_the_model_of_a_fit(spark, monkeypatch, tmpdir_path):
+    from pyspark.ml.regression import DecisionTreeRegressionModel
+    from pyspark.sql import functions as F
+    from skyledger.operators import trees
+    ML, vec, est = _fitted_case(spark)
+    want = est.fit(vec)
+    for rows in (300, 10 ** 6):
+        monkeypatch.setattr(trees, "ROWS_PER_END", rows)
+        got = trees.model(spark, est, trees.grow(est, trees.Packed(vec, est, [-1]), [-1], nodes_of=0), 0)
+        got.write().overwrite().save(os.path.join(tmpdir_path, "m"))
+        got = DecisionTreeRegressionModel.load(os.path.join(tmpdir_path, "m"))
+        assert (got.numNodes, got.depth, got.numFeatures) == (want.numNodes, want.depth, want.numFeatures)
+        assert max(abs(got.featureImportances.toArray() - want.featureImportances.toArray())) < 1e-9
+        both = got.transform(vec).select("raw_id", F.col("prediction").alias("p")).join(want.transform(vec).select("raw_id", "prediction"), "raw_id")
+        assert both.where("abs(p - prediction) > 1e-9").count() == 0
+
+
+def test_thresholds_are_those_of_the_fits_own_sample(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from pyspark.sql import functions as F
+    from skyledger.operators import staged, trees
+    rows = spark.range(40_000, numPartitions=3).selectExpr("id raw_id", "cast(id % 5 as int) fold", "pmod(xxhash64(id), 100000) / 7.0 a", "cast(id % 3 as double) b",
+                                                           "sin(pmod(xxhash64(id), 100000) / 9e3) + id % 3 label")
+    vec = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows).cache()
+    est = DecisionTreeRegressor(seed=7, maxBins=16, maxDepth=4)
+    want, got = est.fit(vec), trees.model(spark, est, trees.grow(est, trees.Packed(vec, est, [0, -1]), [-1], nodes_of=0), 0)
+    lines = [[x.strip()[:25] for x in m.toDebugString.split("\n")[1:] if "If" in x] for m in (got, want)]
+    assert lines[0] == lines[1] and staged.Bins(vec, est).thresholds[0].size == 15
+
+
+def test_rows_without_a_label_end_a_fit(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from skyledger.operators import trees
+    _, vec, est = _fitted_case(spark)
+    with pytest.raises(Exception, match="null or NaN"):
+        trees.Packed(vec.withColumn("label", F.when(F.col("raw_id") != 11, F.col("label"))), est, [-1])
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor
+    odd = VectorAssembler(inputCols=["a"], outputCol="features", handleInvalid="keep").transform(
+        spark.range(50).selectExpr("if(id = 7, null, id / 2) a", "cast(id % 5 as int) fold", "id * 1.0D label"))
+    with pytest.raises(Exception, match="NaN or infinite"):
+        trees.Packed(odd, DecisionTreeRegressor(), [-1])
